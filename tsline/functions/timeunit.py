@@ -37,7 +37,8 @@ def precision_factor(precision: str) -> int:
 def floor_div(c: Column, factor: int) -> Column:
     """Integer division rounding toward minus infinity, as a bigint."""
     f = F.lit(factor).cast("bigint")
-    return ((c - F.pmod(c, f)) / f).cast("bigint")
+    # exact: the dividend is a multiple of f, and `div` is integral division
+    return F.call_function("div", c - F.pmod(c, f), f)
 
 
 def epoch_to_ns(c: Column, precision: str = "ms", overflow: str = "raise") -> Column:

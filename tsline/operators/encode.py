@@ -94,11 +94,12 @@ def line_column(spec: LineSpec) -> Column:
 def encode_lines(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
                  fields: Roles = None, time: ColumnLike | None = None, *,
                  keep: Sequence[str] = (), op_col: str | None = None,
-                 **options) -> DataFrame:
+                 time_col: str | None = None, **options) -> DataFrame:
     """Encode every row as one line; rows without a line are dropped.
 
     ``keep`` carries extra columns next to ``line`` (e.g. a key for packing).
     ``op_col`` names a changelog column; only ``+I``/``+U`` rows are encoded (C3).
+    ``time_col`` adds the line's time value under that name (for packing).
     Options: precision, time_unit, escape, on_empty, decimal_as, non_finite,
     empty_tag, overflow (see ``plans.roles``).
     """
@@ -106,6 +107,6 @@ def encode_lines(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
         from tsline.operators.changelog import changelog_filter
         df = changelog_filter(df, op_col)
     spec = resolve(df, measurement, tags, fields, time, **options)
-    line = line_column(spec)
-    return (df.select(*[F.col(f"`{k}`") for k in keep], line.alias("line"))
+    extra = [time_text(spec).alias(time_col)] if time_col else []
+    return (df.select(*[F.col(f"`{k}`") for k in keep], *extra, line_column(spec).alias("line"))
               .where(F.col("line").isNotNull()))

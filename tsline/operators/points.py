@@ -101,6 +101,8 @@ def encode(df: DataFrame, measurement: ColumnLike, tags: Roles = None, fields: R
     if path in (None, "line", "line-protocol"):
         return encode_lines(df, measurement, tags, fields, time, **kw)
     if path == "point":
+        if kw.get("keep") or kw.get("time_col"):
+            raise ValueError("keep/time_col are only supported on the line path")
         mode = kw.get("escape", "full")
         return points_to_lines(to_points(df, measurement, tags, fields, time, **kw), mode)
     raise ValueError(f"unknown encoder path {path!r}; expected one of {PATHS}")
