@@ -82,3 +82,34 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared root (not created here)."""
     return f"{shared_root(spark)}/tsline-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tsline`` importable in Python workers (data source, pandas UDFs).
+
+    Installed packages need nothing.  Otherwise the package is zipped once
+    per application into the shared folder and added with ``addPyFile``.
+    Only done when the shared folder is a plain file system path.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tsline_shipped", False):
+        return
+    root = shared_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        sc._tsline_shipped = True
+        return
+    root = root.replace("file:", "", 1) if root.startswith("file:") else root
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    os.makedirs(root, exist_ok=True)
+    target = os.path.join(root, f"tsline-pkg-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    sc._tsline_shipped = True
