@@ -23,75 +23,93 @@ HEAD = r"(?s)^((?:[^ \\]++|\\.)++)"                       # measurement + tags,
 MEAS = r"(?s)^((?:[^ ,\\]++|\\.)++)"
 KEY = r"(?:[^ ,=\\]++|\\.)++"
 TAG_VALUE = r"(?:[^ ,\\]++|\\.)*+"
-TAG = rf"(?s),(?:{KEY})=(?:{TAG_VALUE})"
-TAG_KEY = rf"(?s)^,({KEY})="
+TAG = rf"(?s),({KEY})=({TAG_VALUE})"
 FIELD_KEY = r'(?:[^ ,="\\]++|\\.)++'
 QUOTED = r'"(?:[^"\\]++|\\.)*+"'
-FIELD = rf'(?s)(?:^|,)(?:{FIELD_KEY})=(?:{QUOTED}|[^ ,"]*+)'
-FIELD_HEAD = rf"(?s)^,?({FIELD_KEY})="
+FIELD = rf'(?s)(?:^|,)({FIELD_KEY})=({QUOTED}|[^ ,"]*+)'
 TIME = r"^-?[0-9]{1,19}$"
 TRUE_WORDS = ("t", "T", "true", "True", "TRUE")
 FALSE_WORDS = ("f", "F", "false", "False", "FALSE")
 
+POINT_COLUMNS = ("measurement", "tags", "fields", "time_ns", "_corrupt")
 
-def _field_value(raw: Column) -> Column:
-    """Raw field text -> struct(type, text) with the text unescaped."""
-    is_str = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
-    is_int = raw.rlike(r"^-?[0-9]+i$")
-    ftype = (F.when(is_str, F.lit(STRING)).when(is_int, F.lit(INT))
-              .when(raw.isin(*TRUE_WORDS, *FALSE_WORDS), F.lit(BOOL)).otherwise(F.lit(FLOAT)))
-    text = (F.when(is_str, E.unquote_string(raw))
-             .when(is_int, raw.substr(F.lit(1), F.length(raw) - 1))
+
+def _field_type(raw: Column) -> Column:
+    """Type letter from the raw value text: quoted -> s, trailing i -> i, bool word -> b, else f."""
+    return (F.when(raw.startswith('"'), F.lit(STRING))
+             .when(raw.endswith("i"), F.lit(INT))
+             .when(raw.isin(*TRUE_WORDS, *FALSE_WORDS), F.lit(BOOL))
+             .otherwise(F.lit(FLOAT)))
+
+
+def _field_text(raw: Column, unescape: bool) -> Column:
+    """Raw value text -> unescaped value text (no quotes, no 'i')."""
+    inner = raw.substr(F.lit(2), F.length(raw) - 2)
+    return (F.when(raw.startswith('"'), E.unescape(inner) if unescape else inner)
+             .when(raw.endswith("i"), raw.substr(F.lit(1), F.length(raw) - 1))
              .when(raw.isin(*TRUE_WORDS), F.lit("true"))
              .when(raw.isin(*FALSE_WORDS), F.lit("false"))
              .otherwise(raw))
-    return F.struct(ftype.alias("type"), text.alias("text"))
-
-
-def decode_column(line: Column) -> Column:
-    """Line text -> struct(measurement, tags, fields, time_ns, _corrupt)."""
-    head = F.regexp_extract(line, HEAD, 1)
-    rest = line.substr(F.length(head) + 2, F.length(line))
-    last = F.substring_index(rest, " ", -1)
-    has_time = (F.instr(rest, " ") > 0) & last.rlike(TIME)
-    fields_part = F.when(has_time, rest.substr(F.lit(1), F.length(rest) - F.length(last) - 1)) \
-                   .otherwise(rest)
-    time_ns = F.when(has_time, last.try_cast("bigint"))
-
-    meas_raw = F.regexp_extract(head, MEAS, 1)
-    tag_frags = F.regexp_extract_all(head, F.lit(TAG), 0)
-    field_frags = F.regexp_extract_all(fields_part, F.lit(FIELD), 0)
-
-    tag_keys = F.transform(tag_frags, lambda f: F.regexp_extract(f, TAG_KEY, 1))
-    tag_vals = F.transform(tag_frags, lambda f: f.substr(
-        F.length(F.regexp_extract(f, TAG_KEY, 0)) + 1, F.length(f)))
-    fld_keys = F.transform(field_frags, lambda f: F.regexp_extract(f, FIELD_HEAD, 1))
-    fld_vals = F.transform(field_frags, lambda f: f.substr(
-        F.length(F.regexp_extract(f, FIELD_HEAD, 0)) + 1, F.length(f)))
-
-    ok = ((F.length(head) > 0)
-          & (F.length(meas_raw) + F.length(F.array_join(tag_frags, "")) == F.length(head))
-          & (F.size(field_frags) > 0)
-          & (F.length(F.array_join(field_frags, "")) == F.length(fields_part))
-          & (F.size(F.array_distinct(tag_keys)) == F.size(tag_keys))
-          & (F.size(F.array_distinct(fld_keys)) == F.size(fld_keys))
-          & (~has_time | time_ns.isNotNull()))
-
-    tags = F.map_from_arrays(F.transform(tag_keys, E.unescape), F.transform(tag_vals, E.unescape))
-    fields = F.map_from_arrays(F.transform(fld_keys, E.unescape),
-                               F.transform(fld_vals, _field_value))
-    return F.struct(
-        F.when(ok, E.unescape(meas_raw)).alias("measurement"),
-        F.when(ok, tags).alias("tags"),
-        F.when(ok, fields).alias("fields"),
-        F.when(ok, time_ns).alias("time_ns"),
-        F.when(~ok | ok.isNull(), line).alias("_corrupt"))
+
+
+def _joined_length(keys: Column, values: Column) -> Column:
+    """Length of the k=v pairs once joined: keys + values + one '=' and one ',' each."""
+    return (F.length(F.array_join(keys, "")) + F.length(F.array_join(values, ""))
+            + F.size(keys) * 2)
+
+
+def _decode_steps(df: DataFrame, line_col: str) -> DataFrame:
+    """Each step is a projection of its own: Catalyst keeps a costly expression
+    that later steps use several times in one place instead of repeating it."""
+    c = F.col
+    df = df.withColumn("_head", F.regexp_extract(c(line_col), HEAD, 1))
+    df = df.withColumn("_rest", c(line_col).substr(F.length("_head") + 2, F.length(line_col)))
+    df = df.withColumn("_last", F.substring_index("_rest", " ", -1))
+    df = df.withColumn("_has_t", (F.instr("_rest", " ") > 0) & c("_last").rlike(TIME))
+    df = df.select("*",
+                   F.when(c("_has_t"), c("_rest").substr(F.lit(1), F.length("_rest")
+                                                         - F.length("_last") - 1))
+                    .otherwise(c("_rest")).alias("_fields"),
+                   F.when(c("_has_t"), c("_last").try_cast("bigint")).alias("_t"),
+                   F.regexp_extract("_head", MEAS, 1).alias("_meas"),
+                   F.regexp_extract_all("_head", F.lit(TAG), 1).alias("_tk"),
+                   F.regexp_extract_all("_head", F.lit(TAG), 2).alias("_tv"))
+    df = df.select("*", F.regexp_extract_all("_fields", F.lit(FIELD), 1).alias("_fk"),
+                   F.regexp_extract_all("_fields", F.lit(FIELD), 2).alias("_fv"))
+    ok = ((F.length("_head") > 0)
+          & (F.length("_meas") + _joined_length(c("_tk"), c("_tv")) == F.length("_head"))
+          & (F.size("_fk") > 0)
+          & (_joined_length(c("_fk"), c("_fv")) - 1 == F.length("_fields"))
+          & (F.size(F.array_distinct("_tk")) == F.size("_tk"))
+          & (F.size(F.array_distinct("_fk")) == F.size("_fk"))
+          & (~c("_has_t") | c("_t").isNotNull()))
+    df = df.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    good = c("_ok")
+    # a line without any backslash has nothing to unescape: skip the per-element work
+    plain_head = F.instr("_head", "\\") == 0
+    plain_fields = F.instr("_fields", "\\") == 0
+    tags = F.map_from_arrays(
+        F.when(plain_head, c("_tk")).otherwise(F.transform("_tk", E.unescape)),
+        F.when(plain_head, c("_tv")).otherwise(F.transform("_tv", E.unescape)))
+    keys = F.when(plain_fields, c("_fk")).otherwise(F.transform("_fk", E.unescape))
+    texts = (F.when(plain_fields, F.transform("_fv", lambda x: _field_text(x, False)))
+              .otherwise(F.transform("_fv", lambda x: _field_text(x, True))))
+    values = F.arrays_zip(F.transform("_fv", _field_type), texts).cast(
+        "array<struct<type:string,text:string>>")
+    fields = F.map_from_arrays(keys, values)
+    return df.select("*",
+                     F.when(good, F.when(plain_head, c("_meas")).otherwise(E.unescape(c("_meas"))))
+                     .alias("measurement"),
+                     F.when(good, tags).alias("tags"),
+                     F.when(good, fields).alias("fields"),
+                     F.when(good, c("_t")).alias("time_ns"),
+                     F.when(~good, c(line_col)).alias("_corrupt"))
 
 
 def decode_lines(lines: DataFrame, line_col: str = "line", keep: Sequence[str] = ()) -> DataFrame:
     """Decode a ``line`` column into POINT columns plus ``_corrupt`` (the bad line)."""
-    return lines.select(*[F.col(f"`{k}`") for k in keep],
-                        decode_column(F.col(line_col)).alias("p")).select(*keep, "p.*")
+    src = lines.select(*[F.col(f"`{k}`") for k in keep], F.col(line_col).alias("_line"))
+    return _decode_steps(src, "_line").select(*[F.col(f"`{k}`") for k in keep], *POINT_COLUMNS)
 
 
 def _typed_field(fields: Column, name: str, dtype: T.DataType) -> Column:
