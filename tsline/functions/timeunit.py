@@ -122,7 +122,8 @@ def time_value(c: Column | None, dtype: T.DataType | None, precision: str = "ms"
 
     ``unit="ns"`` (default): every type becomes ns.  ``unit="compat"``: integers
     become ns, timestamps stay in ms (two units on one wire, as the reference).
-    A missing column or a null value means 'now'.
+    A missing column or a null value means 'now'; with ``overflow="null"`` a
+    value that overflows ns gives null (so the line is dropped, not re-timed).
     """
     if unit not in ("ns", "compat"):
         raise ValueError(f"time unit must be 'ns' or 'compat', got {unit!r}")
@@ -136,4 +137,4 @@ def time_value(c: Column | None, dtype: T.DataType | None, precision: str = "ms"
     else:
         raise TypeError(
             f"time column must be BIGINT/INT or TIMESTAMP, got {dtype.simpleString()}")
-    return F.coalesce(value, now_ns())
+    return F.when(c.isNull(), now_ns()).otherwise(value)

@@ -26,7 +26,7 @@ TAG_VALUE = r"(?:[^ ,\\]++|\\.)*+"
 TAG = rf"(?s),({KEY})=({TAG_VALUE})"
 FIELD_KEY = r'(?:[^ ,="\\]++|\\.)++'
 QUOTED = r'"(?:[^"\\]++|\\.)*+"'
-FIELD = rf'(?s)(?:^|,)({FIELD_KEY})=({QUOTED}|[^ ,"]*+)'
+FIELD = rf'(?s)(?:^|,)({FIELD_KEY})=({QUOTED}|[^ ,"]++)'
 TIME = r"^-?[0-9]{1,19}$"
 TRUE_WORDS = ("t", "T", "true", "True", "TRUE")
 FALSE_WORDS = ("f", "F", "false", "False", "FALSE")

@@ -1,0 +1,65 @@
+"""Transports that fail on purpose, to exercise retries, timeouts and replay.
+
+Select one with ``transport="tsline.sources.faults:flaky"`` (or ``:slow``,
+``:broken``).  State that must survive retries lives in marker files next to
+the payloads, because each attempt may run in another worker process.
+"""
+
+from __future__ import annotations
+
+import os
+import time
+
+from tsline.sources.sink import DirectoryTransport
+
+
+class _Flaky(DirectoryTransport):
+    """Fails the first ``fail-times`` attempts of every payload, then writes it."""
+
+    def __init__(self, options: dict):
+        super().__init__(options["path"])
+        self.fail_times = int(options.get("fail-times", "1"))
+
+    def __call__(self, database, rp, body, name):
+        marks = os.path.join(self.path, "_attempts")
+        os.makedirs(marks, exist_ok=True)
+        mark = os.path.join(marks, name)
+        with open(mark, "a") as f:
+            f.write("x")
+        if os.path.getsize(mark) <= self.fail_times:
+            raise ConnectionError(f"injected failure for {name}")
+        super().__call__(database, rp, body, name)
+
+
+class _Slow(DirectoryTransport):
+    """Sleeps ``delay-s`` seconds before writing (to trip the request timeout)."""
+
+    def __init__(self, options: dict):
+        super().__init__(options["path"])
+        self.delay = float(options.get("delay-s", "5"))
+
+    def __call__(self, database, rp, body, name):
+        time.sleep(self.delay)
+        super().__call__(database, rp, body, name)
+
+
+class _Broken:
+    """Always fails."""
+
+    def __init__(self, options: dict):
+        self.options = options
+
+    def __call__(self, database, rp, body, name):
+        raise ConnectionError("injected permanent failure")
+
+
+def flaky(options: dict) -> _Flaky:
+    return _Flaky(options)
+
+
+def slow(options: dict) -> _Slow:
+    return _Slow(options)
+
+
+def broken(options: dict) -> _Broken:
+    return _Broken(options)
