@@ -41,10 +41,18 @@ def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+RUNS = 2
+
+
 def _timed(results: dict, name: str, fn) -> None:
-    t0 = time.perf_counter()
-    fn()
-    results[name] = round(time.perf_counter() - t0, 3)
+    """Best of RUNS: the first run also pays for code generation and JIT warm-up."""
+    best = None
+    for _ in range(RUNS):
+        t0 = time.perf_counter()
+        fn()
+        took = time.perf_counter() - t0
+        best = took if best is None else min(best, took)
+    results[name] = round(best, 3)
 
 
 def main() -> None:
@@ -94,7 +102,7 @@ def main() -> None:
     }
     print(json.dumps({"metric": "total_time", "value": round(sum(q.values()), 3), "unit": "sec",
                       "queries": q, "rates": rates, "rows": {"lineitem": n_lineitem},
-                      "sf": _sf(SF_DIR), "cpus": int(CPUS)}))
+                      "sf": _sf(SF_DIR), "cpus": int(CPUS), "runs": RUNS}))
     spark.stop()
 
 

@@ -7,7 +7,7 @@ single projection.  Only referenced columns reach the scan (column pruning).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Mapping, Sequence, Union
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,8 @@ _OPTION_VALUES = {
     "non_finite": ("keep", "drop"),
     "empty_tag": ("keep", "drop"),
     "overflow": ("raise", "null"),
+    # accepted for compatibility; null fields are always left out
+    "ignore_null_values": (True, False, "true", "false"),
 }
 
 
@@ -52,7 +54,6 @@ class LineSpec:
     non_finite: str = "keep"
     empty_tag: str = "keep"
     overflow: str = "raise"
-    extra: dict = field(default_factory=dict)
 
 
 def split_names(value: Roles) -> list[str] | None:
@@ -138,5 +139,6 @@ def resolve(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
         raise ValueError("no field columns: every row would be dropped")
 
     tag_roles.sort(key=lambda r: r.name)          # deterministic tag order (Q14)
+    options.pop("ignore_null_values", None)
     return LineSpec(measurement=meas_col, tags=tuple(tag_roles), fields=tuple(field_roles),
                     time=time_role, **options)

@@ -205,3 +205,21 @@ def q_line_bytes(spark, sf_dir):
     lines = encode_lines(docs, "documents", tags=["lang", "source"], fields=["text", "n_chars"],
                          time="doc_id", precision="s", keep=["doc_id"])
     return lines.select("doc_id", X.line_bytes(F.col("line")).cast("bigint").alias("n_bytes"))
+
+
+@query("sql_functions", f"SELECT {S.EVENTS_LINE} AS line FROM events")
+def q_sql_functions(spark, sf_dir):
+    from tsline.functions.sql import register_functions
+    register_functions(spark)
+    table(spark, sf_dir, "events").createOrReplaceTempView("tsline_sql_events")
+    dtype = spark.table("tsline_sql_events").schema["ts"].dataType
+    ns_fn = "tsl_ns_ntz" if isinstance(dtype, T.TimestampNTZType) else "tsl_ns"
+    return spark.sql(f"""
+        SELECT tsl_line('events',
+                        concat_ws('', tsl_tag('event_type', event_type),
+                                      tsl_tag('user_id', cast(user_id AS STRING))),
+                        concat_ws(',', tsl_field('event_id', tsl_int(event_id)),
+                                       tsl_field('value', tsl_float(value)),
+                                       tsl_field('props', tsl_quote(props))),
+                        {ns_fn}(ts)) AS line
+        FROM tsline_sql_events""")
