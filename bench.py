@@ -73,8 +73,9 @@ def main() -> None:
     _timed(q, "points_to_lines", lambda: _noop(points_to_lines(
         to_points(lineitem, "lineitem", tags=LINEITEM_TAGS, time="l_shipdate"))))
 
+    # stored lines as a sink or stream leaves them: several files, not one row group
     stored = scratch_path(spark, "bench-lines")
-    li_lines().write.parquet(stored)
+    li_lines().repartition(int(CPUS) * 2).write.parquet(stored)
     _timed(q, "decode_lines", lambda: _noop(decode_lines(spark.read.parquet(stored))))
 
     # three keys for 600k lines: the hot-key case the skew-safe ranking is for

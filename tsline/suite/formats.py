@@ -96,12 +96,14 @@ FROM (SELECT event_id, {_TS3_MS} AS t FROM events)""")
 def q_format_timestamp(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     e = F.col("event_id")
-    t3 = (F.when(e % 3 == 0, F.date_trunc("minute", "ts"))
-           .when(e % 3 == 1, F.date_trunc("second", "ts")).otherwise(F.col("ts")))
-    t = F.when(e % 5 == 0, F.date_trunc("millisecond", "ts")).otherwise(t3)
-    src = ev.select("event_id", t.alias("t"))
-    return src.select("event_id", fmt.field_text(F.col("t"), src.schema["t"].dataType)
-                      .alias("f_ts"))
+    micros = U.epoch_micros(F.col("ts"), ev.schema["ts"].dataType)
+
+    def trunc(step):  # truncation on the epoch value: no session time zone involved
+        return U.floor_div(micros, step) * F.lit(step)
+    m3 = (F.when(e % 3 == 0, trunc(60_000_000)).when(e % 3 == 1, trunc(1_000_000))
+           .otherwise(micros))
+    t = U.micros_to_ntz(F.when(e % 5 == 0, trunc(1000)).otherwise(m3))
+    return ev.select("event_id", fmt.field_text(t, T.TimestampNTZType()).alias("f_ts"))
 
 
 @query("tag_text", f"""SELECT l_orderkey, l_linenumber,
