@@ -4,8 +4,10 @@
 key into one task; one key holding a third of the data would make one task
 sort a third of the data.  Here instead:
 
-1. range-partition on (key, order...) into P partitions and sort inside each:
-   the sampled range bounds split a hot key across many partitions;
+1. range-partition on (key, order...) and sort inside each partition: the
+   sampled range bounds split a hot key across many partitions.  Without an
+   explicit count, adaptive execution sizes the partitions by bytes, so the
+   count grows with the data;
 2. number rows inside each partition with ``monotonically_increasing_id``
    (partition id in the high bits, position in the low bits) and write the
    result once to the shared checkpoint folder, so every later use sees the
@@ -33,13 +35,6 @@ BROADCAST_RUN_ROWS = 1_000_000
 _POS_BITS = 33
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return max(int(conf), 1)
-
-
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 num_partitions: int | None = None,
                 broadcast_rows: int = BROADCAST_RUN_ROWS) -> DataFrame:
@@ -48,8 +43,11 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     every sort column must be interchangeable) for a deterministic result."""
     keys, order = list(keys), list(order)
     sort_cols = [F.col(f"`{c}`") for c in keys + order]
-    laid = (df.repartitionByRange(_partitions(df, num_partitions), *sort_cols)
-              .sortWithinPartitions(*sort_cols)
+    # positions are read after the exchange (coalesced or not) and written once,
+    # so every later use sees the same partition ids
+    ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else df.repartitionByRange(*sort_cols))
+    laid = (ranged.sortWithinPartitions(*sort_cols)
               .withColumn("_pos", F.monotonically_increasing_id()))
     laid = write_scratch(laid, "rank")
     laid = laid.withColumn("_pid", F.shiftright(F.col("_pos"), _POS_BITS))

@@ -27,19 +27,23 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
                parallelism: int | None = None, by: list[str] | None = None, **options) -> None:
     """Write a DataFrame with a ``line`` column through the sink (B1).
 
-    ``parallelism`` (B13) repartitions first, by ``by`` columns when given so
-    a series keeps its order inside one task.  Options use the sink's names
-    with ``_`` for ``-`` (batch_size=..., max_retries=...).
+    ``parallelism`` (B13) repartitions first.  With ``by`` columns (e.g. series,
+    time) the rows are range-partitioned and sorted on them: each task sends a
+    contiguous, ordered run of a series, and a hot series is split over several
+    tasks instead of landing in one.  Options use the sink's names with ``_``
+    for ``-`` (batch_size=..., max_retries=...).
     """
     register(lines.sparkSession)
     opts = _option_map({"path": path, "database": database, **options})
     parse_options(opts)                       # fail on the driver, before any task starts
     cols = [c for c in ("line", "database", "retention_policy") if c in lines.columns]
-    out = lines.select(*cols)
-    if parallelism:
-        out = out.repartition(parallelism, *[F.col(c) for c in by]) if by else \
-            out.repartition(parallelism)
-    out.write.format(NAME).options(**opts).mode("append").save()
+    out = lines
+    if parallelism and by:
+        order = [F.col(c) for c in by]
+        out = out.repartitionByRange(parallelism, *order).sortWithinPartitions(*order)
+    elif parallelism:
+        out = out.repartition(parallelism)
+    out.select(*cols).write.format(NAME).options(**opts).mode("append").save()
 
 
 def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
