@@ -72,3 +72,14 @@ def test_read_back_documents(spark, tmp_dir):
                                          "text", "n_chars")
     assert back.exceptAll(docs.select("doc_id", "lang", "source", "text", "n_chars")).count() == 0
     assert back.count() == docs.count()
+
+
+def test_decode_columns_missing_keys_and_escapes(spark):
+    from pyspark.sql import types as T
+    from tsline.operators.decode import decode_columns
+    df = spark.createDataFrame([('m,a\\ b=x\\,y f=1i,s="q\\"" 5',), ("m g=2.5 6",), ("broken",)],
+                               "line string")
+    rows = decode_columns(df, ["a b", "zz"], {"f": T.LongType(), "s": T.StringType(),
+                                              "g": T.DoubleType()}).orderBy("time_ns").collect()
+    assert [(r["a b"], r["zz"], r["f"], r["s"], r["g"], r["time_ns"]) for r in rows] == [
+        ("x,y", None, 1, 'q"', None, 5), (None, None, None, None, 2.5, 6)]

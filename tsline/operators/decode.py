@@ -28,6 +28,10 @@ FIELD_KEY = r'(?:[^ ,="\\]++|\\.)++'
 QUOTED = r'"(?:[^"\\]++|\\.)*+"'
 FIELD = rf'(?s)(?:^|,)({FIELD_KEY})=({QUOTED}|[^ ,"]++)'
 TIME = r"^-?[0-9]{1,19}$"
+# the whole line in one possessive pass: measurement, tags, fields, optional time
+LINE = (rf"(?s)^(?:[^ ,\\]++|\\.)++(?:,{KEY}={TAG_VALUE})*+ "
+        rf"{FIELD_KEY}=(?:{QUOTED}|[^ ,\"]++)(?:,{FIELD_KEY}=(?:{QUOTED}|[^ ,\"]++))*+"
+        r"(?: -?[0-9]{1,19})?$")
 TRUE_WORDS = ("t", "T", "true", "True", "TRUE")
 FALSE_WORDS = ("f", "F", "false", "False", "FALSE")
 
@@ -76,10 +80,7 @@ def _decode_steps(df: DataFrame, line_col: str) -> DataFrame:
                    F.regexp_extract_all("_head", F.lit(TAG), 2).alias("_tv"))
     df = df.select("*", F.regexp_extract_all("_fields", F.lit(FIELD), 1).alias("_fk"),
                    F.regexp_extract_all("_fields", F.lit(FIELD), 2).alias("_fv"))
-    ok = ((F.length("_head") > 0)
-          & (F.length("_meas") + _joined_length(c("_tk"), c("_tv")) == F.length("_head"))
-          & (F.size("_fk") > 0)
-          & (_joined_length(c("_fk"), c("_fv")) - 1 == F.length("_fields"))
+    ok = (c(line_col).rlike(LINE)
           & (F.size(F.array_distinct("_tk")) == F.size("_tk"))
           & (F.size(F.array_distinct("_fk")) == F.size("_fk"))
           & (~c("_has_t") | c("_t").isNotNull()))
@@ -112,6 +113,68 @@ def decode_lines(lines: DataFrame, line_col: str = "line", keep: Sequence[str] =
     return _decode_steps(src, "_line").select(*[F.col(f"`{k}`") for k in keep], *POINT_COLUMNS)
 
 
+def _line_key(name: str) -> str:
+    """A key as it appears on a line (escaped)."""
+    escaped = name.replace("\\", "\\\\").replace("\n", "\\n").replace("\r", "\\r")
+    for ch in " ,=":
+        escaped = escaped.replace(ch, "\\" + ch)
+    return escaped
+
+
+def _typed_value(raw: Column, dtype: T.DataType) -> Column:
+    """Raw field text on a line -> value of the requested Spark type."""
+    plain = F.instr(raw, "\\") == 0
+    if isinstance(dtype, T.StringType):
+        inner = raw.substr(F.lit(2), F.length(raw) - 2)
+        return F.when(raw.startswith('"'),
+                      F.when(plain, inner).otherwise(E.unescape(inner))).otherwise(raw)
+    if isinstance(dtype, T.BooleanType):
+        return (F.when(raw.isin(*TRUE_WORDS), F.lit(True))
+                 .when(raw.isin(*FALSE_WORDS), F.lit(False)))
+    number = F.when(raw.endswith("i"), raw.substr(F.lit(1), F.length(raw) - 1)).otherwise(raw)
+    return number.try_cast(dtype)
+
+
+def decode_columns(lines: DataFrame, tags: Sequence[str], fields: Mapping[str, T.DataType],
+                   line_col: str = "line", time_col: str = "time") -> DataFrame:
+    """Lines -> one typed column per requested tag and field, for a known layout.
+
+    Each key is cut out by its own anchored, possessive regex, so no map is
+    built and no lambda runs per row; the whole projection compiles.  Lines
+    that do not match the line grammar are left out.  A key missing on a line
+    gives null.
+    """
+    c = F.col
+    df = lines.select(c(line_col).alias("_line"))
+    df = df.withColumn("_head", F.regexp_extract("_line", HEAD, 1))
+    df = df.withColumn("_rest", c("_line").substr(F.length("_head") + 2, F.length("_line")))
+    df = df.withColumn("_last", F.substring_index("_rest", " ", -1))
+    df = df.withColumn("_has_t", (F.instr("_rest", " ") > 0) & c("_last").rlike(TIME))
+    df = df.select("*", F.when(c("_has_t"), c("_rest").substr(
+        F.lit(1), F.length("_rest") - F.length("_last") - 1)).otherwise(c("_rest")).alias("_fields"))
+    df = df.where(c("_line").rlike(LINE))
+    df = df.select("*", F.regexp_extract_all("_head", F.lit(TAG), 1).alias("_tk"),
+                   F.regexp_extract_all("_head", F.lit(TAG), 2).alias("_tv"),
+                   F.regexp_extract_all("_fields", F.lit(FIELD), 1).alias("_fk"),
+                   F.regexp_extract_all("_fields", F.lit(FIELD), 2).alias("_fv"))
+    plain_head = F.instr("_head", "\\") == 0
+    meas = F.regexp_extract("_head", MEAS, 1)
+    cols = [ns_to_timestamp(F.when(c("_has_t"), c("_last").try_cast("bigint"))).alias(time_col),
+            F.when(c("_has_t"), c("_last").try_cast("bigint")).alias("time_ns"),
+            F.when(plain_head, meas).otherwise(E.unescape(meas)).alias("measurement")]
+    def lookup(keys: str, values: str, key: str) -> Column:
+        # keys are matched in their escaped form: nothing to unescape on the key side
+        pos = F.array_position(keys, F.lit(_line_key(key))).cast("int")
+        return F.when(pos > 0, F.element_at(values, pos))
+
+    for k in tags:
+        raw = lookup("_tk", "_tv", k)
+        cols.append(F.when(plain_head, raw).otherwise(E.unescape(raw)).alias(k))
+    for k, dtype in fields.items():
+        cols.append(_typed_value(lookup("_fk", "_fv", k), dtype).alias(k))
+    return df.select(*cols)
+
+
 def _typed_field(fields: Column, name: str, dtype: T.DataType) -> Column:
     text = fields[name]["text"]
     if isinstance(dtype, T.StringType):

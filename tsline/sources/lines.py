@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsline.operators.decode import LETTER_TYPES, decode_lines, pivot_points
+from tsline.operators.decode import LETTER_TYPES, decode_columns, decode_lines
 from tsline.session import scratch_path
 
 # A field key seen with several types reads back as the widest of them.
@@ -57,12 +57,20 @@ def infer_layout(points: DataFrame) -> tuple[list[str], dict[str, T.DataType]]:
 def read_back(spark: SparkSession, path: str, tags: list[str] | None = None,
               fields: Mapping[str, T.DataType] | None = None,
               measurement: str | None = None) -> DataFrame:
-    """``SELECT *`` over stored lines: one typed column per tag and field."""
-    points = scan_points(spark, path)
-    if measurement is not None:
-        points = points.where(F.col("measurement") == measurement)
+    """``SELECT *`` over stored lines: one typed column per tag and field.
+
+    With a known layout the lines are decoded straight into columns (no maps);
+    otherwise the layout is first found with a distinct over decoded points.
+    """
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
     if tags is None or fields is None:
+        points = decode_lines(lines)
+        if measurement is not None:
+            points = points.where(F.col("measurement") == measurement)
         found_tags, found_fields = infer_layout(points)
         tags = found_tags if tags is None else tags
         fields = found_fields if fields is None else fields
-    return pivot_points(points, tags, fields)
+    out = decode_columns(lines, tags, fields)
+    if measurement is not None:
+        out = out.where(F.col("measurement") == measurement)
+    return out
