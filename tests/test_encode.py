@@ -232,3 +232,16 @@ def test_overflow_modes(spark):
         encode_lines(df, "m", time="t", precision="s").collect()
     got = lines_of(encode_lines(df, "m", time="t", precision="s", overflow="null"))
     assert got == []       # the overflowing row is left out instead of failing the task
+
+
+def test_arrow_line_encoder_for_opaque_code(spark):
+    from tsline.operators.custom import arrow_line_encoder, encode_custom
+    from tsline.session import ship_package
+    ship_package(spark)
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "host string, v double")
+
+    def my_lines(pdf):   # runs once per Arrow batch, never per row
+        out = "m,host=" + pdf["host"] + " v=" + pdf["v"].astype(str)
+        return out.where(pdf["v"].notna(), None)
+    got = lines_of(encode_custom(df, arrow_line_encoder(my_lines, ["host", "v"])))
+    assert got == ["m,host=a v=1.5"]

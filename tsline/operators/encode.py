@@ -77,18 +77,34 @@ def has_field(spec: LineSpec) -> Column:
     return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
 
 
-def line_column(spec: LineSpec) -> Column:
-    """The line, or null when the row has no field and ``on_empty="drop"``."""
+def _plain_line(spec: LineSpec) -> Column:
+    """The line for a row already known to have a field (or with the marker)."""
     meas = E.escape_measurement(spec.measurement, spec.escape)
     fields = fields_text(spec)
-    present = has_field(spec)
     if spec.on_empty == "marker":
-        fields = F.when(present, fields).otherwise(F.lit(EMPTY_MARKER))
-    line = F.concat(meas, tags_text(spec), F.lit(" "), fields, F.lit(" "),
+        fields = F.when(has_field(spec), fields).otherwise(F.lit(EMPTY_MARKER))
+    return F.concat(meas, tags_text(spec), F.lit(" "), fields, F.lit(" "),
                     time_text(spec).cast("string"))
+
+
+def row_filter(spec: LineSpec) -> Column | None:
+    """Rows that give a line: a field is present (C6), the measurement is set, the
+    time did not overflow.  Checked on raw columns, before the text is built."""
+    conds = []
     if spec.on_empty == "drop":
-        line = F.when(present, line)
-    return line
+        conds.append(has_field(spec))
+    if not spec.measurement_literal:
+        conds.append(spec.measurement.isNotNull())
+    if spec.overflow == "null" and spec.time is not None:
+        conds.append(time_text(spec).isNotNull())
+    return reduce(lambda a, b: a & b, conds) if conds else None
+
+
+def line_column(spec: LineSpec) -> Column:
+    """The line, or null when the row gives none."""
+    keep = row_filter(spec)
+    line = _plain_line(spec)
+    return line if keep is None else F.when(keep, line)
 
 
 def encode_lines(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
@@ -107,6 +123,9 @@ def encode_lines(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
         from tsline.operators.changelog import changelog_filter
         df = changelog_filter(df, op_col)
     spec = resolve(df, measurement, tags, fields, time, **options)
+    # filter on raw columns first, then build the text unconditionally: no CASE
+    # around the big concat, and the time value is shared with ``time_col``
+    keep_rows = row_filter(spec)
+    src = df.where(keep_rows) if keep_rows is not None else df
     extra = [time_text(spec).alias(time_col)] if time_col else []
-    return (df.select(*[F.col(f"`{k}`") for k in keep], *extra, line_column(spec).alias("line"))
-              .where(F.col("line").isNotNull()))
+    return src.select(*[F.col(f"`{k}`") for k in keep], *extra, _plain_line(spec).alias("line"))

@@ -54,6 +54,7 @@ class LineSpec:
     non_finite: str = "keep"
     empty_tag: str = "keep"
     overflow: str = "raise"
+    measurement_literal: bool = True
 
 
 def split_names(value: Roles) -> list[str] | None:
@@ -141,4 +142,4 @@ def resolve(df: DataFrame, measurement: ColumnLike, tags: Roles = None,
     tag_roles.sort(key=lambda r: r.name)          # deterministic tag order (Q14)
     options.pop("ignore_null_values", None)
     return LineSpec(measurement=meas_col, tags=tuple(tag_roles), fields=tuple(field_roles),
-                    time=time_role, **options)
+                    time=time_role, measurement_literal=isinstance(measurement, str), **options)
