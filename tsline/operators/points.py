@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tsline.functions import escape as E
 from tsline.functions.fmt import BOOL, field_raw, field_type, render_field, tag_raw
-from tsline.operators.encode import EMPTY_MARKER, encode_lines, time_text
+from tsline.operators.encode import EMPTY_MARKER, encode_lines, row_filter, time_text
+from tsline.functions.timeunit import now_ns
 from tsline.plans.roles import ColumnLike, LineSpec, Roles, resolve
 
 TAGS_TYPE = "map<string,string>"
@@ -30,8 +31,12 @@ def _map(pairs: list[tuple[str, Column]], ddl: str) -> Column:
     return F.create_map(*args)
 
 
-def point_column(spec: LineSpec) -> Column:
-    """POINT struct, or null when no field is set and ``on_empty="drop"``."""
+def point_column(spec: LineSpec, filtered: bool = False) -> Column:
+    """POINT struct, or null when no field is set and ``on_empty="drop"``.
+
+    ``filtered=True``: the caller already kept only rows with a field (see
+    ``encode.row_filter``), so no CASE wraps the struct.
+    """
     tags = F.map_filter(
         _map([(r.name, tag_raw(r.col, r.dtype, spec.empty_tag)) for r in spec.tags], TAGS_TYPE),
         lambda k, v: v.isNotNull())
@@ -48,7 +53,7 @@ def point_column(spec: LineSpec) -> Column:
         fields = F.when(empty, marker).otherwise(fields)
     point = F.struct(spec.measurement.cast("string").alias("measurement"), tags.alias("tags"),
                      fields.alias("fields"), time_text(spec).alias("time_ns"))
-    if spec.on_empty == "drop":
+    if spec.on_empty == "drop" and not filtered:
         point = F.when(~empty, point)
     return point
 
@@ -61,8 +66,9 @@ def to_points(df: DataFrame, measurement: ColumnLike, tags: Roles = None, fields
         from tsline.operators.changelog import changelog_filter
         df = changelog_filter(df, op_col)
     spec = resolve(df, measurement, tags, fields, time, **options)
-    return (df.select(point_column(spec).alias("p")).where(F.col("p").isNotNull())
-              .select("p.*"))
+    keep_rows = row_filter(spec)
+    src = df.where(keep_rows) if keep_rows is not None else df
+    return src.select(point_column(spec, filtered=True).alias("p")).select("p.*")
 
 
 def tags_line_text(tags: Column, mode: str = "full") -> Column:
@@ -80,18 +86,24 @@ def fields_line_text(fields: Column, mode: str = "full") -> Column:
 
 
 def point_line(measurement: Column, tags: Column, fields: Column, time_ns: Column,
-               mode: str = "full") -> Column:
-    """One POINT -> its line (L4); null when the point has no field."""
+               mode: str = "full", checked: bool = False) -> Column:
+    """One POINT -> its line (L4); null when the point has no field.
+
+    ``checked=True``: the caller kept only points with a field, so no CASE
+    wraps the text.
+    """
     ftext = fields_line_text(fields, mode)
     line = F.concat(E.escape_measurement(measurement, mode), tags_line_text(tags, mode),
-                    F.lit(" "), ftext, F.lit(" "), time_ns.cast("string"))
-    return F.when(F.size(fields) > 0, line)
+                    F.lit(" "), ftext, F.lit(" "), F.coalesce(time_ns, now_ns()).cast("string"))
+    return line if checked else F.when(F.size(fields) > 0, line)
 
 
 def points_to_lines(points: DataFrame, mode: str = "full") -> DataFrame:
     """POINT rows -> ``line`` (the legacy path: build the point, then its text)."""
-    line = point_line(F.col("measurement"), F.col("tags"), F.col("fields"), F.col("time_ns"), mode)
-    return points.select(line.alias("line")).where(F.col("line").isNotNull())
+    line = point_line(F.col("measurement"), F.col("tags"), F.col("fields"), F.col("time_ns"), mode,
+                      checked=True)
+    return (points.where((F.size("fields") > 0) & F.col("measurement").isNotNull())
+                  .select(line.alias("line")))
 
 
 def encode(df: DataFrame, measurement: ColumnLike, tags: Roles = None, fields: Roles = None,
