@@ -35,23 +35,28 @@ def scan_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def infer_layout(points: DataFrame) -> tuple[list[str], dict[str, T.DataType]]:
-    """Distinct tag keys and field keys with their types.
+    """Distinct tag keys and field keys with their types, in one pass.
 
     The result has one row per key (bounded by the schema, not by the data),
     computed with a distributed ``distinct`` before it is collected.
     """
     good = points.where(F.col("_corrupt").isNull())
-    tag_rows = good.select(F.explode(F.map_keys("tags")).alias("k")).distinct().collect()
-    field_rows = (good.select(F.explode("fields").alias("k", "v"))
-                      .select("k", F.col("v")["type"].alias("t")).distinct().collect())
+    kinds = F.concat(
+        F.transform(F.map_keys("tags"), lambda k: F.struct(F.lit("tag").alias("kind"),
+                                                          k.alias("k"), F.lit("").alias("t"))),
+        F.transform(F.map_entries("fields"), lambda e: F.struct(
+            F.lit("field").alias("kind"), e["key"].alias("k"), e["value"]["type"].alias("t"))))
+    rows = good.select(F.explode(kinds).alias("x")).select("x.*").distinct().collect()
     types: dict[str, set] = {}
-    for r in field_rows:
-        types.setdefault(r["k"], set()).add(r["t"])
+    for r in rows:
+        if r["kind"] == "field":
+            types.setdefault(r["k"], set()).add(r["t"])
     fields = {}
     for k, ts in types.items():
         letter = next(iter(ts)) if len(ts) == 1 else _WIDEN.get(frozenset(ts), "s")
         fields[k] = LETTER_TYPES[letter]
-    return sorted(r["k"] for r in tag_rows), dict(sorted(fields.items()))
+    tags = sorted({r["k"] for r in rows if r["kind"] == "tag"})
+    return tags, dict(sorted(fields.items()))
 
 
 def read_back(spark: SparkSession, path: str, tags: list[str] | None = None,
