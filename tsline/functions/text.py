@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's String.trim() removes every char <= U+0020 at both ends.
-_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+TRIM_CHARS = "".join(chr(i) for i in range(0, 33))
 
 
 def java_trim(c: Column) -> Column:
-    return F.regexp_replace(c, _TRIM, "")
+    return F.trim(c, F.lit(TRIM_CHARS))
 
 
 def is_blank(c: Column) -> Column:

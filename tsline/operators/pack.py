@@ -30,14 +30,19 @@ def clean_lines(lines: Column) -> Column:
     return F.filter(F.transform(lines, java_trim), lambda x: x.isNotNull() & (x != ""))
 
 
+def clean_rows(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Trim every line and drop null or blank ones, row by row (B4), before any
+    grouping: a compiled projection, no per-element lambda after the collect."""
+    trimmed = lines.withColumn(line_col, java_trim(F.col(line_col)))
+    return trimmed.where(F.col(line_col).isNotNull() & (F.col(line_col) != ""))
+
+
 def _finish(grouped: DataFrame) -> DataFrame:
-    """``_items`` (sorted structs with field ``l``) -> body, n_lines, n_bytes."""
-    kept = clean_lines(F.transform(F.col("_items"), lambda x: x["l"]))
-    return (grouped.withColumn("_kept", kept).where(F.size("_kept") > 0)
-                   .withColumn("body", F.array_join("_kept", "\n"))
-                   .withColumn("n_lines", F.size("_kept").cast("bigint"))
+    """``_items`` (sorted structs with field ``l``, already clean) -> body, n_lines, n_bytes."""
+    return (grouped.withColumn("body", F.array_join(F.col("_items")["l"], "\n"))
+                   .withColumn("n_lines", F.size("_items").cast("bigint"))
                    .withColumn("n_bytes", F.octet_length("body").cast("bigint"))
-                   .drop("_items", "_kept"))
+                   .drop("_items"))
 
 
 def _collect(df: DataFrame, group: Sequence[Column], order: Column, line_col: str) -> DataFrame:
@@ -57,7 +62,8 @@ def pack_by_count(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE,
     """
     _check_size(batch_size)
     keys = list(keys)
-    ranked = rank_within(lines, keys, list(order) + [line_col], num_partitions)
+    ranked = rank_within(clean_rows(lines, line_col), keys, list(order) + [line_col],
+                         num_partitions)
     batch = F.floor(F.col("_rank") / F.lit(batch_size)).cast("bigint").alias("batch_id")
     group = [F.col(f"`{k}`") for k in keys] + [batch]
     return _finish(_collect(ranked, group, F.col("_rank"), line_col))
@@ -89,7 +95,7 @@ def payloads(lines: DataFrame, group: Sequence[str | Column], line_col: str = "l
     """
     ordering = F.col(order) if order else F.col(line_col)
     group = [F.col(g) if isinstance(g, str) else g for g in group]
-    return _finish(_collect(lines, group, ordering, line_col))
+    return _finish(_collect(clean_rows(lines, line_col), group, ordering, line_col))
 
 
 def route(lines: DataFrame, database: str | Column, measurement: str | Column,
