@@ -45,7 +45,8 @@ def test_backoff_and_adaptive_rules():
 
 def test_sink_delivers_every_line_in_bounded_payloads(spark, tmp_dir):
     log = tmp_dir + "-log"
-    send_lines(_lines(spark), tmp_dir, "db1", batch_size=300, write_log=log)
+    seen = send_lines(_lines(spark), tmp_dir, "db1", batch_size=300, write_log=log)
+    assert seen["rows"] == 2500 and seen["bytes"] > 0
     back = read_payload_lines(spark, tmp_dir)
     assert back.count() == 2500
     assert back.select("line").exceptAll(_lines(spark)).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsline.session import ship_package
@@ -24,7 +24,8 @@ def _option_map(options: dict) -> dict:
 
 
 def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
-               parallelism: int | None = None, by: list[str] | None = None, **options) -> None:
+               parallelism: int | None = None, by: list[str] | None = None,
+               **options) -> dict:
     """Write a DataFrame with a ``line`` column through the sink (B1).
 
     ``parallelism`` (B13) repartitions first.  With ``by`` columns (e.g. series,
@@ -32,6 +33,9 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
     contiguous, ordered run of a series, and a hot series is split over several
     tasks instead of landing in one.  Options use the sink's names with ``_``
     for ``-`` (batch_size=..., max_retries=...).
+
+    Returns the rows and UTF-8 bytes handed to the sink, observed while the
+    write runs (no second pass over the data).
     """
     register(lines.sparkSession)
     opts = _option_map({"path": path, "database": database, **options})
@@ -43,7 +47,12 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
         out = out.repartitionByRange(parallelism, *order).sortWithinPartitions(*order)
     elif parallelism:
         out = out.repartition(parallelism)
-    out.select(*cols).write.format(NAME).options(**opts).mode("append").save()
+    seen = Observation("tsline_send")
+    out = out.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"),
+                                    F.coalesce(F.sum(F.octet_length("line")), F.lit(0))
+                                    .alias("bytes"))
+    out.write.format(NAME).options(**opts).mode("append").save()
+    return seen.get
 
 
 def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
