@@ -16,7 +16,6 @@ import time
 REPO = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, REPO)
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tsline.operators.decode import decode_columns, decode_lines  # noqa: E402
 from tsline.operators.encode import encode_lines  # noqa: E402

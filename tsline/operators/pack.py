@@ -25,11 +25,6 @@ def _check_size(batch_size: int) -> None:
         raise ValueError(f"batch size must be a positive integer, got {batch_size!r}")
 
 
-def clean_lines(lines: Column) -> Column:
-    """Array of lines -> trimmed, without null or blank entries."""
-    return F.filter(F.transform(lines, java_trim), lambda x: x.isNotNull() & (x != ""))
-
-
 def clean_rows(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Trim every line and drop null or blank ones, row by row (B4), before any
     grouping: a compiled projection, no per-element lambda after the collect."""
