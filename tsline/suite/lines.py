@@ -118,7 +118,7 @@ def q_points_to_lines(spark, sf_dir):
     return points_to_lines(to_points(ev, "events", tags=EVENTS_TAGS, time="ts"))
 
 
-@query("path_equivalence", "SELECT 0 AS n_diff, count(*) AS n_lines FROM events")
+@query("path_equivalence", "SELECT CAST(0 AS BIGINT) AS n_diff, count(*) AS n_lines FROM events")
 def q_path_equivalence(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     by_line = encode(ev, "events", tags=EVENTS_TAGS, time="ts", path="line")

@@ -25,7 +25,7 @@ def q_payload_clean(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     body = clean_payload(F.col("text"))
     return docs.select("doc_id", F.md5(body).alias("body_md5"),
-                       F.length(body).alias("body_chars"))
+                       F.length(body).cast("bigint").alias("body_chars"))
 
 
 # lines made dirty on purpose: null, empty, blank and padded ones
