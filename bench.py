@@ -31,9 +31,12 @@ CPUS = os.environ.get("BENCH_CPUS", "4")
 LINEITEM_TAGS = ["l_returnflag", "l_linestatus"]
 
 
-def _sf(path: str) -> str:
+def _sf(path: str):
     name = os.path.basename(path)
-    return name[2:] if name.startswith("sf") else name
+    try:
+        return float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        return name
 
 
 def _noop(df) -> None:
