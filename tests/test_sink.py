@@ -109,3 +109,28 @@ def test_sql_insert_with_options(spark, tmp_dir):
               "'batch-size'='50') SELECT line FROM t_lines")
     assert read_payload_lines(spark, tmp_dir).where("database = 'sqldb'").count() == 120
     assert os.path.isdir(f"{tmp_dir}/database=sqldb")
+
+
+def test_sql_insert_raw_rows_with_role_options(spark, tmp_dir):
+    """INSERT INTO sink SELECT * with role options: the writer encodes, same lines as the
+    DataFrame encoder."""
+    import datetime as dt
+    import math
+    from decimal import Decimal
+    from tsline.operators.encode import encode_lines
+    register(spark)
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, i % 3, (i * 137) % 1_000_000), f"s {i % 3}", f"r,{i}",
+             i * 1.5, None if i % 4 == 0 else f'v "{i}"\\\n', i % 2 == 0, i * 1000, Decimal(i) / 7,
+             (1e7 * i, 1e-5 * i, math.nan, math.inf)[i % 4], float(i) / 3)
+            for i in range(40)]
+    schema = ("ts timestamp, sensor string, region string, temp double, note string, ok boolean, "
+              "n bigint, dec decimal(10,2), odd double, f float")
+    spark.createDataFrame(rows, schema).createOrReplaceTempView("raw_src")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS raw_sink ({schema}) USING lineproto")
+    spark.sql(f"INSERT INTO raw_sink WITH ('path'='{tmp_dir}', 'database'='raw', "
+              "'measurement'='sensor data', 'tag-fields'='sensor, region', "
+              "'timestamp-field'='ts', 'batch-size'='7') SELECT * FROM raw_src")
+    got = read_payload_lines(spark, tmp_dir).select("line")
+    want = encode_lines(spark.table("raw_src"), "sensor data", tags="sensor, region", time="ts")
+    assert got.count() == 40
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -1,8 +1,9 @@
 """The line sink: a Python data source named ``lineproto``.
 
-Encoding stays in the JVM: the writer receives only Arrow batches of the
+Encoding normally stays in the JVM: the writer receives Arrow batches of the
 ``line`` column (plus optional ``database`` / ``retention_policy`` routing
-columns).  Each task:
+columns).  Raw rows inserted from SQL with role options (``measurement``,
+``tag-fields``, ...) are encoded per Arrow batch by ``arrow_encode``.  Each task:
 
 * trims lines and drops null/blank ones with Arrow compute (B4),
 * cuts them into payloads of ``batch-size`` lines per destination (B7, B12),
@@ -324,11 +325,19 @@ def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBat
     ctx = TaskContext.get()
     partition = ctx.partitionId() if ctx else 0
     sender = PayloadSender(opts, prefix, partition)
+    spec = None
     for rb in batches:
         names = rb.schema.names
-        if "line" not in names:
-            raise ValueError("the lineproto sink needs a string column named 'line'")
-        lines = rb.column(names.index("line"))
+        if "line" in names:
+            lines = rb.column(names.index("line"))
+        elif opts.measurement:
+            # raw rows from SQL with role options: encode this Arrow batch here
+            from tsline.sources.arrow_encode import encode_batch, spec_from_options
+            spec = spec or spec_from_options(opts.raw, rb.schema)
+            lines = encode_batch(rb, spec)
+        else:
+            raise ValueError("the lineproto sink needs a 'line' column, or the option "
+                             "'measurement' (with tag-fields / field-fields / timestamp-field)")
         db = rb.column(names.index("database")) if "database" in names else None
         rp = rb.column(names.index("retention_policy")) if "retention_policy" in names else None
         if db is None and rp is None:
@@ -410,7 +419,7 @@ class LineProtoDataSource(DataSource):
         return NAME
 
     def schema(self) -> str:
-        return "line string"
+        return "line string"      # what a table created without columns holds
 
     def writer(self, schema, overwrite: bool) -> LineWriter:
         return LineWriter(self.options, overwrite)

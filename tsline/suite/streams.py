@@ -45,6 +45,21 @@ def q_sink_sql(spark, sf_dir):
     return read_payload_lines(spark, out).select("line", "database")
 
 
+@query("sink_sql_rows", _LINES_SQL)
+def q_sink_sql_rows(spark, sf_dir):
+    register(spark)
+    out = scratch_path(spark, "sink-sql-rows")
+    table(spark, sf_dir, "events").createOrReplaceTempView("tsline_events_raw")
+    spark.sql("CREATE TABLE IF NOT EXISTS tsline_raw_sink (event_id BIGINT, ts TIMESTAMP_NTZ, "
+              "user_id BIGINT, event_type STRING, value DOUBLE, props STRING) USING lineproto")
+    # raw rows and role options, as a SQL user of the reference writes them
+    spark.sql(f"""INSERT INTO tsline_raw_sink WITH ('path' = '{out}', 'database' = '{DATABASE}',
+                  'measurement' = 'events', 'tag-fields' = 'event_type,user_id',
+                  'timestamp-field' = 'ts', 'batch-size' = '1000')
+                  SELECT * FROM tsline_events_raw""")
+    return read_payload_lines(spark, out).select("line", "database")
+
+
 @query("stream_encode", f"SELECT {S.EVENTS_LINE} AS line FROM events")
 def q_stream_encode(spark, sf_dir):
     out, ck = scratch_path(spark, "stream-lines"), scratch_path(spark, "stream-ck")
