@@ -38,7 +38,8 @@ def q_sink_sql(spark, sf_dir):
     register(spark)
     out = scratch_path(spark, "sink-sql")
     events_lines(spark, sf_dir).createOrReplaceTempView("tsline_event_lines")
-    spark.sql("CREATE TABLE IF NOT EXISTS tsline_sink (line STRING) USING lineproto")
+    spark.sql("DROP TABLE IF EXISTS tsline_sink")
+    spark.sql("CREATE TABLE tsline_sink (line STRING) USING lineproto")
     spark.sql(f"""INSERT INTO tsline_sink WITH ('path' = '{out}', 'database' = '{DATABASE}',
                   'batch-size' = '1000', 'max-retries' = '3')
                   SELECT line FROM tsline_event_lines""")
@@ -50,7 +51,8 @@ def q_sink_sql_rows(spark, sf_dir):
     register(spark)
     out = scratch_path(spark, "sink-sql-rows")
     table(spark, sf_dir, "events").createOrReplaceTempView("tsline_events_raw")
-    spark.sql("CREATE TABLE IF NOT EXISTS tsline_raw_sink (event_id BIGINT, ts TIMESTAMP_NTZ, "
+    spark.sql("DROP TABLE IF EXISTS tsline_raw_sink")
+    spark.sql("CREATE TABLE tsline_raw_sink (event_id BIGINT, ts TIMESTAMP_NTZ, "
               "user_id BIGINT, event_type STRING, value DOUBLE, props STRING) USING lineproto")
     # raw rows and role options, as a SQL user of the reference writes them
     spark.sql(f"""INSERT INTO tsline_raw_sink WITH ('path' = '{out}', 'database' = '{DATABASE}',
