@@ -30,9 +30,15 @@ def upsert_latest(df: DataFrame, key: Sequence[str], seq: str | Column,
     copies (replays) is reduced before the shuffle and never lands in one task.
     """
     seq_col = F.col(seq) if isinstance(seq, str) else seq
+    keys = [F.col(f"`{k}`") for k in key]
+    if len(values) == 1:
+        # one fixed-width buffer per group: planned as a hash aggregate
+        v = values[0]
+        return (df.groupBy(*keys).agg(F.max_by(F.col(f"`{v}`"), seq_col).alias(v),
+                                      F.max(seq_col).alias("seq")))
+    # several values: one struct, so all come from the same row even when seq ties
     packed = F.struct(*[F.col(f"`{v}`").alias(v) for v in values])
-    agg = (df.groupBy(*[F.col(f"`{k}`") for k in key])
-             .agg(F.max_by(packed, seq_col).alias("_last"), F.max(seq_col).alias("_seq")))
-    return agg.select(*[F.col(f"`{k}`") for k in key],
-                      *[F.col("_last")[v].alias(v) for v in values],
+    agg = df.groupBy(*keys).agg(F.max_by(packed, seq_col).alias("_last"),
+                                F.max(seq_col).alias("_seq"))
+    return agg.select(*keys, *[F.col("_last")[v].alias(v) for v in values],
                       F.col("_seq").alias("seq"))

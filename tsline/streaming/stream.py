@@ -117,12 +117,15 @@ def stream_upsert(stream: DataFrame, key: Sequence[str], time: str, seq: str,
         micros = F.unix_micros(t)
         t = F.timestamp_micros(floor_div(micros, step // 1000) * F.lit(step // 1000))
     df = df.withColumn("_t", t)
+    grouped = df.withWatermark("_t", watermark).groupBy(*[F.col(k) for k in key], F.col("_t"))
+    time_ns = (F.unix_micros("_t") * 1000).alias("time_ns")
+    if len(values) == 1:
+        v = values[0]
+        return (grouped.agg(F.max_by(F.col(v), F.col(seq)).alias(v), F.max(seq).alias("seq"))
+                       .select(*key, time_ns, v, "seq"))
     packed = F.struct(*[F.col(v).alias(v) for v in values])
-    return (df.withWatermark("_t", watermark)
-              .groupBy(*[F.col(k) for k in key], F.col("_t"))
-              .agg(F.max_by(packed, F.col(seq)).alias("_last"), F.max(seq).alias("seq"))
-              .select(*key, (F.unix_micros("_t") * 1000).alias("time_ns"),
-                      *[F.col("_last")[v].alias(v) for v in values], "seq"))
+    return (grouped.agg(F.max_by(packed, F.col(seq)).alias("_last"), F.max(seq).alias("seq"))
+                   .select(*key, time_ns, *[F.col("_last")[v].alias(v) for v in values], "seq"))
 
 
 def start_upsert_log(updates: DataFrame, path: str, checkpoint: str,
@@ -142,12 +145,8 @@ def start_upsert_log(updates: DataFrame, path: str, checkpoint: str,
 def collapse_upserts(spark: SparkSession, path: str, key: Sequence[str],
                      values: Sequence[str]) -> DataFrame:
     """Current view of an upsert log: per (key, time) the row with the highest seq."""
-    log = spark.read.parquet(path)
-    packed = F.struct(*[F.col(v).alias(v) for v in values])
-    cols = list(key) + ["time_ns"]
-    return (log.groupBy(*cols).agg(F.max_by(packed, F.col("seq")).alias("_l"),
-                                   F.max("seq").alias("seq"))
-               .select(*cols, *[F.col("_l")[v].alias(v) for v in values], "seq"))
+    from tsline.operators.changelog import upsert_latest
+    return upsert_latest(spark.read.parquet(path), list(key) + ["time_ns"], "seq", list(values))
 
 
 def time_now_stream(stream: DataFrame) -> DataFrame:
