@@ -28,10 +28,11 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
                **options) -> dict:
     """Write a DataFrame with a ``line`` column through the sink (B1).
 
-    ``parallelism`` (B13) repartitions first.  With ``by`` columns (e.g. series,
-    time) the rows are range-partitioned and sorted on them: each task sends a
-    contiguous, ordered run of a series, and a hot series is split over several
-    tasks instead of landing in one.  Options use the sink's names with ``_``
+    ``parallelism`` (B13) repartitions first (from SQL: a ``REPARTITION(n)``
+    hint in the ``SELECT``).  With ``by`` columns (e.g. series, time) the rows
+    are range-partitioned and sorted on them: each task sends a contiguous,
+    ordered run of a series, and a hot series is split over several tasks
+    instead of landing in one.  Options use the sink's names with ``_``
     for ``-`` (batch_size=..., max_retries=...).
 
     Returns the rows and UTF-8 bytes handed to the sink, observed while the
@@ -42,9 +43,11 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
     parse_options(opts)                       # fail on the driver, before any task starts
     cols = [c for c in ("line", "database", "retention_policy") if c in lines.columns]
     out = lines
-    if parallelism and by:
+    if by:
         order = [F.col(c) for c in by]
-        out = out.repartitionByRange(parallelism, *order).sortWithinPartitions(*order)
+        ranged = (out.repartitionByRange(parallelism, *order) if parallelism
+                  else out.repartitionByRange(*order))        # adaptive execution sizes it
+        out = ranged.sortWithinPartitions(*order)
     elif parallelism:
         out = out.repartition(parallelism)
     seen = Observation("tsline_send")
