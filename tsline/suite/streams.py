@@ -28,8 +28,9 @@ def _events_stream(spark, sf_dir, files_per_trigger=None):
 @query("sink_batch", _LINES_SQL)
 def q_sink_batch(spark, sf_dir):
     out = scratch_path(spark, "sink")
-    send_lines(events_lines(spark, sf_dir), out, DATABASE, batch_size=500, parallelism=4,
-               by=["line"])
+    # each task sends a contiguous, time-ordered run of a series
+    lines = events_lines(spark, sf_dir, keep=["event_type"], time_col="time_ns")
+    send_lines(lines, out, DATABASE, batch_size=500, parallelism=4, by=["event_type", "time_ns"])
     return read_payload_lines(spark, out).select("line", "database")
 
 
