@@ -76,3 +76,14 @@ def test_payload_join_f8(spark):
 def test_clean_payload(spark):
     df = spark.createDataFrame([("  a f=1 \n\n \tb f=2\r\n",), (" \n ",)], "body string")
     assert [r[0] for r in df.select(clean_payload(F.col("body"))).collect()] == ["a f=1\nb f=2", None]
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    df = spark.range(20000).select(F.lit("hot").alias("k"), (F.col("id") * 7 % 20000).alias("t"))
+    ranked = rank_within(df, ["k"], ["t"], num_partitions=8)
+    spread = ranked.select("_pid").distinct().count()
+    assert spread >= 4                       # one key, many tasks
+    ranks = ranked.agg(F.min("_rank"), F.max("_rank"), F.countDistinct("_rank")).collect()[0]
+    assert tuple(ranks) == (0, 19999, 20000)
+    bad = ranked.where(F.col("_rank") != F.col("t")).count()   # t is a permutation of 0..19999
+    assert bad == 0

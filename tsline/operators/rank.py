@@ -39,8 +39,9 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 num_partitions: int | None = None,
                 broadcast_rows: int = BROADCAST_RUN_ROWS) -> DataFrame:
     """Add ``_rank`` (bigint, 0-based) = position of the row inside its key when
-    sorted by ``order``.  ``order`` should make rows unique (or rows equal in
-    every sort column must be interchangeable) for a deterministic result."""
+    sorted by ``order``, and ``_pid``, the range partition the row was placed in
+    (a hot key shows up in several).  ``order`` should make rows unique (or rows
+    equal in every sort column must be interchangeable) for a deterministic result."""
     keys, order = list(keys), list(order)
     sort_cols = [F.col(f"`{c}`") for c in keys + order]
     # positions are read after the exchange (coalesced or not) and written once,
@@ -67,4 +68,4 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     joined = laid.join(runs, cond)
     out_cols = [laid[c] for c in df.columns]
     rank = (runs["_off"] + laid["_pos"] - runs["_first"]).alias("_rank")
-    return joined.select(*out_cols, rank)
+    return joined.select(*out_cols, rank, laid["_pid"])
