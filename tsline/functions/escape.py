@@ -26,46 +26,43 @@ NL = "\n"
 CR = "\r"
 
 
-def _rep(c: Column, src: str, dst: str) -> Column:
-    return F.replace(c, F.lit(src), F.lit(dst))
+# The same rules as (character, replacement) pairs, in the order they apply.
+CONTROL_PAIRS = [(BS, BS + BS), (NL, BS + "n"), (CR, BS + "r")]
+MEASUREMENT_PAIRS = CONTROL_PAIRS + [(",", BS + ","), (" ", BS + " ")]
+TAG_PAIRS = CONTROL_PAIRS + [(" ", BS + " "), (",", BS + ","), ("=", BS + "=")]
+STRING_PAIRS = CONTROL_PAIRS + [('"', BS + '"')]
 
 
-def _escape_controls(c: Column) -> Column:
-    # backslash first so the backslashes added afterwards are not doubled
-    c = _rep(c, BS, BS + BS)
-    c = _rep(c, NL, BS + "n")
-    return _rep(c, CR, BS + "r")
+def escape_text(text: str, pairs=TAG_PAIRS) -> str:
+    """Plain-Python escaping for names known on the driver (keys, measurements)."""
+    for a, b in pairs:
+        text = text.replace(a, b)
+    return text
+
+
+def _apply(c: Column, pairs) -> Column:
+    for a, b in pairs:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
 
 
 def escape_measurement(c: Column, mode: str = "full") -> Column:
-    if mode == "compat":
-        return c
-    c = _escape_controls(c)
-    c = _rep(c, ",", BS + ",")
-    return _rep(c, " ", BS + " ")
+    return c if mode == "compat" else _apply(c, MEASUREMENT_PAIRS)
 
 
 def escape_key(c: Column, mode: str = "full") -> Column:
     """Tag key or field key."""
-    if mode == "compat":
-        return c
-    return escape_tag(c, mode)
+    return c if mode == "compat" else _apply(c, TAG_PAIRS)
 
 
 def escape_tag(c: Column, mode: str = "full") -> Column:
     """Tag value: space, comma and '=' get a backslash."""
-    if mode == "full":
-        c = _escape_controls(c)
-    c = _rep(c, " ", BS + " ")
-    c = _rep(c, ",", BS + ",")
-    return _rep(c, "=", BS + "=")
+    return _apply(c, TAG_PAIRS if mode == "full" else TAG_PAIRS[len(CONTROL_PAIRS):])
 
 
 def escape_string(c: Column, mode: str = "full") -> Column:
     """Inside of a quoted string field (without the quotes)."""
-    if mode == "full":
-        c = _escape_controls(c)
-    return _rep(c, '"', BS + '"')
+    return _apply(c, STRING_PAIRS if mode == "full" else STRING_PAIRS[len(CONTROL_PAIRS):])
 
 
 def quote_string(c: Column, mode: str = "full") -> Column:
@@ -75,8 +72,7 @@ def quote_string(c: Column, mode: str = "full") -> Column:
 
 def _unescape_piece(p: Column) -> Column:
     # p holds no escaped backslash, so every remaining backslash starts one pair
-    p = _rep(p, BS + "n", NL)
-    p = _rep(p, BS + "r", CR)
+    p = _apply(p, [(BS + "n", NL), (BS + "r", CR)])
     return F.regexp_replace(p, r'\\([ ,="])', "$1")
 
 

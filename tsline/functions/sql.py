@@ -9,22 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tsline.functions import escape as E
 from tsline.functions.timeunit import PRECISION_NS
 from tsline.operators.points import encode
 
-_BS = "\\\\"       # one backslash inside a Spark SQL string literal
+def _sql_lit(text: str) -> str:
+    """A Spark SQL expression for ``text``: a quoted literal (backslash doubled),
+    or ``char(n)`` for a newline / carriage return."""
+    if text in ("\n", "\r"):
+        return f"char({ord(text)})"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _replace_chain(x: str, pairs) -> str:
     for a, b in pairs:
-        x = f"replace({x}, {a}, {b})"
+        x = f"replace({x}, {_sql_lit(a)}, {_sql_lit(b)})"
     return x
 
 
-_CONTROLS = [(f"'{_BS}'", f"'{_BS}{_BS}'"), ("char(10)", f"'{_BS}n'"), ("char(13)", f"'{_BS}r'")]
-_TAG = _CONTROLS + [("' '", f"'{_BS} '"), ("','", f"'{_BS},'"), ("'='", f"'{_BS}='")]
-_MEAS = _CONTROLS + [("','", f"'{_BS},'"), ("' '", f"'{_BS} '")]
-_STR = _CONTROLS + [("'\"'", f"'{_BS}\"'")]
+_TAG = E.TAG_PAIRS
+_MEAS = E.MEASUREMENT_PAIRS
+_STR = E.STRING_PAIRS
 _PRECISION_CASE = "CASE p " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRECISION_NS.items()) \
     + " END"
 

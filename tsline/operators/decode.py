@@ -115,10 +115,7 @@ def decode_lines(lines: DataFrame, line_col: str = "line", keep: Sequence[str] =
 
 def _line_key(name: str) -> str:
     """A key as it appears on a line (escaped)."""
-    escaped = name.replace("\\", "\\\\").replace("\n", "\\n").replace("\r", "\\r")
-    for ch in " ,=":
-        escaped = escaped.replace(ch, "\\" + ch)
-    return escaped
+    return E.escape_text(name, E.TAG_PAIRS)
 
 
 def _typed_value(raw: Column, dtype: T.DataType) -> Column:

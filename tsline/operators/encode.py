@@ -48,12 +48,7 @@ def fields_text(spec: LineSpec) -> Column:
 
 def _plain_key(name: str, mode: str) -> str:
     """Escape a key known on the driver (same rule as ``escape.escape_key``)."""
-    if mode == "compat":
-        return name
-    out = name.replace("\\", "\\\\").replace("\n", "\\n").replace("\r", "\\r")
-    for ch in " ,=":
-        out = out.replace(ch, "\\" + ch)
-    return out
+    return name if mode == "compat" else E.escape_text(name, E.TAG_PAIRS)
 
 
 def time_text(spec: LineSpec) -> Column:

@@ -20,12 +20,7 @@ import pyarrow.compute as pc
 
 from tsline.functions.timeunit import precision_factor
 
-BS = "\\"
-# The same escape rules as functions.escape (mode "full").
-CONTROLS = [(BS, BS + BS), ("\n", BS + "n"), ("\r", BS + "r")]
-TAG_CHARS = CONTROLS + [(" ", BS + " "), (",", BS + ","), ("=", BS + "=")]
-MEAS_CHARS = CONTROLS + [(",", BS + ","), (" ", BS + " ")]
-STRING_CHARS = CONTROLS + [('"', BS + '"')]
+from tsline.functions.escape import MEASUREMENT_PAIRS, STRING_PAIRS, TAG_PAIRS, escape_text
 
 
 @dataclass(frozen=True)
@@ -138,7 +133,7 @@ def field_text(arr: pa.Array) -> pa.Array:
         return _cat(raw, pa.scalar("i"))
     if pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_timestamp(t) \
             or pa.types.is_decimal(t):
-        return _cat(pa.scalar('"'), _replace(raw, STRING_CHARS), pa.scalar('"'))
+        return _cat(pa.scalar('"'), _replace(raw, STRING_PAIRS), pa.scalar('"'))
     if pa.types.is_floating(t) or pa.types.is_boolean(t):
         return raw
     raise TypeError(f"column type {t} cannot be a field")
@@ -148,7 +143,7 @@ def tag_text(arr: pa.Array) -> pa.Array:
     raw = _raw_text(arr)
     if pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type) \
             or pa.types.is_timestamp(arr.type):
-        return _replace(raw, TAG_CHARS)
+        return _replace(raw, TAG_PAIRS)
     return raw
 
 
@@ -167,17 +162,13 @@ def time_ns(rb: pa.RecordBatch, spec: ArrowSpec) -> pa.Array:
 
 
 def _escape_key(name: str) -> str:
-    for a, b in TAG_CHARS:
-        name = name.replace(a, b)
-    return name
+    return escape_text(name, TAG_PAIRS)
 
 
 def encode_batch(rb: pa.RecordBatch, spec: ArrowSpec) -> pa.Array:
     """Rows of one Arrow batch -> lines; rows without a field give no line."""
     col = lambda n: rb.column(rb.schema.get_field_index(n))
-    meas = spec.measurement
-    for a, b in MEAS_CHARS:
-        meas = meas.replace(a, b)
+    meas = escape_text(spec.measurement, MEASUREMENT_PAIRS)
     tag_frags = [_cat(pa.scalar(f",{_escape_key(n)}="), tag_text(col(n))) for n in spec.tags]
     tags = (pc.binary_join_element_wise(*tag_frags, "", null_handling="skip") if tag_frags
             else pa.array([""] * rb.num_rows, pa.string()))
