@@ -14,7 +14,7 @@ from tsline.operators.explore import (count_fields, count_points, delete_by_time
                                       series_index, tag_keys)
 from tsline.operators.pack import pack_by_count, pack_by_interval, payloads, route
 from tsline.operators.points import encode, points_to_lines, to_points
-from tsline.operators.windows import tumble_agg
+from tsline.operators.windows import tumble_agg, tumble_lines
 from tsline.session import get_session
 from tsline.sources.delivery import (read_payload_lines, read_write_log, register, send_lines,
                                      write_stats)
@@ -28,6 +28,7 @@ __all__ = [
     "filter_tag", "get_session", "latest_n", "measurements", "pack_by_count", "pack_by_interval",
     "payloads", "pivot_points", "points_from", "points_per_interval", "points_to_lines",
     "read_back", "read_payload_lines", "read_write_log", "register", "route", "scan_points",
-    "send_lines", "series_index", "tag_keys", "to_points", "tumble_agg", "upsert_latest",
+    "send_lines", "series_index", "tag_keys", "to_points", "tumble_agg", "tumble_lines",
+    "upsert_latest",
     "write_lines", "write_stats",
 ]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsline.functions.timeunit import floor_div, time_value
+from tsline.operators.encode import encode_lines
 from tsline.plans.roles import resolve
 
 # Length of a duration unit in ns, for strings like '10 seconds'.
@@ -54,3 +55,15 @@ def tumble_agg(df: DataFrame, time: str, every: str | int, by: Sequence[str], va
     return agg.select("window_start_ns", (F.col("window_start_ns") + F.lit(step))
                       .alias("window_end_ns"), *by, "avg_value", "max_value", "min_value",
                       "record_count")
+
+
+def tumble_lines(df: DataFrame, measurement: str, time: str, every: str | int, by: Sequence[str],
+                 value: str, precision: str = "ms", digits: int | None = None) -> DataFrame:
+    """``tumble_agg`` written as points (E1): tags = ``by``, fields = the aggregates,
+    time = the window end.  ``digits`` rounds the average first."""
+    agg = tumble_agg(df, time, every, by, value, precision)
+    if digits is not None:
+        agg = agg.withColumn("avg_value", F.round("avg_value", digits))
+    return encode_lines(agg, measurement, tags=list(by),
+                        fields=["avg_value", "max_value", "min_value", "record_count"],
+                        time="window_end_ns", precision="ns")

@@ -8,7 +8,7 @@ from tsline.functions import timeunit as U
 from tsline.operators import explore as X
 from tsline.operators.changelog import upsert_latest
 from tsline.operators.encode import encode_lines
-from tsline.operators.windows import tumble_agg
+from tsline.operators.windows import tumble_agg, tumble_lines
 from tsline.sources.lines import read_back, scan_points, write_lines
 from tsline.suite import sqlbits as S
 from tsline.suite.registry import query, table
@@ -140,6 +140,19 @@ def q_tumble_agg(spark, sf_dir):
     return out.withColumn("avg_value", F.round("avg_value", 6))
 
 
+@query("tumble_lines", f"""WITH w AS (SELECT event_type,
+    epoch_us(ts) // 10000000 * 10000000000 + 10000000000 AS window_end_ns,
+    round(avg(value), 6) AS avg_value, max(value) AS max_value, min(value) AS min_value,
+    count(*) AS record_count FROM events GROUP BY ALL)
+SELECT {S.line("'event_stats'", [S.tag('event_type', 'event_type')],
+               [S.fnum('avg_value', 'avg_value'), S.fnum('max_value', 'max_value'),
+                S.fnum('min_value', 'min_value'), S.fint('record_count', 'record_count')],
+               'window_end_ns')} AS line FROM w""")
+def q_tumble_lines(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return tumble_lines(ev, "event_stats", "ts", "10 seconds", ["event_type"], "value", digits=6)
+
+
 _HOUR_NS = 3_600_000_000_000
 
 
