@@ -85,3 +85,22 @@ def test_stream_upsert_keeps_last_write(spark):
     ST.start_upsert_log(updates, out, ck).awaitTermination()
     view = ST.collapse_upserts(spark, out, ["location"], ["temperature"]).orderBy("time_ns").collect()
     assert [(r["temperature"], r["seq"]) for r in view] == [(3.0, 3), (4.0, 4)]
+
+
+def test_stream_window_points_through_the_sink(spark):
+    """Stream -> watermark + window -> aggregates encoded as lines -> lineproto sink."""
+    src = scratch_path(spark, "winsink-src")
+    _write_files(src, [[(1, "hall", 20), (4, "hall", 22), (8, "room1", 30)], [(100, "hall", 25)]])
+    out, ck = scratch_path(spark, "winsink-out"), scratch_path(spark, "winsink-ck")
+    stream = ST.read_stream(spark, src, _schema(spark, src), max_files_per_trigger=1)
+    agg = ST.stream_tumble(stream, "ts", "10 seconds", ["location"], "temperature")
+    lines = ST.stream_lines(agg, "temps", tags=["location"],
+                            fields=["avg_value", "max_value", "min_value", "record_count"],
+                            time="window_end_ns", precision="ns")
+    ST.start_sink(lines, ck, path=out, database="db").awaitTermination()
+    got = sorted(r["line"] for r in read_payload_lines(spark, out).collect())
+    end = int((BASE + dt.timedelta(seconds=10)).replace(tzinfo=dt.timezone.utc).timestamp()) * 10**9
+    assert got == [f"temps,location=hall avg_value=21.0,max_value=22.0,min_value=20.0,"
+                   f"record_count=2i {end}",
+                   f"temps,location=room1 avg_value=30.0,max_value=30.0,min_value=30.0,"
+                   f"record_count=1i {end}"]
