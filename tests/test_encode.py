@@ -245,3 +245,14 @@ def test_arrow_line_encoder_for_opaque_code(spark):
         return out.where(pdf["v"].notna(), None)
     got = lines_of(encode_custom(df, arrow_line_encoder(my_lines, ["host", "v"])))
     assert got == ["m,host=a v=1.5"]
+
+
+def test_overflow_raises_without_ansi(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000, 1.0)], "t bigint, v double")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        with pytest.raises(Exception, match="overflows"):
+            encode_lines(df, "m", time="t", precision="s").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -41,19 +41,26 @@ def floor_div(c: Column, factor: int) -> Column:
     return F.call_function("div", c - F.pmod(c, f), f)
 
 
+def checked_multiply(c: Column, factor: int, overflow: str = "raise") -> Column:
+    """``c * factor`` as bigint; on overflow fail the task (``"raise"``) or give
+    null (``"null"``), whatever the session's ANSI setting is."""
+    product = F.try_multiply(c, F.lit(factor).cast("bigint"))
+    if overflow == "null":
+        return product
+    # the error branch is only evaluated when the product is null
+    return F.coalesce(product, F.when(c.isNotNull(), F.raise_error(
+        F.lit(f"time value overflows nanoseconds (x{factor})"))).cast("bigint"))
+
+
 def epoch_to_ns(c: Column, precision: str = "ms", overflow: str = "raise") -> Column:
     """Epoch integer in ``precision`` units -> ns.
 
-    ``overflow="raise"`` keeps ANSI multiplication (the task fails);
-    ``"null"`` uses ``try_multiply`` so the caller can route the row aside.
+    ``overflow="raise"`` fails the task on overflow; ``"null"`` gives null so
+    the caller can leave the row out.
     """
     factor = precision_factor(precision)
     c = c.cast("bigint")
-    if factor == 1:
-        return c
-    if overflow == "null":
-        return F.try_multiply(c, F.lit(factor).cast("bigint"))
-    return c * F.lit(factor).cast("bigint")
+    return c if factor == 1 else checked_multiply(c, factor, overflow)
 
 
 def ns_to_unit(c: Column, precision: str) -> Column:
@@ -79,9 +86,9 @@ def epoch_micros(c: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"not a timestamp type: {dtype.simpleString()}")
 
 
-def ts_to_ns(c: Column, dtype: T.DataType) -> Column:
-    """Timestamp column -> epoch ns."""
-    return epoch_micros(c, dtype) * F.lit(1000)
+def ts_to_ns(c: Column, dtype: T.DataType, overflow: str = "raise") -> Column:
+    """Timestamp column -> epoch ns (I11); instants after 2262 overflow ns."""
+    return checked_multiply(epoch_micros(c, dtype), 1000, overflow)
 
 
 def ts_to_ms(c: Column, dtype: T.DataType) -> Column:
@@ -133,7 +140,7 @@ def time_value(c: Column | None, dtype: T.DataType | None, precision: str = "ms"
     if isinstance(dtype, INTEGRAL):
         value = epoch_to_ns(c, precision, overflow)
     elif isinstance(dtype, TIMESTAMPS):
-        value = ts_to_ms(c, dtype) if unit == "compat" else ts_to_ns(c, dtype)
+        value = ts_to_ms(c, dtype) if unit == "compat" else ts_to_ns(c, dtype, overflow)
     else:
         raise TypeError(
             f"time column must be BIGINT/INT or TIMESTAMP, got {dtype.simpleString()}")
