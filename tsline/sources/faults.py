@@ -21,7 +21,7 @@ class _Flaky(DirectoryTransport):
         self.fail_times = int(options.get("fail-times", "1"))
 
     def __call__(self, database, rp, body, name):
-        marks = os.path.join(self.path, "_attempts")
+        marks = os.path.join(self.root, "_attempts")
         os.makedirs(marks, exist_ok=True)
         mark = os.path.join(marks, name)
         with open(mark, "a") as f:

@@ -145,25 +145,46 @@ def next_batch_size(size: int, initial: int, mean_latency_ms: float, errors: int
 # ---------------------------------------------------------------------------
 # transports: callables (database, retention_policy, body: bytes, name: str) -> None
 
+def open_folder(path: str):
+    """(file system, root) for a mounted path or a URI understood by ``pyarrow.fs``."""
+    from pyarrow import fs as pafs
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), os.path.abspath(path)
+
+
+def write_file(path: str, name: str, data: bytes) -> None:
+    """Write ``data`` to ``<path>/<name>`` (temporary name, then move)."""
+    fs, root = open_folder(path)
+    folder = f"{root.rstrip('/')}/{os.path.dirname(name)}".rstrip("/")
+    fs.create_dir(folder, recursive=True)
+    final = f"{root.rstrip('/')}/{name}"
+    tmp = f"{folder}/.{os.path.basename(name)}.{uuid.uuid4().hex[:8]}.tmp"
+    with fs.open_output_stream(tmp) as out:
+        out.write(data)
+    fs.move(tmp, final)
+
+
 class DirectoryTransport:
     """Writes each payload as ``<path>/database=<db>/rp=<rp>/<name>.lp``.
 
-    The file is written under a temporary name and renamed, so a reader never
-    sees half a payload and a retried payload replaces its earlier copy.  The
-    folder must be shared by all executors (a mounted cluster file system).
+    ``path`` is a folder every executor can reach: a mounted file system or a
+    URI that ``pyarrow.fs`` understands (``s3://``, ``gs://``, ``hdfs://``).
+    The payload is written under a temporary name and then moved, so a reader
+    never sees half a payload and a retried payload replaces its earlier copy.
     """
 
     def __init__(self, path: str):
+        self.fs, self.root = open_folder(path)
         self.path = path
 
     def __call__(self, database: str, rp: str | None, body: bytes, name: str) -> None:
-        folder = os.path.join(self.path, f"database={database}", f"rp={rp or 'autogen'}")
-        os.makedirs(folder, exist_ok=True)
-        final = os.path.join(folder, f"{name}.lp")
-        tmp = os.path.join(folder, f".{name}.{uuid.uuid4().hex[:8]}.tmp")
-        with open(tmp, "wb") as f:
-            f.write(body)
-        os.replace(tmp, final)
+        folder = f"{self.root.rstrip('/')}/database={database}/rp={rp or 'autogen'}"
+        self.fs.create_dir(folder, recursive=True)
+        tmp = f"{folder}/.{name}.{uuid.uuid4().hex[:8]}.tmp"
+        with self.fs.open_output_stream(tmp) as out:
+            out.write(body)
+        self.fs.move(tmp, f"{folder}/{name}.lp")
 
 
 def load_transport(opts: SinkOptions) -> Callable:
@@ -312,11 +333,9 @@ class PayloadSender:
     def flush_log(self) -> None:
         if not self.opts.write_log or not self.log:
             return
-        os.makedirs(self.opts.write_log, exist_ok=True)
         name = f"{self.prefix}-p{self.partition:05d}-{uuid.uuid4().hex[:8]}.jsonl"
-        with open(os.path.join(self.opts.write_log, name), "w") as f:
-            for row in self.log:
-                f.write(json.dumps(row) + "\n")
+        data = "".join(json.dumps(row) + "\n" for row in self.log).encode()
+        write_file(self.opts.write_log, name, data)
         self.log.clear()
 
 
@@ -405,10 +424,7 @@ def _write_summary(opts: SinkOptions, prefix: str, messages, state: str) -> None
                "payloads": sum(m.payloads for m in done), "lines": sum(m.lines for m in done),
                "bytes": sum(m.bytes for m in done), "attempts": sum(m.attempts for m in done),
                "failed_attempts": sum(m.failed_attempts for m in done)}
-    folder = os.path.join(opts.write_log, "_summary")
-    os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, f"{prefix}.json"), "w") as f:
-        json.dump(summary, f)
+    write_file(opts.write_log, f"_summary/{prefix}.json", json.dumps(summary).encode())
 
 
 class LineProtoDataSource(DataSource):
