@@ -35,3 +35,21 @@ def test_tsl_line_drops_rows_without_fields(spark):
                                          5) AS a,
                                tsl_line('m', '', 'v=1.0', 7) AS b""").collect()[0]
     assert rows["a"] is None and rows["b"] == "m v=1.0 7"
+
+
+def test_views_over_stored_lines(spark, tmp_dir):
+    from tsline.functions.sql import create_line_view, create_points_view, create_read_back_view
+    from tsline.sources.lines import write_lines
+    df = spark.createDataFrame([("s1", "hall", 21.5, 1), ("s2", "room", 22.0, 2)],
+                               "sensor_id string, location string, temperature double, t bigint")
+    df.createOrReplaceTempView("sensors")
+    lines = create_line_view(spark, "sensor_lines", "sensors", "sensor",
+                             tags="sensor_id, location", time="t", precision="s")
+    path = write_lines(lines, tmp_dir)
+    create_points_view(spark, "sensor_points", path)
+    got = spark.sql("SELECT tags['location'] AS loc, fields['temperature'].text AS temp "
+                    "FROM sensor_points ORDER BY time_ns").collect()
+    assert [(r["loc"], r["temp"]) for r in got] == [("hall", "21.5"), ("room", "22.0")]
+    create_read_back_view(spark, "sensor_rows", path)
+    rows = spark.sql("SELECT sensor_id, temperature FROM sensor_rows ORDER BY time").collect()
+    assert [(r[0], r[1]) for r in rows] == [("s1", 21.5), ("s2", 22.0)]

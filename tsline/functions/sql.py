@@ -88,3 +88,21 @@ def create_line_view(spark: SparkSession, view: str, source: str | DataFrame, me
     lines = encode(df, measurement, tags, fields, time, path=path, **options)
     lines.createOrReplaceTempView(view)
     return lines
+
+
+def create_points_view(spark: SparkSession, view: str, path: str) -> DataFrame:
+    """Stored lines at ``path`` as a view of decoded points, for SQL:
+    ``SELECT measurement, tags['host'], fields['v'].text, time_ns FROM view``."""
+    from tsline.sources.lines import scan_points
+    points = scan_points(spark, path)
+    points.createOrReplaceTempView(view)
+    return points
+
+
+def create_read_back_view(spark: SparkSession, view: str, path: str, measurement: str | None = None,
+                          tags=None, fields=None) -> DataFrame:
+    """Stored lines as a view with one typed column per tag and field (``SELECT *``)."""
+    from tsline.sources.lines import read_back
+    rows = read_back(spark, path, tags, fields, measurement)
+    rows.createOrReplaceTempView(view)
+    return rows
