@@ -121,16 +121,31 @@ def test_sql_insert_raw_rows_with_role_options(spark, tmp_dir):
     register(spark)
     rows = [(dt.datetime(2024, 1, 1, 0, 0, i % 3, (i * 137) % 1_000_000), f"s {i % 3}", f"r,{i}",
              i * 1.5, None if i % 4 == 0 else f'v "{i}"\\\n', i % 2 == 0, i * 1000, Decimal(i) / 7,
-             (1e7 * i, 1e-5 * i, math.nan, math.inf)[i % 4], float(i) / 3)
+             (1e7 * i, 1e-5 * i, math.nan, math.inf)[i % 4], float(i) / 3, i % 5, i % 3 == 0,
+             dt.datetime(2020, 2, 2, 1, 2, i % 60, (i % 4) * 250000))
             for i in range(40)]
     schema = ("ts timestamp, sensor string, region string, temp double, note string, ok boolean, "
-              "n bigint, dec decimal(10,2), odd double, f float")
+              "n bigint, dec decimal(10,2), odd double, f float, zone int, hot boolean, seen timestamp")
     spark.createDataFrame(rows, schema).createOrReplaceTempView("raw_src")
     spark.sql(f"CREATE TABLE IF NOT EXISTS raw_sink ({schema}) USING lineproto")
     spark.sql(f"INSERT INTO raw_sink WITH ('path'='{tmp_dir}', 'database'='raw', "
-              "'measurement'='sensor data', 'tag-fields'='sensor, region', "
+              "'measurement'='sensor data', 'tag-fields'='sensor, region, zone, hot', "
               "'timestamp-field'='ts', 'batch-size'='7') SELECT * FROM raw_src")
     got = read_payload_lines(spark, tmp_dir).select("line")
-    want = encode_lines(spark.table("raw_src"), "sensor data", tags="sensor, region", time="ts")
+    want = encode_lines(spark.table("raw_src"), "sensor data", tags="sensor, region, zone, hot",
+                        time="ts")
     assert got.count() == 40
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_sql_insert_raw_rows_without_time_share_one_now(spark, tmp_dir):
+    register(spark)
+    spark.range(300).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")) \
+        .repartition(3).createOrReplaceTempView("raw_notime")
+    spark.sql("DROP TABLE IF EXISTS raw_notime_sink")
+    spark.sql("CREATE TABLE raw_notime_sink (k BIGINT, v BIGINT) USING lineproto")
+    spark.sql(f"INSERT INTO raw_notime_sink WITH ('path'='{tmp_dir}', 'database'='nt', "
+              "'measurement'='m', 'tag-fields'='k') SELECT * FROM raw_notime")
+    times = read_payload_lines(spark, tmp_dir).select(
+        F.substring_index("line", " ", -1).alias("t")).distinct().collect()
+    assert len(times) == 1

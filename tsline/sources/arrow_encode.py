@@ -30,13 +30,14 @@ class ArrowSpec:
     fields: tuple[str, ...]
     time: str | None
     precision: str = "ms"
+    now_ns: int | None = None      # 'now' for rows without a time: one value per job
 
 
 def _names(value) -> list[str]:
     return [p.strip() for p in (value or "").split(",") if p.strip()]
 
 
-def spec_from_options(opts: dict, schema: pa.Schema) -> ArrowSpec:
+def spec_from_options(opts: dict, schema: pa.Schema, now_ns: int | None = None) -> ArrowSpec:
     """Role options -> spec; unknown names are ignored, default fields = the rest."""
     present = set(schema.names)
     tags = sorted(n for n in _names(opts.get("tag-fields")) if n in present)
@@ -49,7 +50,7 @@ def spec_from_options(opts: dict, schema: pa.Schema) -> ArrowSpec:
         raise ValueError("no field columns: every row would be dropped")
     precision = (opts.get("source-precision") or "ms").strip()
     precision_factor(precision)
-    return ArrowSpec(opts["measurement"], tuple(tags), tuple(fields), time, precision)
+    return ArrowSpec(opts["measurement"], tuple(tags), tuple(fields), time, precision, now_ns)
 
 
 def _replace(arr: pa.Array, pairs) -> pa.Array:
@@ -148,7 +149,8 @@ def tag_text(arr: pa.Array) -> pa.Array:
 
 
 def time_ns(rb: pa.RecordBatch, spec: ArrowSpec) -> pa.Array:
-    now = pa.scalar(_time.time_ns() // 1000 * 1000, pa.int64())
+    now = pa.scalar(spec.now_ns if spec.now_ns is not None else _time.time_ns() // 1000 * 1000,
+                    pa.int64())
     if spec.time is None:
         return pa.array(np.full(rb.num_rows, now.as_py(), dtype=np.int64))
     col = rb.column(rb.schema.get_field_index(spec.time))

@@ -339,7 +339,8 @@ class PayloadSender:
         self.log.clear()
 
 
-def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBatch]) -> Totals:
+def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBatch],
+                  now_ns: int | None = None) -> Totals:
     from pyspark import TaskContext
     ctx = TaskContext.get()
     partition = ctx.partitionId() if ctx else 0
@@ -352,7 +353,7 @@ def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBat
         elif opts.measurement:
             # raw rows from SQL with role options: encode this Arrow batch here
             from tsline.sources.arrow_encode import encode_batch, spec_from_options
-            spec = spec or spec_from_options(opts.raw, rb.schema)
+            spec = spec or spec_from_options(opts.raw, rb.schema, now_ns)
             lines = encode_batch(rb, spec)
         else:
             raise ValueError("the lineproto sink needs a 'line' column, or the option "
@@ -388,9 +389,10 @@ class LineWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.opts = parse_options(options)
         self.job = uuid.uuid4().hex[:12]       # fixed on the driver: task retries reuse it
+        self.now_ns = time.time_ns() // 1000 * 1000   # 'now' of this job, for rows without time
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Totals:
-        return _send_batches(self.opts, f"job-{self.job}", iterator)
+        return _send_batches(self.opts, f"job-{self.job}", iterator, self.now_ns)
 
     def commit(self, messages) -> None:
         _write_summary(self.opts, f"job-{self.job}", messages, "committed")
