@@ -409,7 +409,8 @@ class LineStreamWriter(DataSourceStreamArrowWriter):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         epoch = ctx.getLocalProperty("streaming.sql.batchId") if ctx else None
-        return _send_batches(self.opts, f"batch-{epoch or 'x'}", iterator)
+        # without the micro-batch id, a random token keeps names unique (no overwrite)
+        return _send_batches(self.opts, f"batch-{epoch or uuid.uuid4().hex[:12]}", iterator)
 
     def commit(self, messages, batchId: int) -> None:
         _write_summary(self.opts, f"batch-{batchId}", messages, "committed")
