@@ -104,3 +104,20 @@ def test_stream_window_points_through_the_sink(spark):
                    f"record_count=2i {end}",
                    f"temps,location=room1 avg_value=30.0,max_value=30.0,min_value=30.0,"
                    f"record_count=1i {end}"]
+
+
+def test_stream_raw_rows_and_processing_time(spark):
+    """Raw rows through the streaming sink with role options and no time column: the
+    writer encodes them, and every line of one job carries the same processing time."""
+    src = scratch_path(spark, "raw-src")
+    _write_files(src, [[(i, "hall", i) for i in range(30)]])
+    out, ck = scratch_path(spark, "raw-out"), scratch_path(spark, "raw-ck")
+    stream = ST.read_stream(spark, src, _schema(spark, src)).drop("ts")
+    ST.start_sink(stream, ck, path=out, database="db", measurement="sensor",
+                  tag_fields="location", batch_size=8).awaitTermination()
+    back = read_payload_lines(spark, out)
+    assert back.count() == 30
+    first = back.select(F.substring_index("line", " ", 1).alias("head")).distinct().collect()
+    assert [r["head"] for r in first] == ["sensor,location=hall"]
+    now = ST.time_now_stream(ST.read_stream(spark, src, _schema(spark, src)))
+    assert now.isStreaming and "time_ns" in now.columns

@@ -26,7 +26,8 @@ def _option_map(options: dict) -> dict:
 def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
                parallelism: int | None = None, by: list[str] | None = None,
                **options) -> dict:
-    """Write a DataFrame with a ``line`` column through the sink (B1).
+    """Write a DataFrame with a ``line`` column through the sink (B1); a DataFrame of
+    raw rows works too with role options (``measurement=``, ``tag_fields=``, ...).
 
     ``parallelism`` (B13) repartitions first (from SQL: a ``REPARTITION(n)``
     hint in the ``SELECT``).  With ``by`` columns (e.g. series, time) the rows
@@ -41,7 +42,9 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
     register(lines.sparkSession)
     opts = _option_map({"path": path, "database": database, **options})
     parse_options(opts)                       # fail on the driver, before any task starts
-    cols = [c for c in ("line", "database", "retention_policy") if c in lines.columns]
+    # a line column goes alone (plus routing); raw rows go whole, for the writer to encode
+    cols = ([c for c in ("line", "database", "retention_policy") if c in lines.columns]
+            if "line" in lines.columns else lines.columns)
     out = lines
     if by:
         order = [F.col(c) for c in by]
@@ -51,9 +54,9 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str = "db",
     elif parallelism:
         out = out.repartition(parallelism)
     seen = Observation("tsline_send")
+    size = F.octet_length("line") if "line" in cols else F.lit(0)
     out = out.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"),
-                                    F.coalesce(F.sum(F.octet_length("line")), F.lit(0))
-                                    .alias("bytes"))
+                                    F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
     out.write.format(NAME).options(**opts).mode("append").save()
     return seen.get
 

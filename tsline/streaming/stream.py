@@ -76,7 +76,9 @@ def start_sink(lines: DataFrame, checkpoint: str, trigger: str | None = None,
     parsed = parse_options(opts)
     if trigger is None and "flush-interval" in opts:
         trigger = f"{parsed.flush_interval_ms} milliseconds"
-    cols = [c for c in ("line", "database", "retention_policy") if c in lines.columns]
+    # a line column goes alone (plus routing); raw rows go whole, for the writer to encode
+    cols = ([c for c in ("line", "database", "retention_policy") if c in lines.columns]
+            if "line" in lines.columns else lines.columns)
     writer = (lines.select(*cols).writeStream.format(NAME).options(**opts)
                    .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(writer, trigger).start()
