@@ -149,3 +149,15 @@ def test_sql_insert_raw_rows_without_time_share_one_now(spark, tmp_dir):
     times = read_payload_lines(spark, tmp_dir).select(
         F.substring_index("line", " ", -1).alias("t")).distinct().collect()
     assert len(times) == 1
+
+
+def test_send_lines_with_raw_rows(spark, tmp_dir):
+    from tsline.operators.encode import encode_lines
+    df = spark.range(120).select((F.col("id") % 4).alias("k"), (F.col("id") * 0.5).alias("v"),
+                                 F.col("id").alias("t"))
+    seen = send_lines(df, tmp_dir, "raw", measurement="m", tag_fields="k", timestamp_field="t",
+                      source_precision="s", batch_size=25)
+    assert seen["rows"] == 120
+    got = read_payload_lines(spark, tmp_dir).select("line")
+    want = encode_lines(df, "m", tags=["k"], time="t", precision="s")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
