@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsline.llm import exact_dedup, line_dedup, mixing, sketch
+import public_tokenizers
+
+from tsline.llm import bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, sketch, suffix_dedup, token_counts
+from tsline.session import scratch_path
 from tsline.suite.registry import table
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -84,6 +87,53 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketch.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
-QUERIES = {"op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup,
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.ngram_groups(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql("SELECT -7L AS conv_id, id AS turn, if(id = 0, 'user', 'assistant') AS role FROM range(2)")
+    rows = rows.unionByName(extra.withColumn("text", F.lit(text)))
+    formatted = chat.format_paths(chat.choose_paths(chat.nodes_from_turns(rows)))
+    return chat.read_back(formatted).withColumnRenamed("tree", "conv_id")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                                        scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+QUERIES = {"op1_ngram_join": op1_ngram_join, "op2_quality": op2_quality, "op3_chat": op3_chat,
+           "op4_suffix_dedup": op4_suffix_dedup, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing,
+           "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts,
            "op9_line_dedup": op9_line_dedup, "op10_fingerprints": op10_fingerprints}
 ORACLES = {"op6_mixing": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}

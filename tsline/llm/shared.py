@@ -58,6 +58,27 @@ def slices(data: np.ndarray, offsets: np.ndarray, kind=pa.large_binary()) -> pa.
         None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
 
 
+def word_view(column: pa.Array, fold: bool = False):
+    """Distinct words of a batch, each word's index among them, and each row's first word, plus the end.
+
+    With ``fold``, A-Z are lower-cased.
+    """
+    data, offsets = text_buffer(column)
+    if fold:
+        data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
+    gap = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    solid = ~gap
+    first = solid.copy()
+    first[1:] &= gap[:-1]
+    starts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[starts] = solid[starts]
+    packed = np.concatenate([[0], np.cumsum(solid)])  # place of a byte once gaps are gone
+    at = packed[:-1][first]
+    words = slices(data[solid], np.append(at, packed[-1]), pa.large_binary()).dictionary_encode()
+    before = np.concatenate([[0], np.cumsum(first)])
+    return words.dictionary, np.asarray(words.indices).astype(np.int64), before[offsets]
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(id, component)``; the smallest id names one.
 
