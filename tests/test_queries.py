@@ -7,11 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tsline import suite
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in suite.QUERIES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in suite.QUERIES}
 
 
 @pytest.fixture(scope="module")
