@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 REPO = os.path.dirname(os.path.abspath(__file__))
@@ -60,7 +61,8 @@ def _timed(results: dict, name: str, fn) -> None:
 def main() -> None:
     spark = get_session(f"local[{CPUS}]", app="tsline-bench",
                         shuffle_partitions=int(CPUS) * 2,
-                        conf={"spark.driver.memory": "8g"})
+                        conf={"spark.driver.memory": "8g",
+                              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tsline-bench-")})
     read = lambda t: spark.read.parquet(f"{SF_DIR}/{t}.parquet")
     lineitem, events = read("lineitem"), read("events")
     n_lineitem = lineitem.count()

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[4]", app="tsline-tests", shuffle_partitions=4)
+    folder = tempfile.mkdtemp(prefix="tsline-tests-")
+    session = get_session("local[4]", app="tsline-tests", shuffle_partitions=4,
+                          conf={"spark.checkpoint.dir": folder})
     yield session
     session.stop()
 

@@ -1,14 +1,13 @@
 """Spark session helpers and shared scratch locations.
 
-Library code never creates machine-local scratch folders on a cluster: every
-intermediate table or checkpoint lives under the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent *and* the master is
-local (tests, laptops) do we pick a folder of our own.
+Library code never creates machine-local scratch folders: every intermediate
+table or checkpoint lives under the folder named in ``spark.checkpoint.dir``,
+on any master.  Programs that run on one machine (tests, the benchmark) name a
+folder of their own there.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,36 +46,23 @@ def get_session(master: str | None = None, app: str = "tsline",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only for local masters."""
+    """The shared checkpoint folder of ``spark.checkpoint.dir``; an error where it is unset."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not _is_local(spark):
+    if not configured:
         raise RuntimeError(
             f"{_CKPT_KEY} is not set; point it at a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tsline-ckpt-")
-    spark.conf.set(_CKPT_KEY, folder)
-    sc.setCheckpointDir(folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for tables this library writes (the checkpoint folder's parent run)."""
-    spark_dir = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getConf().get(_CKPT_KEY, None)
-    if not spark_dir:
-        ensure_checkpoint_dir(spark)
-        spark_dir = spark.conf.get(_CKPT_KEY)
-    return spark_dir.rstrip("/")
+    """Folder for tables this library writes: the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return (spark.conf.get(_CKPT_KEY, None)
+            or spark.sparkContext.getConf().get(_CKPT_KEY)).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -87,24 +73,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make ``tsline`` importable in Python workers (data source, pandas UDFs).
 
-    Installed packages need nothing.  Otherwise the package is zipped once
-    per application into the shared folder and added with ``addPyFile``.
-    Only done when the shared folder is a plain file system path.
+    The package is zipped once per application on the driver, and Spark's file
+    server hands the zip to every executor.
     """
     import os
+    import tempfile
     import zipfile
 
     sc = spark.sparkContext
     if getattr(sc, "_tsline_shipped", False):
         return
-    root = shared_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        sc._tsline_shipped = True
-        return
-    root = root.replace("file:", "", 1) if root.startswith("file:") else root
     pkg = os.path.dirname(os.path.abspath(__file__))
-    os.makedirs(root, exist_ok=True)
-    target = os.path.join(root, f"tsline-pkg-{uuid.uuid4().hex[:8]}.zip")
+    target = os.path.join(tempfile.mkdtemp(prefix="tsline-pkg-"), f"tsline-pkg-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg):
             for name in files:
