@@ -53,7 +53,7 @@ def test_pack_by_interval_matches_brute_force(spark):
 
 def test_rank_without_broadcast_and_without_keys(spark):
     rows, df = _fixture(spark, n=500, seed=3)
-    ranked = rank_within(df, ["key"], ["time_ns", "line"], num_partitions=4, broadcast_rows=0)
+    ranked = rank_within(df, ["key"], ["time_ns", "line"], num_partitions=4)
     got = sorted((r["key"] or "", r["_rank"], r["line"]) for r in ranked.collect())
     expect = []
     for key in {r[0] for r in rows}:

@@ -22,13 +22,14 @@ def test_encode_is_codegen_without_python(spark):
     assert "isnotnull(value" in plan       # rows without a field are dropped before concat
 
 
-def test_rank_broadcasts_small_run_table(spark):
+def test_spark_chooses_how_the_run_table_is_joined(spark):
+    """By the bytes of the written table, under its own threshold."""
     df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     assert "BroadcastHashJoin" in _plan(rank_within(df, ["k"], ["t"], num_partitions=4))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(rank_within(df, ["k"], ["t"], num_partitions=4, broadcast_rows=0))
+        plan = _plan(rank_within(df, ["k"], ["t"], num_partitions=4))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in plan

@@ -56,12 +56,6 @@ def _field_text(raw: Column, unescape: bool) -> Column:
              .otherwise(raw))
 
 
-def _joined_length(keys: Column, values: Column) -> Column:
-    """Length of the k=v pairs once joined: keys + values + one '=' and one ',' each."""
-    return (F.length(F.array_join(keys, "")) + F.length(F.array_join(values, ""))
-            + F.size(keys) * 2)
-
-
 def _decode_steps(df: DataFrame, line_col: str) -> DataFrame:
     """Each step is a projection of its own: Catalyst keeps a costly expression
     that later steps use several times in one place instead of repeating it."""
@@ -122,9 +116,7 @@ def _typed_value(raw: Column, dtype: T.DataType) -> Column:
     """Raw field text on a line -> value of the requested Spark type."""
     plain = F.instr(raw, "\\") == 0
     if isinstance(dtype, T.StringType):
-        inner = raw.substr(F.lit(2), F.length(raw) - 2)
-        return F.when(raw.startswith('"'),
-                      F.when(plain, inner).otherwise(E.unescape(inner))).otherwise(raw)
+        return F.when(plain, _field_text(raw, False)).otherwise(_field_text(raw, True))
     if isinstance(dtype, T.BooleanType):
         return (F.when(raw.isin(*TRUE_WORDS), F.lit(True))
                  .when(raw.isin(*FALSE_WORDS), F.lit(False)))
@@ -132,14 +124,34 @@ def _typed_value(raw: Column, dtype: T.DataType) -> Column:
     return number.try_cast(dtype)
 
 
+RESERVED = ("time_ns", "measurement", "_corrupt")
+
+
+def column_names(tags: Sequence[str], fields: Sequence[str], time_col: str = "time") -> tuple[dict, dict]:
+    """Column of each tag and field key.
+
+    A key that is also another column's name (``time``, ``time_ns``,
+    ``measurement``, ``_corrupt``, or a key of both kinds) gets the suffix
+    ``_tag`` or ``_field``.  Names are compared without case, as Spark does.
+    """
+    taken = [n.lower() for n in (*RESERVED, time_col, *tags, *fields)]
+
+    def named(key: str, suffix: str) -> str:
+        return key + suffix if taken.count(key.lower()) > 1 else key
+    return {k: named(k, "_tag") for k in tags}, {k: named(k, "_field") for k in fields}
+
+
 def decode_columns(lines: DataFrame, tags: Sequence[str], fields: Mapping[str, T.DataType],
-                   line_col: str = "line", time_col: str = "time") -> DataFrame:
+                   line_col: str = "line", time_col: str = "time",
+                   keep_corrupt: bool = False) -> DataFrame:
     """Lines -> one typed column per requested tag and field, for a known layout.
 
     Each key is cut out by its own anchored, possessive regex, so no map is
     built and no lambda runs per row; the whole projection compiles.  Lines
-    that do not match the line grammar are left out.  A key missing on a line
-    gives null.
+    outside the grammar, with a repeated key or with a time that does not fit
+    are corrupt, as in ``decode_lines``: they are left out, or with
+    ``keep_corrupt`` kept with the line in ``_corrupt`` and nulls elsewhere.
+    A key missing on a line gives null.
     """
     c = F.col
     df = lines.select(c(line_col).alias("_line"))
@@ -148,27 +160,36 @@ def decode_columns(lines: DataFrame, tags: Sequence[str], fields: Mapping[str, T
     df = df.withColumn("_last", F.substring_index("_rest", " ", -1))
     df = df.withColumn("_has_t", (F.instr("_rest", " ") > 0) & c("_last").rlike(TIME))
     df = df.select("*", F.when(c("_has_t"), c("_rest").substr(
-        F.lit(1), F.length("_rest") - F.length("_last") - 1)).otherwise(c("_rest")).alias("_fields"))
-    df = df.where(c("_line").rlike(LINE))
+        F.lit(1), F.length("_rest") - F.length("_last") - 1)).otherwise(c("_rest")).alias("_fields"),
+        F.when(c("_has_t"), c("_last").try_cast("bigint")).alias("_t"))
     df = df.select("*", F.regexp_extract_all("_head", F.lit(TAG), 1).alias("_tk"),
                    F.regexp_extract_all("_head", F.lit(TAG), 2).alias("_tv"),
                    F.regexp_extract_all("_fields", F.lit(FIELD), 1).alias("_fk"),
                    F.regexp_extract_all("_fields", F.lit(FIELD), 2).alias("_fv"))
+    good = F.coalesce(c("_line").rlike(LINE)
+                      & (F.size(F.array_distinct("_tk")) == F.size("_tk"))
+                      & (F.size(F.array_distinct("_fk")) == F.size("_fk"))
+                      & (~c("_has_t") | c("_t").isNotNull()), F.lit(False))
+    df = df.withColumn("_good", good) if keep_corrupt else df.where(good)
     plain_head = F.instr("_head", "\\") == 0
     meas = F.regexp_extract("_head", MEAS, 1)
-    cols = [ns_to_timestamp(F.when(c("_has_t"), c("_last").try_cast("bigint"))).alias(time_col),
-            F.when(c("_has_t"), c("_last").try_cast("bigint")).alias("time_ns"),
-            F.when(plain_head, meas).otherwise(E.unescape(meas)).alias("measurement")]
+    whole = (lambda x: F.when(c("_good"), x)) if keep_corrupt else (lambda x: x)
+    cols = [whole(ns_to_timestamp(c("_t"))).alias(time_col), whole(c("_t")).alias("time_ns"),
+            whole(F.when(plain_head, meas).otherwise(E.unescape(meas))).alias("measurement")]
+
     def lookup(keys: str, values: str, key: str) -> Column:
         # keys are matched in their escaped form: nothing to unescape on the key side
         pos = F.array_position(keys, F.lit(_line_key(key))).cast("int")
         return F.when(pos > 0, F.element_at(values, pos))
 
+    tag_names, field_names = column_names(tags, list(fields), time_col)
     for k in tags:
         raw = lookup("_tk", "_tv", k)
-        cols.append(F.when(plain_head, raw).otherwise(E.unescape(raw)).alias(k))
+        cols.append(whole(F.when(plain_head, raw).otherwise(E.unescape(raw))).alias(tag_names[k]))
     for k, dtype in fields.items():
-        cols.append(_typed_value(lookup("_fk", "_fv", k), dtype).alias(k))
+        cols.append(whole(_typed_value(lookup("_fk", "_fv", k), dtype)).alias(field_names[k]))
+    if keep_corrupt:
+        cols.append(F.when(~c("_good"), c("_line")).alias("_corrupt"))
     return df.select(*cols)
 
 
@@ -185,8 +206,9 @@ def pivot_points(points: DataFrame, tag_keys: Sequence[str], field_types: Mappin
     (microsecond resolution) next to the exact ``time_ns``."""
     cols = [ns_to_timestamp(F.col("time_ns")).alias(time_col), F.col("time_ns"),
             F.col("measurement")]
-    cols += [F.col("tags")[k].alias(k) for k in tag_keys]
-    cols += [_typed_field(F.col("fields"), k, t).alias(k) for k, t in field_types.items()]
+    tag_names, field_names = column_names(tag_keys, list(field_types), time_col)
+    cols += [F.col("tags")[k].alias(tag_names[k]) for k in tag_keys]
+    cols += [_typed_field(F.col("fields"), k, t).alias(field_names[k]) for k, t in field_types.items()]
     return points.where(F.col("_corrupt").isNull()).select(*cols)
 
 

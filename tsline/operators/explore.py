@@ -8,6 +8,9 @@ or measurement is reduced before it reaches a single task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,18 +85,21 @@ def filter_tag(points: DataFrame, key: str, value: str) -> DataFrame:
     return _good(points).where(F.col("tags")[key] == F.lit(value))
 
 
-def delete_by_time(points: DataFrame, after_ns: int | None = None,
-                   before_ns: int | None = None) -> DataFrame:
-    """Points that survive ``DELETE ... WHERE time > after`` (and/or ``time < before``).
+def delete_by_time(points: DataFrame, after_ns: int | None = None, before_ns: int | None = None,
+                   keep_corrupt: bool = False) -> DataFrame:
+    """Points that survive ``DELETE ... WHERE time > after AND time < before``.
 
-    The caller writes the result to a new location (no in-place rewrite).
+    Either bound may be left out; without both nothing is deleted.  Points
+    without a time stay.  ``sources.lines.delete_points`` writes the survivors
+    to a new folder.
     """
-    cond = F.lit(False)
+    bounds = []
     if after_ns is not None:
-        cond = cond | (F.col("time_ns") > F.lit(after_ns))
+        bounds.append(F.col("time_ns") > F.lit(after_ns))
     if before_ns is not None:
-        cond = cond | (F.col("time_ns") < F.lit(before_ns))
-    return _good(points).where(~cond)
+        bounds.append(F.col("time_ns") < F.lit(before_ns))
+    deleted = F.coalesce(reduce(and_, bounds), F.lit(False)) if bounds else F.lit(False)
+    return (points if keep_corrupt else _good(points)).where(~deleted)
 
 
 def latest_n(points: DataFrame, n: int, tag: tuple[str, str] | None = None) -> DataFrame:

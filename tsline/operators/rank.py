@@ -6,8 +6,9 @@ sort a third of the data.  Here instead:
 
 1. range-partition on (key, order...) and sort inside each partition: the
    sampled range bounds split a hot key across many partitions.  Without an
-   explicit count, adaptive execution sizes the partitions by bytes, so the
-   count grows with the data;
+   explicit count, there is a partition for each ``TARGET_BYTES`` of the plan's
+   estimated input, and never fewer than ``spark.sql.shuffle.partitions``
+   (adaptive execution merges small ones, but cannot split);
 2. number rows inside each partition with ``monotonically_increasing_id``
    (partition id in the high bits, position in the low bits) and write the
    result once to the shared checkpoint folder, so every later use sees the
@@ -15,10 +16,11 @@ sort a third of the data.  Here instead:
 3. aggregate one row per (partition, key) run: first position and length.
    This table has at most (#keys + P) rows; a running sum over the runs of a
    key gives each run's offset;
-4. join the runs back on (partition, key): broadcast when the run table's row
-   count, measured, is under a bound; a shuffle join otherwise.
+4. join the runs back on (partition, key).  The runs were written as a table, so
+   Spark knows their bytes and broadcasts them only under its own threshold.
 
-rank = run offset + (position - run's first position).
+rank = run offset + (position - run's first position).  Rows that are equal in
+every sort column stay together in one partition.
 """
 
 from __future__ import annotations
@@ -30,24 +32,30 @@ from pyspark.sql import functions as F
 
 from tsline.plans.materialize import write_scratch
 
-# Upper bound on broadcast run tables (rows); each row is a few keys + 3 longs.
-BROADCAST_RUN_ROWS = 1_000_000
+TARGET_BYTES = 128 << 20
 _POS_BITS = 33
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for the estimated size of ``df``, at least ``spark.sql.shuffle.partitions``."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a plan without statistics reports an absurd size: leave the count to the session
+    return max(floor, -(-size // TARGET_BYTES)) if size < 1 << 60 else floor
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                num_partitions: int | None = None,
-                broadcast_rows: int = BROADCAST_RUN_ROWS) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add ``_rank`` (bigint, 0-based) = position of the row inside its key when
     sorted by ``order``, and ``_pid``, the range partition the row was placed in
     (a hot key shows up in several).  ``order`` should make rows unique (or rows
-    equal in every sort column must be interchangeable) for a deterministic result."""
+    equal in every sort column must be interchangeable) for a deterministic result.  Without keys,
+    the running sum over the runs is one task's work: one row per partition."""
     keys, order = list(keys), list(order)
     sort_cols = [F.col(f"`{c}`") for c in keys + order]
     # positions are read after the exchange (coalesced or not) and written once,
     # so every later use sees the same partition ids
-    ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
-              else df.repartitionByRange(*sort_cols))
+    ranged = df.repartitionByRange(num_partitions or partitions_for(df), *sort_cols)
     laid = (ranged.sortWithinPartitions(*sort_cols)
               .withColumn("_pos", F.monotonically_increasing_id()))
     laid = write_scratch(laid, "rank")
@@ -61,8 +69,6 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     runs = runs.select("_pid", *key_cols, "_first",
                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     runs = write_scratch(runs, "rank-runs")
-    if runs.count() <= broadcast_rows:
-        runs = F.broadcast(runs)
     # null keys: join with null-safe equality so their rows are ranked too
     cond = [laid["_pid"] == runs["_pid"]] + [laid[k].eqNullSafe(runs[k]) for k in keys]
     joined = laid.join(runs, cond)

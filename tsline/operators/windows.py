@@ -49,7 +49,8 @@ def tumble_agg(df: DataFrame, time: str, every: str | int, by: Sequence[str], va
         raise ValueError(f"time column {time!r} not found")
     start = (floor_div(ns, step) * F.lit(step)).alias("window_start_ns")
     by_cols = [F.col(f"`{b}`") for b in by]
-    agg = df.groupBy(start, *by_cols).agg(
+    # a row without a time belongs to no window (the stream drops it too)
+    agg = df.where(t.col.isNotNull()).groupBy(start, *by_cols).agg(
         F.avg(value).alias("avg_value"), F.max(value).alias("max_value"),
         F.min(value).alias("min_value"), F.count(F.lit(1)).alias("record_count"))
     return agg.select("window_start_ns", (F.col("window_start_ns") + F.lit(step))
