@@ -31,7 +31,24 @@ _TAG = E.TAG_PAIRS
 _MEAS = E.MEASUREMENT_PAIRS
 _STR = E.STRING_PAIRS
 _PRECISION_CASE = "CASE p " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRECISION_NS.items()) \
-    + " END"
+    + " ELSE raise_error(concat('unknown precision ', coalesce(p, 'null'))) END"
+
+
+def _checked(product: str, source: str) -> str:
+    """A product that must fit 64 bits: null only where its source is."""
+    return (f"CASE WHEN {source} IS NULL THEN NULL ELSE coalesce({product}, "
+            f"raise_error(concat('time out of range: ', cast({source} AS STRING)))) END")
+
+
+# ISO text as a field shows it: seconds and fraction only where they are not zero
+_MICRO = "cast(extract(SECOND FROM t) * 1000000 AS BIGINT)"
+_ISO = ("concat(date_format(t, \"yyyy-MM-dd'T'HH:mm\"), CASE "
+        f"WHEN {_MICRO} = 0 THEN '' "
+        f"WHEN {_MICRO} % 1000000 = 0 THEN date_format(t, ':ss') "
+        f"WHEN {_MICRO} % 1000 = 0 THEN date_format(t, ':ss.SSS') "
+        "ELSE date_format(t, ':ss.SSSSSS') END)")
+_UNESCAPE = (r"array_join(transform(split(s, '\\\\\\\\'), p -> regexp_replace(replace(replace(p, "
+             r"'\\n', char(10)), '\\r', char(13)), '\\\\([ ,=" '"' r"])', '$1')), '\\')")
 
 # name -> (parameters, return type, body)
 FUNCTIONS = {
@@ -42,8 +59,9 @@ FUNCTIONS = {
     "tsl_int": ("x BIGINT", "STRING", "concat(cast(x AS STRING), 'i')"),
     "tsl_float": ("x DOUBLE", "STRING", "cast(x AS STRING)"),
     "tsl_bool": ("b BOOLEAN", "STRING", "cast(b AS STRING)"),
-    "tsl_epoch_ns": ("x BIGINT, p STRING", "BIGINT", f"x * ({_PRECISION_CASE})"),
-    "tsl_ns": ("t TIMESTAMP", "BIGINT", "unix_micros(t) * 1000"),
+    "tsl_epoch_ns": ("x BIGINT, p STRING", "BIGINT",
+                     _checked(f"try_multiply(x, cast({_PRECISION_CASE} AS BIGINT))", "x")),
+    "tsl_ns": ("t TIMESTAMP", "BIGINT", _checked("try_multiply(unix_micros(t), 1000L)", "t")),
     # TIMESTAMP_NTZ read as UTC wall clock, independent of the session time zone
     "tsl_ns_ntz": ("t TIMESTAMP_NTZ", "BIGINT",
                    "(cast(unix_date(cast(t AS DATE)) AS BIGINT) * 86400000000"
@@ -61,6 +79,12 @@ FUNCTIONS = {
                  f"{_replace_chain('m', _MEAS)}, coalesce(tags, ''), ' ', fields, ' ', "
                  "cast(coalesce(t, unix_micros(current_timestamp()) * 1000) AS STRING)) END"),
     "tsl_trim": ("s STRING", "STRING", "regexp_replace(s, '^[\\\\x00-\\\\x20]+|[\\\\x00-\\\\x20]+$', '')"),
+    # decimals and timestamps are quoted text
+    "tsl_decimal": ("x DECIMAL(38, 18)", "STRING", "concat('\"', cast(x AS STRING), '\"')"),
+    "tsl_timestamp": ("t TIMESTAMP_NTZ", "STRING", "concat('\"', " + _ISO + ", '\"')"),
+    "tsl_ns_to_time": ("ns BIGINT", "TIMESTAMP", "timestamp_micros(cast(floor(ns / 1000.0BD) AS BIGINT))"),
+    "tsl_precision_ns": ("p STRING", "BIGINT", f"cast({_PRECISION_CASE} AS BIGINT)"),
+    "tsl_unescape": ("s STRING", "STRING", _UNESCAPE),
     "tsl_bytes": ("s STRING", "INT", "octet_length(s)"),
 }
 

@@ -118,14 +118,23 @@ def q_points_to_lines(spark, sf_dir):
     return points_to_lines(to_points(ev, "events", tags=EVENTS_TAGS, time="ts"))
 
 
-@query("path_equivalence", "SELECT CAST(0 AS BIGINT) AS n_diff, count(*) AS n_lines FROM events")
+@query("path_equivalence", """SELECT CAST(0 AS BIGINT) AS n_diff, CAST(count(*)
+    + (SELECT count(*) FROM documents WHERE text IS NOT NULL OR lang IS NOT NULL OR n_chars IS NOT NULL) AS BIGINT)
+    AS n_lines FROM events WHERE event_type <> 'click' OR event_id % 2 = 0""")
 def q_path_equivalence(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    by_line = encode(ev, "events", tags=EVENTS_TAGS, time="ts", path="line")
-    by_point = encode(ev, "events", tags=EVENTS_TAGS, time="ts", path="point")
+    """Both encoders over events with null tags and fields, and over the texts of documents."""
+    ev = table(spark, sf_dir, "events").select(
+        "ts", F.expr(_NULL_ET).alias("et"), F.expr("CASE WHEN event_id % 2 = 0 THEN user_id END").alias("half"),
+        F.expr("CASE WHEN event_id % 3 = 0 THEN props END").alias("third"), "user_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars", "source")
+    sides = []
+    for path in ("line", "point"):
+        a = encode(ev, "events", tags=["user_id", "third"], fields=["et", "half"], time="ts", path=path)
+        b = encode(docs, "docs", tags=["source"], fields=["text", "lang", "n_chars"], time="doc_id", path=path)
+        sides.append(a.select("line").unionByName(b.select("line")))
     # multiset difference in one grouped pass: per distinct line, copies on each side
-    tagged = (by_line.select("line", F.lit(1).alias("a"), F.lit(0).alias("b"))
-              .unionByName(by_point.select("line", F.lit(0).alias("a"), F.lit(1).alias("b"))))
+    tagged = (sides[0].select("line", F.lit(1).alias("a"), F.lit(0).alias("b"))
+              .unionByName(sides[1].select("line", F.lit(0).alias("a"), F.lit(1).alias("b"))))
     per_line = tagged.groupBy("line").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     return per_line.agg(F.sum(F.abs(F.col("na") - F.col("nb"))).alias("n_diff"),
                         F.sum("na").alias("n_lines"))

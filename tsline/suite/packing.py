@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tsline.functions.text import clean_payload
-from tsline.operators.pack import pack_by_count, pack_by_interval, payloads
+from tsline.operators.pack import pack_by_count, pack_by_interval, payloads, route
 from tsline.operators.encode import encode_lines
+from tsline.session import scratch_path
+from tsline.sources.delivery import read_payload_lines, send_lines
 from tsline.suite import sqlbits as S
 from tsline.suite.formats import events_lines
 from tsline.suite.registry import query, table
@@ -101,13 +103,21 @@ _ROUTED = S.line("event_type", [S.tag("user_id", "user_id", False)],
 
 
 @query("route_by_measurement", f"""SELECT 'db' || CAST(user_id % 3 AS VARCHAR) AS database,
+    CASE WHEN user_id % 2 = 0 THEN 'short' ELSE 'autogen' END AS retention_policy,
     event_type AS measurement, count(*) AS n_lines, CAST(sum(strlen({_ROUTED})) AS BIGINT) AS n_bytes
 FROM events GROUP BY ALL""")
 def q_route_by_measurement(spark, sf_dir):
+    """Routed rows through the sink, read back by destination."""
     ev = table(spark, sf_dir, "events")
-    routed = ev.withColumn("database", F.concat(F.lit("db"), (F.col("user_id") % 3).cast("string")))
-    lines = encode_lines(routed, F.col("event_type"), tags=["user_id"], fields=["value"],
-                         time="ts", keep=["database", "event_type"])
-    return (lines.groupBy("database", F.col("event_type").alias("measurement"))
-                 .agg(F.count(F.lit(1)).alias("n_lines"),
-                      F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes")))
+    lines = encode_lines(ev, F.col("event_type"), tags=["user_id"], fields=["value"], time="ts",
+                         keep=["user_id", "event_type"])
+    routed = route(lines.select("line", "user_id", "event_type"),
+                   F.concat(F.lit("db"), (F.col("user_id") % 3).cast("string")), F.col("event_type"),
+                   F.when(F.col("user_id") % 2 == 0, "short"))
+    out = scratch_path(spark, "routed")
+    send_lines(routed.select("line", "database", "retention_policy"), out, "unrouted", batch_size=500)
+    stored = read_payload_lines(spark, out)
+    return (stored.groupBy("database", "retention_policy",
+                           F.substring_index("line", ",", 1).alias("measurement"))
+                  .agg(F.count(F.lit(1)).alias("n_lines"),
+                       F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes")))

@@ -174,7 +174,9 @@ def q_upsert_latest(spark, sf_dir):
     S.ns("e.ts"))} AS line
 FROM events e JOIN (VALUES ('click', 'us-east', 'active', 100.5, TIMESTAMP '2024-01-01 00:00:00'),
     ('view', 'us-west', 'inactive', CAST(NULL AS DOUBLE), TIMESTAMP '2024-01-01 00:00:00'),
-    ('purchase', 'us-south', NULL, 75.2, TIMESTAMP '2024-01-01 00:00:00'))
+    ('purchase', 'us-south', NULL, 75.2, TIMESTAMP '2024-01-01 00:00:00'),
+    ('signup', NULL, 'active', 0.5, TIMESTAMP '2024-01-01 00:00:00'),
+    ('error', NULL, NULL, CAST(NULL AS DOUBLE), TIMESTAMP '2024-01-01 00:00:00'))
     AS v(event_type, region, status, metric1, base) ON e.event_type = v.event_type""")
 def q_inline_values(spark, sf_dir):
     table(spark, sf_dir, "events").createOrReplaceTempView("tsline_events")
@@ -183,7 +185,10 @@ def q_inline_values(spark, sf_dir):
         FROM tsline_events e JOIN (VALUES
             ('click', 'us-east', 'active', 100.5D, TIMESTAMP_NTZ '2024-01-01 00:00:00'),
             ('view', 'us-west', 'inactive', CAST(NULL AS DOUBLE), TIMESTAMP_NTZ '2024-01-01 00:00:00'),
-            ('purchase', 'us-south', CAST(NULL AS STRING), 75.2D, TIMESTAMP_NTZ '2024-01-01 00:00:00'))
+            ('purchase', 'us-south', CAST(NULL AS STRING), 75.2D, TIMESTAMP_NTZ '2024-01-01 00:00:00'),
+            ('signup', CAST(NULL AS STRING), 'active', 0.5D, TIMESTAMP_NTZ '2024-01-01 00:00:00'),
+            ('error', CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS DOUBLE),
+             TIMESTAMP_NTZ '2024-01-01 00:00:00'))
           AS v(event_type, region, status, metric1, base)
         ON e.event_type = v.event_type""")
     prepared = joined.withColumn("device_id", F.concat(F.lit("dev"), F.col("user_id").cast("string")))

@@ -30,7 +30,7 @@ def q_sink_batch(spark, sf_dir):
     out = scratch_path(spark, "sink")
     # each task sends a contiguous, time-ordered run of a series
     lines = events_lines(spark, sf_dir, keep=["event_type"], time_col="time_ns")
-    send_lines(lines, out, DATABASE, batch_size=500, parallelism=4, by=["event_type", "time_ns"])
+    send_lines(lines, out, DATABASE, batch_size=500, by=["event_type", "time_ns"])
     return read_payload_lines(spark, out).select("line", "database")
 
 
