@@ -1,65 +1,76 @@
-"""Transports that fail on purpose, to exercise retries, timeouts and replay.
+"""Transports that fail on purpose, for the sink's retries, timeouts and task retries.
 
-Select one with ``transport="tsline.sources.faults:flaky"`` (or ``:slow``,
-``:broken``).  State that must survive retries lives in marker files next to
-the payloads, because each attempt may run in another worker process.
+Select one with ``transport="faults:flaky"`` (or ``:slow``, ``:broken``, ``:half``) after
+``spark.sparkContext.addPyFile`` of this file.  State that must survive retries
+lives in marker files next to the payloads, because each attempt may run in
+another worker process.
 """
 
-from __future__ import annotations
-
 import os
 import time
 
 from tsline.sources.sink import DirectoryTransport
 
 
-class _Flaky(DirectoryTransport):
-    """Fails the first ``fail-times`` attempts of every payload, then writes it."""
-
-    def __init__(self, options: dict):
-        super().__init__(options["path"])
-        self.fail_times = int(options.get("fail-times", "1"))
+class _Marked(DirectoryTransport):
+    def __init__(self, options):
+        super().__init__(options["path"], options["task"], options["attempt"])
+        self.options = options
 
-    def __call__(self, database, rp, body, name):
+    def seen(self, name):
+        """How often ``name`` was marked, this time included."""
         marks = os.path.join(self.root, "_attempts")
         os.makedirs(marks, exist_ok=True)
-        mark = os.path.join(marks, name)
-        with open(mark, "a") as f:
+        with open(os.path.join(marks, name), "a") as f:
             f.write("x")
-        if os.path.getsize(mark) <= self.fail_times:
+        return os.path.getsize(os.path.join(marks, name))
+
+
+class _Flaky(_Marked):
+    """Fails the first ``transport.fail-times`` attempts of every payload, then writes it."""
+
+    def __call__(self, database, rp, body, name):
+        if self.seen(name) <= int(self.options.get("transport.fail-times", "1")):
             raise ConnectionError(f"injected failure for {name}")
         super().__call__(database, rp, body, name)
 
 
-class _Slow(DirectoryTransport):
-    """Sleeps ``delay-s`` seconds before writing (to trip the request timeout)."""
+class _Half(_Marked):
+    """The first attempt of every task writes its first payload and then breaks for good."""
 
-    def __init__(self, options: dict):
-        super().__init__(options["path"])
-        self.delay = float(options.get("delay-s", "5"))
+    def __call__(self, database, rp, body, name):
+        super().__call__(database, rp, body, name)
+        if self.seen(self.task) == 2:
+            self.broken = ConnectionError("injected: gone after two payloads")
+            raise self.broken
+
+
+class _Slow(_Marked):
+    """Sleeps ``transport.delay-s`` seconds before writing (to trip the request timeout)."""
 
     def __call__(self, database, rp, body, name):
-        time.sleep(self.delay)
+        time.sleep(float(self.options.get("transport.delay-s", "5")))
         super().__call__(database, rp, body, name)
 
 
 class _Broken:
     """Always fails."""
 
-    def __init__(self, options: dict):
-        self.options = options
-
     def __call__(self, database, rp, body, name):
-        raise ConnectionError("injected permanent failure")
+        raise ConnectionError("injected permanent failure " + "x" * 2000)
 
 
-def flaky(options: dict) -> _Flaky:
+def flaky(options):
     return _Flaky(options)
 
 
-def slow(options: dict) -> _Slow:
+def half(options):
+    return _Half(options)
+
+
+def slow(options):
     return _Slow(options)
 
 
-def broken(options: dict) -> _Broken:
-    return _Broken(options)
+def broken(options):
+    return _Broken()

@@ -3,9 +3,10 @@
 A Python data source writer only receives rows, so when a SQL user inserts
 raw columns with role options (``measurement``, ``tag-fields``,
 ``field-fields``, ``timestamp-field``, ``source-precision``) the lines are
-built here, one Arrow batch at a time with Arrow compute kernels (never per
-row).  The rules are those of ``operators.encode`` and a test checks that both
-give the same lines; the DataFrame encoder stays the fast path.
+built here, one Arrow batch at a time with Arrow compute kernels.  The rules are
+those of ``operators.encode``; the text of some doubles of 1e7 and more, or
+under 1e-3, may have other digits that denote the same number.  DataFrames with
+raw rows never come here: ``send_lines`` and ``start_sink`` encode in the JVM.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ import pyarrow.compute as pc
 
 from tsline.functions.timeunit import precision_factor
 
-from tsline.functions.escape import MEASUREMENT_PAIRS, STRING_PAIRS, TAG_PAIRS, escape_text
+from tsline.functions.escape import (CONTROL_PAIRS, MEASUREMENT_PAIRS, STRING_PAIRS, TAG_PAIRS,
+                                     escape_text)
+from tsline.operators.changelog import KEPT_KINDS
 
 
 @dataclass(frozen=True)
@@ -31,6 +34,9 @@ class ArrowSpec:
     time: str | None
     precision: str = "ms"
     now_ns: int | None = None      # 'now' for rows without a time: one value per job
+    op: str | None = None          # changelog column: only +I and +U rows become lines
+    marker: bool = False           # a row without fields gets the field _empty=true
+    compat: bool = False           # the short escape rules
 
 
 def _names(value) -> list[str]:
@@ -43,14 +49,27 @@ def spec_from_options(opts: dict, schema: pa.Schema, now_ns: int | None = None)
     tags = sorted(n for n in _names(opts.get("tag-fields")) if n in present)
     time = opts.get("timestamp-field")
     time = time.strip() if time and time.strip() in present else None
+    op = (opts.get("op-field") or "").strip() or None
+    if op and op not in present:
+        raise ValueError(f"op-field {op!r} is not a column")
+    marker = _choice(opts, "on-empty", ("drop", "marker")) == "marker"
+    compat = _choice(opts, "escape", ("full", "compat")) == "compat"
     given = _names(opts.get("field-fields"))
     fields = [n for n in given if n in present] if given else \
-        [n for n in schema.names if n not in tags and n != time]
-    if not fields:
+        [n for n in schema.names if n not in tags and n not in (time, op)]
+    if not fields and not marker:
         raise ValueError("no field columns: every row would be dropped")
     precision = (opts.get("source-precision") or "ms").strip()
     precision_factor(precision)
-    return ArrowSpec(opts["measurement"], tuple(tags), tuple(fields), time, precision, now_ns)
+    return ArrowSpec(opts["measurement"], tuple(tags), tuple(fields), time, precision, now_ns,
+                     op, marker, compat)
+
+
+def _choice(opts: dict, key: str, allowed: tuple[str, ...]) -> str:
+    value = (opts.get(key) or allowed[0]).strip()
+    if value not in allowed:
+        raise ValueError(f"option {key!r} must be one of {allowed}, got {value!r}")
+    return value
 
 
 def _replace(arr: pa.Array, pairs) -> pa.Array:
@@ -127,24 +146,25 @@ def _raw_text(arr: pa.Array) -> pa.Array:
     return pc.cast(arr, pa.string())
 
 
-def field_text(arr: pa.Array) -> pa.Array:
+def field_text(arr: pa.Array, compat: bool = False) -> pa.Array:
     t = arr.type
     raw = _raw_text(arr)
     if pa.types.is_integer(t):
         return _cat(raw, pa.scalar("i"))
     if pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_timestamp(t) \
             or pa.types.is_decimal(t):
-        return _cat(pa.scalar('"'), _replace(raw, STRING_PAIRS), pa.scalar('"'))
+        pairs = STRING_PAIRS[len(CONTROL_PAIRS):] if compat else STRING_PAIRS
+        return _cat(pa.scalar('"'), _replace(raw, pairs), pa.scalar('"'))
     if pa.types.is_floating(t) or pa.types.is_boolean(t):
         return raw
     raise TypeError(f"column type {t} cannot be a field")
 
 
-def tag_text(arr: pa.Array) -> pa.Array:
+def tag_text(arr: pa.Array, compat: bool = False) -> pa.Array:
     raw = _raw_text(arr)
     if pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type) \
             or pa.types.is_timestamp(arr.type):
-        return _replace(raw, TAG_PAIRS)
+        return _replace(raw, TAG_PAIRS[len(CONTROL_PAIRS):] if compat else TAG_PAIRS)
     return raw
 
 
@@ -163,22 +183,30 @@ def time_ns(rb: pa.RecordBatch, spec: ArrowSpec) -> pa.Array:
     return pc.fill_null(value, now)
 
 
-def _escape_key(name: str) -> str:
-    return escape_text(name, TAG_PAIRS)
+def _pieces(names, texts, compat: bool, rows: int) -> pa.Array:
+    """``,name=text`` of every column that has a value, joined row by row (empty without any)."""
+    joined = pa.array([""] * rows, pa.string())
+    for name, text in zip(names, texts):
+        key = name if compat else escape_text(name, TAG_PAIRS)
+        joined = _cat(joined, pc.fill_null(_cat(pa.scalar(f",{key}="), text), ""))
+    return joined
 
 
 def encode_batch(rb: pa.RecordBatch, spec: ArrowSpec) -> pa.Array:
-    """Rows of one Arrow batch -> lines; rows without a field give no line."""
+    """Rows of one Arrow batch -> lines; rows without a field or a kept row kind give no line."""
     col = lambda n: rb.column(rb.schema.get_field_index(n))
-    meas = escape_text(spec.measurement, MEASUREMENT_PAIRS)
-    tag_frags = [_cat(pa.scalar(f",{_escape_key(n)}="), tag_text(col(n))) for n in spec.tags]
-    tags = (pc.binary_join_element_wise(*tag_frags, "", null_handling="skip") if tag_frags
-            else pa.array([""] * rb.num_rows, pa.string()))
-    field_frags = [_cat(pa.scalar(f"{_escape_key(n)}="), field_text(col(n))) for n in spec.fields]
-    fields = pc.binary_join_element_wise(*field_frags, ",", null_handling="skip")
-    present = pc.is_valid(col(spec.fields[0]))
-    for n in spec.fields[1:]:
-        present = pc.or_(present, pc.is_valid(col(n)))
+    meas = spec.measurement if spec.compat else escape_text(spec.measurement, MEASUREMENT_PAIRS)
+    tags = _pieces(spec.tags, [tag_text(col(n), spec.compat) for n in spec.tags], spec.compat, rb.num_rows)
+    fields = _pieces(spec.fields, [field_text(col(n), spec.compat) for n in spec.fields], spec.compat,
+                     rb.num_rows)
+    fields = pc.utf8_slice_codeunits(fields, 1)
+    present = pc.not_equal(fields, "")
+    if spec.marker:
+        fields = pc.if_else(present, fields, pa.scalar("_empty=true"))
+        present = pa.array([True] * rb.num_rows)
+    if spec.op:
+        kept = pc.is_in(col(spec.op), value_set=pa.array(KEPT_KINDS, col(spec.op).type))
+        present = pc.and_(present, kept)
     line = _cat(pa.scalar(meas), tags, pa.scalar(" "), fields, pa.scalar(" "),
                 pc.cast(time_ns(rb, spec), pa.string()))
     return pc.if_else(present, line, pa.scalar(None, pa.string()))

@@ -10,11 +10,14 @@ columns).  Raw rows inserted from SQL with role options (``measurement``,
   the last partial payload at the end of the partition (B16),
 * sends each payload through a transport with retries, exponential backoff
   and a per-attempt timeout (B9, B10), optionally adapting the batch size (B11),
-* appends one WRITE_LOG row per payload to a JSON-lines file of its own (B15).
-
-A failed payload fails the task; Spark retries it, and payload names are
-fixed by (job or micro-batch, partition, sequence) so a retry overwrites
-rather than duplicates (at-least-once delivery, idempotent for files).
+* writes one WRITE_LOG row per payload to a JSON-lines file of its attempt (B15).
+
+The directory transport appends payloads to one open file per task and
+destination, under ``_staging``; the driver publishes the files of the
+successful attempts when the job or micro-batch commits.  File names hold the
+job, or the streaming query's id (the same for one checkpoint) and micro-batch,
+and the partition: a replayed micro-batch replaces its own files and no other
+query's.  A failed attempt leaves nothing that a reader sees.
 """
 
 from __future__ import annotations
@@ -59,6 +62,14 @@ ADAPT_GROW = 1.2
 ADAPT_SHRINK = 0.7
 ADAPT_MAX_FACTOR = 4
 
+#: Options the writer itself understands; a transport's own options start with ``transport.``.
+KNOWN_OPTIONS = frozenset(DEFAULTS) | {
+    "database", "retention-policy", "measurement", "path", "write-log", "tag-fields", "field-fields",
+    "timestamp-field", "source-precision", "op-field", "on-empty", "escape", "sink.parallelism",
+    "checkpointlocation"}
+RAW_OPTIONS = ("tag-fields", "field-fields", "timestamp-field", "source-precision", "op-field",
+               "on-empty", "escape")
+
 # Java's String.trim() set: every char <= U+0020.
 TRIM_CHARS = "".join(chr(i) for i in range(0, 33))
 
@@ -102,12 +113,17 @@ def _int(opts: dict, key: str, minimum: int) -> int:
 def parse_options(options) -> SinkOptions:
     """Validate the option map (B14): required keys, defaults, ranges."""
     opts = {str(k).lower(): v for k, v in dict(options).items()}
+    unknown = sorted(k for k in opts if k not in KNOWN_OPTIONS and not k.startswith("transport."))
+    if unknown:
+        raise ValueError(f"unknown options {unknown}; known ones are {sorted(KNOWN_OPTIONS)}")
     database = (opts.get("database") or "").strip()
     if not database:
         raise ValueError("option 'database' is required and must not be blank")
     measurement = opts.get("measurement")
     if measurement is not None and not measurement.strip():
         raise ValueError("option 'measurement' must not be blank")
+    if measurement is None and any(opts.get(k) for k in RAW_OPTIONS):
+        raise ValueError("option 'measurement' is required with role options")
     conv = (opts.get("converter.type") or DEFAULTS["converter.type"]).strip()
     if conv not in ("line-protocol", "line", "point"):
         raise ValueError(f"option 'converter.type' must be line-protocol or point, got {conv!r}")
@@ -166,35 +182,102 @@ def write_file(path: str, name: str, data: bytes) -> None:
 
 
 class DirectoryTransport:
-    """Writes each payload as ``<path>/database=<db>/rp=<rp>/<name>.lp``.
+    """Appends payloads to one file per destination: ``database=<db>/rp=<rp>/<task>.lp``.
 
     ``path`` is a folder every executor can reach: a mounted file system or a
     URI that ``pyarrow.fs`` understands (``s3://``, ``gs://``, ``hdfs://``).
-    The payload is written under a temporary name and then moved, so a reader
-    never sees half a payload and a retried payload replaces its earlier copy.
+    Files are written under ``_staging`` and listed by ``finish()`` for the
+    driver to publish.  A write that failed or timed out may have left part of
+    a payload in the file, so the file is given up and the task fails; Spark's
+    retry starts a new one.
     """
 
-    def __init__(self, path: str):
-        self.fs, self.root = open_folder(path)
-        self.path = path
+    appends = True
+
+    def __init__(self, path: str, task: str, attempt: str = "0", marker: str | None = None):
+        self.fs, root = open_folder(path)
+        self.root = root.rstrip("/")
+        self.task = task
+        self.staging = f"{self.root}/_staging/{task}-a{attempt}"
+        self.files: dict[tuple, tuple] = {}
+        self.broken: BaseException | None = None
+        if marker and self.fs.get_file_info(f"{self.root}/_staging/{marker}").type.name == "NotFound":
+            raise RuntimeError(f"{path!r} is not the folder the driver sees: it must be shared by all "
+                               "executors")
+
+    def _file(self, database: str, rp: str | None):
+        key = (database, rp or "autogen")
+        if key not in self.files:
+            name = f"database={key[0]}/rp={key[1]}/{self.task}.lp"
+            staged = f"{self.staging}/{name}"
+            self.fs.create_dir(os.path.dirname(staged), recursive=True)
+            self.files[key] = (self.fs.open_output_stream(staged), staged, f"{self.root}/{name}")
+        return self.files[key][0]
 
     def __call__(self, database: str, rp: str | None, body: bytes, name: str) -> None:
-        folder = f"{self.root.rstrip('/')}/database={database}/rp={rp or 'autogen'}"
-        self.fs.create_dir(folder, recursive=True)
-        tmp = f"{folder}/.{name}.{uuid.uuid4().hex[:8]}.tmp"
-        with self.fs.open_output_stream(tmp) as out:
+        if self.broken is not None:
+            raise RuntimeError("the file of this task was given up") from self.broken
+        try:
+            out = self._file(database, rp)
             out.write(body)
-        self.fs.move(tmp, f"{folder}/{name}.lp")
+            out.write(b"\n")
+        except BaseException as exc:
+            self.broken = exc
+            raise
+
+    def give_up(self, error: BaseException) -> None:
+        self.broken = error
+
+    def finish(self) -> list[tuple[str, str]]:
+        for out, _, _ in self.files.values():
+            out.close()
+        return [(staged, final) for _, staged, final in self.files.values()]
+
+
+def _marker(opts: SinkOptions) -> str | None:
+    """A file the driver leaves in the folder, for executors to look for."""
+    if opts.transport != "directory":
+        return None
+    name = f"marker-{uuid.uuid4().hex}"
+    write_file(opts.path, f"_staging/{name}", b"")
+    return name
+
+
+def _publish(opts: SinkOptions, messages) -> None:
+    """Move the files of the successful attempts to their places."""
+    moves = [move for m in messages if isinstance(m, Totals) for move in m.files]
+    if not moves:
+        return
+    fs, _ = open_folder(opts.path)
+    for folder in {os.path.dirname(final) for _, final in moves}:
+        fs.create_dir(folder, recursive=True)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(lambda move: fs.move(*move), moves))
 
 
-def load_transport(opts: SinkOptions) -> Callable:
+def _clear(opts: SinkOptions, prefix: str, marker: str | None) -> None:
+    """Remove what this job staged: failed attempts, empty folders, the marker."""
+    if opts.transport != "directory":
+        return
+    from pyarrow import fs as pafs
+    fs, root = open_folder(opts.path)
+    staging = f"{root.rstrip('/')}/_staging"
+    for info in fs.get_file_info(pafs.FileSelector(staging, allow_not_found=True)):
+        if info.base_name.startswith(prefix + "-p"):
+            fs.delete_dir(info.path)
+        elif marker and info.base_name == marker:
+            fs.delete_file(info.path)
+
+
+def load_transport(opts: SinkOptions, task: str = "task", attempt: str = "0",
+                   marker: str | None = None) -> Callable:
     if opts.transport == "directory":
-        return DirectoryTransport(opts.path)
+        return DirectoryTransport(opts.path, task, attempt, marker)
     module, _, attr = opts.transport.partition(":")
     if not attr:
         raise ValueError("option 'transport' must be 'directory' or 'module:callable'")
     factory = getattr(importlib.import_module(module), attr)
-    return factory(opts.raw)
+    return factory({**opts.raw, "task": task, "attempt": attempt})
 
 
 # ---------------------------------------------------------------------------
@@ -233,14 +316,20 @@ class Totals(WriterCommitMessage):
     bytes: int
     attempts: int
     failed_attempts: int
+    files: list = field(default_factory=list)      # (staged, final) of this attempt
+    log: str | None = None                         # write-log file of this attempt
+    prefix: str = ""
 
 
 class PayloadSender:
     """Buffers cleaned lines per destination and sends full payloads."""
 
-    def __init__(self, opts: SinkOptions, name_prefix: str, partition: int):
+    def __init__(self, opts: SinkOptions, name_prefix: str, partition: int, attempt: str = "0",
+                 marker: str | None = None):
         self.opts = opts
-        self.transport = load_transport(opts)
+        self.task = f"{name_prefix}-p{partition:05d}"
+        self.attempt = attempt
+        self.transport = load_transport(opts, self.task, attempt, marker)
         self.prefix = name_prefix
         self.partition = partition
         self.size = opts.batch_size
@@ -249,7 +338,7 @@ class PayloadSender:
         self.seq = 0
         self.log: list[dict] = []
         self.window: list[tuple[float, bool]] = []
-        self.totals = Totals(partition, 0, 0, 0, 0, 0)
+        self.totals = Totals(partition, 0, 0, 0, 0, 0, prefix=name_prefix)
         self.pool = ThreadPoolExecutor(max_workers=1)
 
     # -- buffering ---------------------------------------------------------
@@ -266,6 +355,9 @@ class PayloadSender:
             while self.buffered.get(dest, 0) > 0:
                 self._flush(dest, min(self.size, self.buffered[dest]))
         self.pool.shutdown(wait=False, cancel_futures=True)
+        if hasattr(self.transport, "finish"):
+            self.totals.files = self.transport.finish()
+        self.totals.log = self.flush_log()
         return self.totals
 
     def _take(self, dest: tuple, n: int) -> pa.Array:
@@ -280,7 +372,7 @@ class PayloadSender:
     def _flush(self, dest: tuple, n: int) -> None:
         lines = self._take(dest, n)
         body = join_body(lines)
-        name = f"{self.prefix}-p{self.partition:05d}-s{self.seq:06d}"
+        name = f"{self.task}-s{self.seq:06d}"
         self.seq += 1
         started = time.time()
         attempts, error = self._send(dest, body, name)
@@ -289,7 +381,7 @@ class PayloadSender:
         self.log.append({"batch_name": name, "partition": self.partition, "database": dest[0],
                          "retention_policy": dest[1], "n_lines": len(lines),
                          "n_bytes": len(body), "attempts": attempts, "latency_ms": latency_ms,
-                         "ok": ok, "error": None if ok else repr(error)[:500],
+                         "ok": ok, "error": None if ok else repr(error),
                          "finished_at": datetime.now(timezone.utc).isoformat()})
         self.totals.attempts += attempts
         self.totals.failed_attempts += attempts - (1 if ok else 0)
@@ -299,7 +391,8 @@ class PayloadSender:
         self.totals.payloads += 1
         self.totals.lines += len(lines)
         self.totals.bytes += len(body)
-        self._adapt(latency_ms, attempts > 1)
+        # only a flush that failed after all retries counts as an error, and that one raised
+        self._adapt(latency_ms, False)
 
     def _send(self, dest: tuple, body: bytes, name: str):
         error = None
@@ -316,8 +409,14 @@ class PayloadSender:
                 # the stuck call keeps its thread; later attempts get a fresh one
                 self.pool.shutdown(wait=False, cancel_futures=True)
                 self.pool = ThreadPoolExecutor(max_workers=1)
+                if getattr(self.transport, "appends", False):
+                    # the stuck write may still reach the file: leave the file to the failed attempt
+                    self.transport.give_up(error)
+                    return attempt, error
             except Exception as exc:  # noqa: BLE001 - any transport failure is retried
                 error = exc
+                if getattr(self.transport, "broken", None) is not None:
+                    return attempt, error
         return self.opts.attempts, error
 
     def _adapt(self, latency_ms: int, had_error: bool) -> None:
@@ -330,21 +429,45 @@ class PayloadSender:
             self.size = next_batch_size(self.size, self.opts.batch_size, mean, errors)
             self.window.clear()
 
-    def flush_log(self) -> None:
+    def flush_log(self) -> str | None:
+        """Write this attempt's log file; its name tells attempts of one task apart."""
         if not self.opts.write_log or not self.log:
-            return
-        name = f"{self.prefix}-p{self.partition:05d}-{uuid.uuid4().hex[:8]}.jsonl"
+            return None
+        name = f"{self.task}-a{self.attempt}.jsonl"
         data = "".join(json.dumps(row) + "\n" for row in self.log).encode()
         write_file(self.opts.write_log, name, data)
         self.log.clear()
+        return name
+
+
+def _destinations(lines: pa.Array, db, rp, opts: SinkOptions):
+    """Routed rows cut by destination: one dictionary encoding and one sort of the batch."""
+    null = pa.scalar("\x00")
+    text = lambda col: pc.fill_null(col.cast(pa.string()), null) if col is not None else null
+    key = pc.binary_join_element_wise(text(db), text(rp), "\x01")
+    if not isinstance(key, pa.Array):
+        key = pa.array([key.as_py()] * len(lines))
+    coded = key.dictionary_encode()
+    codes = np.asarray(coded.indices)
+    sorted_lines = lines.take(pa.array(np.argsort(codes, kind="stable")))
+    ends = np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))
+    start = 0
+    for name, end in zip(coded.dictionary.to_pylist(), ends.tolist()):
+        d, r = (None if part == "\x00" else part for part in name.split("\x01"))
+        database = d if d is not None else opts.database
+        if not database.strip():
+            raise ValueError("blank database in routed rows")
+        yield (database, r or opts.retention_policy), sorted_lines.slice(start, end - start)
+        start = end
 
 
 def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBatch],
-                  now_ns: int | None = None) -> Totals:
+                  now_ns: int | None = None, marker: str | None = None) -> Totals:
     from pyspark import TaskContext
     ctx = TaskContext.get()
     partition = ctx.partitionId() if ctx else 0
-    sender = PayloadSender(opts, prefix, partition)
+    attempt = str(ctx.taskAttemptId()) if ctx else "0"
+    sender = PayloadSender(opts, prefix, partition, attempt, marker)
     spec = None
     for rb in batches:
         names = rb.schema.names
@@ -363,60 +486,80 @@ def _send_batches(opts: SinkOptions, prefix: str, batches: Iterator[pa.RecordBat
         if db is None and rp is None:
             sender.add((opts.database, opts.retention_policy), clean_array(lines))
             continue
-        # routed rows: one buffer per (database, retention policy)
-        keys = pa.table({"db": db if db is not None else pa.nulls(len(lines), pa.string()),
-                         "rp": rp if rp is not None else pa.nulls(len(lines), pa.string())})
-        for k in keys.group_by(["db", "rp"]).aggregate([]).to_pylist():
-            mask = pc.and_(_eq(keys["db"], k["db"]), _eq(keys["rp"], k["rp"]))
-            database = k["db"] if k["db"] is not None else opts.database
-            if not str(database).strip():
-                raise ValueError("blank database in routed rows")
-            sender.add((database, k["rp"] or opts.retention_policy),
-                       clean_array(lines.filter(mask)))
-    totals = sender.close()
-    sender.flush_log()
-    return totals
-
-
-def _eq(col: pa.Array, value) -> pa.Array:
-    return pc.is_null(col) if value is None else pc.fill_null(pc.equal(col, value), False)
+        for dest, own in _destinations(lines, db, rp, opts):
+            sender.add(dest, clean_array(own))
+    return sender.close()
 
 
 # ---------------------------------------------------------------------------
 # data source
 
+def _writer_options(options, overwrite: bool) -> SinkOptions:
+    if overwrite:
+        raise ValueError("the lineproto sink only appends: use mode('append') or a new path")
+    opts = parse_options(options)
+    if opts.raw.get("sink.parallelism"):
+        raise ValueError("'sink.parallelism' works in send_lines and start_sink; in SQL use a "
+                         "REPARTITION hint")
+    if (opts.raw.get("converter.type") or "").strip() == "point":
+        raise ValueError("'converter.type'='point' works in send_lines and start_sink with raw rows, "
+                         "and in create_line_view")
+    return opts
+
+
 class LineWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
-        self.opts = parse_options(options)
+        self.opts = _writer_options(options, overwrite)
         self.job = uuid.uuid4().hex[:12]       # fixed on the driver: task retries reuse it
         self.now_ns = time.time_ns() // 1000 * 1000   # 'now' of this job, for rows without time
+        self.marker = _marker(self.opts)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Totals:
-        return _send_batches(self.opts, f"job-{self.job}", iterator, self.now_ns)
+        return _send_batches(self.opts, f"job-{self.job}", iterator, self.now_ns, self.marker)
 
     def commit(self, messages) -> None:
+        _publish(self.opts, messages)
         _write_summary(self.opts, f"job-{self.job}", messages, "committed")
+        _clear(self.opts, f"job-{self.job}", self.marker)
 
     def abort(self, messages) -> None:
         _write_summary(self.opts, f"job-{self.job}", messages, "aborted")
+        _clear(self.opts, f"job-{self.job}", self.marker)
 
 
 class LineStreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, options, overwrite: bool):
-        self.opts = parse_options(options)
+        self.opts = _writer_options(options, overwrite)
+        self.now_ns = time.time_ns() // 1000 * 1000
+        self.marker = _marker(self.opts)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Totals:
         from pyspark import TaskContext
         ctx = TaskContext.get()
+        query = ctx.getLocalProperty("sql.streaming.queryId") if ctx else None
         epoch = ctx.getLocalProperty("streaming.sql.batchId") if ctx else None
-        # without the micro-batch id, a random token keeps names unique (no overwrite)
-        return _send_batches(self.opts, f"batch-{epoch or uuid.uuid4().hex[:12]}", iterator)
+        if not query or epoch is None:
+            # without them a replay would add files instead of replacing its own
+            raise RuntimeError("the streaming query's id and micro-batch id are not known to the task")
+        return _send_batches(self.opts, f"query-{query}-b{epoch}", iterator, self.now_ns, self.marker)
+
+    def _name(self, messages, batch_id: int) -> str:
+        """The tasks' common prefix (the query's id is known to tasks only)."""
+        for m in messages:
+            if isinstance(m, Totals) and m.prefix:
+                return m.prefix
+        return f"query-unknown-b{batch_id}"
 
     def commit(self, messages, batchId: int) -> None:
-        _write_summary(self.opts, f"batch-{batchId}", messages, "committed")
+        _publish(self.opts, messages)
+        name = self._name(messages, batchId)
+        _write_summary(self.opts, name, messages, "committed")
+        _clear(self.opts, name, None)
 
     def abort(self, messages, batchId: int) -> None:
-        _write_summary(self.opts, f"batch-{batchId}", messages, "aborted")
+        name = self._name(messages, batchId)
+        _write_summary(self.opts, name, messages, "aborted")
+        _clear(self.opts, name, None)
 
 
 def _write_summary(opts: SinkOptions, prefix: str, messages, state: str) -> None:
@@ -426,7 +569,8 @@ def _write_summary(opts: SinkOptions, prefix: str, messages, state: str) -> None
     summary = {"name": prefix, "state": state, "tasks": len(done),
                "payloads": sum(m.payloads for m in done), "lines": sum(m.lines for m in done),
                "bytes": sum(m.bytes for m in done), "attempts": sum(m.attempts for m in done),
-               "failed_attempts": sum(m.failed_attempts for m in done)}
+               "failed_attempts": sum(m.failed_attempts for m in done),
+               "logs": sorted(m.log for m in done if m.log)}
     write_file(opts.write_log, f"_summary/{prefix}.json", json.dumps(summary).encode())
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tsline.functions.timeunit import epoch_micros, floor_div, time_value
 from tsline.operators.encode import encode_lines
 from tsline.operators.windows import duration_ns
-from tsline.sources.delivery import _option_map, register
+from tsline.sources.delivery import prepare, register
 from tsline.sources.sink import NAME, parse_options
 
 
@@ -65,22 +65,22 @@ def start_files(lines: DataFrame, path: str, checkpoint: str, trigger: str | Non
 
 
 def start_sink(lines: DataFrame, checkpoint: str, trigger: str | None = None,
-               **options) -> StreamingQuery:
-    """Streaming delivery through the ``lineproto`` sink (B2).
+               sink: str | None = None, **options) -> StreamingQuery:
+    """Streaming delivery through the ``lineproto`` sink (B2), of lines or of raw rows with
+    role options; raw rows are encoded in the JVM, with one "now" per micro-batch.
 
     ``flush_interval`` (ms) becomes the processing-time trigger when no
     trigger is given, as the reference flushes on a timer-like interval.
     """
     register(lines.sparkSession)
-    opts = _option_map(options)
+    out, opts, parallelism = prepare(lines, sink, **options)
     parsed = parse_options(opts)
     if trigger is None and "flush-interval" in opts:
         trigger = f"{parsed.flush_interval_ms} milliseconds"
-    # a line column goes alone (plus routing); raw rows go whole, for the writer to encode
-    cols = ([c for c in ("line", "database", "retention_policy") if c in lines.columns]
-            if "line" in lines.columns else lines.columns)
-    writer = (lines.select(*cols).writeStream.format(NAME).options(**opts)
-                   .option("checkpointLocation", checkpoint).outputMode("append"))
+    if parallelism:
+        out = out.repartition(parallelism)
+    writer = (out.writeStream.format(NAME).options(**opts)
+                 .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(writer, trigger).start()
 
 
