@@ -117,7 +117,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_quality_edges(spark, hostile, empty):
-    labels = spark.createDataFrame([(i, i % 2, None) for i in range(19)] + [(5, None, 1), (3, 0, 0), (None, 1, 1)],
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(19)] + [(5, None, 1.0), (3, 0, 0.0), (None, 1, 1.0)],
                                    "doc_id long, quality int, score double")
     model = quality.fit(hostile, labels)
     got = quality.score(hostile, model)

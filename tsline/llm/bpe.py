@@ -21,7 +21,6 @@ from __future__ import annotations
 import base64
 import codecs
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tsline.llm.shared import require, slices, text_buffer
+from tsline.llm.shared import bounded, require, slices, text_buffer
 
 PIECES_AT_ONCE = 20_000
+#: Distinct pieces whose ids a worker keeps between batches.
+PIECES_KEPT = 400_000
 
 
 def byte_chars() -> list[str]:
@@ -46,14 +47,12 @@ def parse_ranks(blob: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-@lru_cache(maxsize=4)
 def rank_tokenizer(blob: bytes, pattern: str):
     """A tokenizer that merges by rank.
 
     A pair may merge whenever its concatenation has a rank, so every split of a
     token into two tokens is a merge with that token's rank.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
     ranks, chars = parse_ranks(blob), byte_chars()
@@ -100,27 +99,81 @@ def safe_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(cuts, starts)
 
 
-def encode_pieces(tokenizer, pieces: pa.Array) -> pa.Array:
-    """Ids of each string of ``pieces`` as a list array, a bounded number of strings at a time."""
-    lengths, flat = [], []
-    for at in range(0, len(pieces), PIECES_AT_ONCE):
-        found = tokenizer.encode_batch_fast(pieces[at:at + PIECES_AT_ONCE].to_pylist(),
-                                            add_special_tokens=False)
-        ids = [x.ids for x in found]
-        lengths += [len(x) for x in ids]
-        flat.append(np.fromiter((i for x in ids for i in x), np.int32))
-    offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
-    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()),
-                                         pa.array(np.concatenate([*flat, np.zeros(0, np.int32)])))
+def token_sizes(tokenizer) -> np.ndarray:
+    """Bytes that each id of a byte-level tokenizer stands for."""
+    sizes = np.zeros(max(tokenizer.get_vocab().values(), default=-1) + 1, np.int64)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        sizes[i] = len(token)  # one character stands for one byte
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        sizes[i] = len(token.content.encode())
+    return sizes
 
 
-def encode_column(tokenizer, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+class PieceEncoder:
+    """Ids of pieces; those of recent distinct pieces are kept, up to a bound.
+
+    Pieces that begin with a single space and neither begin nor end in other
+    white space are encoded joined, many at a time: the cuts between them are
+    safe ones, so their ids follow each other and the ids' bytes tell them apart.
+    """
+
+    def __init__(self, tokenizer, limit: int = PIECES_KEPT, joined: bool = True):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.sizes = token_sizes(tokenizer) if joined else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+
+    def _add(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.flat.append(flat)
+        self.lengths.append(lengths)
+
+    def _one_by_one(self, pieces: list[str]) -> None:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self._add(pieces, np.fromiter((i for x in ids for i in x), np.int32),
+                  np.array([len(x) for x in ids], np.int64))
+
+    def _joined(self, pieces: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.int32)
+        ends = np.cumsum(self.sizes[ids])
+        want = np.cumsum([len(p.encode()) for p in pieces])
+        last = np.minimum(np.searchsorted(ends, want), max(len(ends) - 1, 0))
+        if not len(ends) or not np.array_equal(ends[last], want):
+            self._one_by_one(pieces)
+        else:
+            self._add(pieces, ids, np.diff(last + 1, prepend=0))
+
+    def __call__(self, pieces: pa.Array) -> pa.Array:
+        """Ids of each string of ``pieces`` as a list array."""
+        if len(self.known) > self.limit:
+            self._forget()
+        names = pieces.to_pylist()
+        plain, other = [], []
+        for n in names:
+            if n not in self.known:
+                safe = self.sizes is not None and len(n) > 1 and n[0] == " " and all(
+                    "!" <= c <= "~" or c.isalnum() for c in (n[1], n[-1]))
+                (plain if safe else other).append(n)
+        for todo, run in ((plain, self._joined), (other, self._one_by_one)):
+            for at in range(0, len(todo), PIECES_AT_ONCE):
+                run(todo[at:at + PIECES_AT_ONCE])
+        self.flat, self.lengths = [np.concatenate(self.flat)], [np.concatenate(self.lengths)]
+        offsets = np.concatenate([[0], np.cumsum(self.lengths[0])])
+        table = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(self.flat[0]))
+        return table.take(pa.array([self.known[n] for n in names], pa.int64()))
+
+
+def encode_column(encoder: PieceEncoder, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a string column, and each row's start among them, plus the end."""
     data, offsets = text_buffer(column)
     cuts = safe_cuts(data, offsets)
     bounds = np.append(cuts, len(data))
     pieces = slices(data, bounds, pa.large_string()).dictionary_encode()
-    ids = encode_pieces(tokenizer, pieces.dictionary).take(pieces.indices)
+    ids = encoder(pieces.dictionary).take(pieces.indices)
     starts = np.asarray(ids.offsets)[np.searchsorted(bounds, offsets)] if len(cuts) else np.zeros(len(offsets), np.int64)
     return np.asarray(ids.flatten()), starts
 
@@ -137,39 +190,39 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text",
 
     With ``offsets``, also ``char_starts array<int>``: the code point in which
     each id's bytes begin. The rank file is read where the driver runs and sent
-    with the function; its size is the vocabulary's.
+    with the function as a built tokenizer; its size is the vocabulary's.
     """
     require(docs, text)
     with open(rank_file, "rb") as f:
-        blob = docs.sparkSession.sparkContext.broadcast(f.read())
+        built = docs.sparkSession.sparkContext.broadcast(rank_tokenizer(f.read(), pattern).to_str())
     extra = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if offsets:
         extra.append(T.StructField("char_starts", T.ArrayType(T.IntegerType())))
     kept, schema = _out(docs, keep, extra)
+    names = list(dict.fromkeys([*kept, text]))
 
     def run(batches):
-        tokenizer = rank_tokenizer(blob.value, pattern)
-        sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
-        for token, i in tokenizer.get_vocab().items():
-            sizes[i] = len(token)  # one character stands for one byte
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            column = batch.column(batch.schema.get_field_index(text))
-            flat, starts = encode_column(tokenizer, column)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(built.value)
+        encoder = PieceEncoder(tokenizer)
+        for batch in bounded(batches, names.index(text)):
+            column = batch.column(names.index(text))
+            flat, starts = encode_column(encoder, column)
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat, pa.int32()))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept] + [lists]
             if offsets:
                 data, rows = text_buffer(column)
                 begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                at = np.concatenate([[0], np.cumsum(sizes[flat])])[:-1]
+                at = np.concatenate([[0], np.cumsum(encoder.sizes[flat])])[:-1]
                 row = np.searchsorted(rows, at, side="right") - 1
                 inside = begun[at + 1] - 1 - begun[rows[row]] if len(at) else at
                 columns.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()),
                                                         pa.array(inside, pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *[f.name for f in extra]])
 
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def token_bytes(blob: bytes) -> list[bytes]:

@@ -109,7 +109,7 @@ def choose_paths(nodes: DataFrame, paths_per_tree: int = 1) -> DataFrame:
     state = nodes.select("tree", "node", F.col("parent").alias("up"),
                          F.coalesce("score", F.lit(0.0)).alias("total"), F.lit(1).cast("long").alias("depth"))
     state = state.join(known.select("tree", F.col("node").alias("up"), F.lit(True).alias("there")),
-                       ["tree", "up"], "left").withColumn("up", F.when("there", F.col("up"))).drop("there")
+                       ["tree", "up"], "left").withColumn("up", F.when(F.col("there"), F.col("up"))).drop("there")
     jumps, most = [], nodes.count()
     while True:
         state = write_scratch(state, "chat-jump")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsline.llm.shared import mix64, require, word_view, write_scratch
+from tsline.llm.shared import bounded, mix64, require, word_view, write_scratch
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -203,7 +203,7 @@ def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
 
     def run(batches):
         scores, bias = model.value
-        for batch in batches:
+        for batch in bounded(batches, kept.index(text)):
             if batch.num_rows:
                 p = score_batch(batch.column(batch.schema.get_field_index(text)), scores, bias)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsline.llm.bpe import encode_pieces, safe_cuts
-from tsline.llm.shared import require, slices, text_buffer, write_scratch
+from tsline.llm.bpe import PieceEncoder, safe_cuts
+from tsline.llm.shared import bounded, require, slices, text_buffer, write_scratch
 
 LIMIT = 1024
 CACHE_SCHEMA = "content string, version string, n_tokens long"
@@ -64,6 +64,7 @@ def _counter(kind: str, blob: bytes):
     tokenizer.no_truncation()
     tokenizer.no_padding()
     by_piece = _cuts_are_safe(json.loads(blob))
+    encoder = PieceEncoder(tokenizer, joined=by_piece)
 
     def count(column: pa.Array) -> np.ndarray:
         data, offsets = text_buffer(column)
@@ -72,7 +73,7 @@ def _counter(kind: str, blob: bytes):
             return np.zeros(len(column), np.int64)
         bounds = np.append(cuts, len(data))
         pieces = slices(data, bounds, pa.large_string()).dictionary_encode()
-        sizes = np.diff(np.asarray(encode_pieces(tokenizer, pieces.dictionary).offsets))
+        sizes = np.diff(np.asarray(encoder(pieces.dictionary).offsets))
         ends = np.concatenate([[0], np.cumsum(sizes[np.asarray(pieces.indices)])])
         if not by_piece:
             return np.diff(ends)
@@ -113,7 +114,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, text: str = "
 
     def run(batches):
         count = _counter(kind, blob.value)
-        for batch in batches:
+        for batch in bounded(batches, 1):
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([tag] * batch.num_rows, pa.string()),
