@@ -52,6 +52,21 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+#: Bytes of text that a Python worker handles at a time.
+AT_ONCE = 4 << 20
+
+
+def bounded(batches, column: int, limit: int = AT_ONCE):
+    """Arrow batches cut so that a string column has at most ``limit`` bytes in each, or one row."""
+    for batch in batches:
+        _, offsets = text_buffer(batch.column(column))
+        row = 0
+        while row < batch.num_rows:
+            stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
+            yield batch.slice(row, stop - row)
+            row = stop
+
+
 def slices(data: np.ndarray, offsets: np.ndarray, kind=pa.large_binary()) -> pa.Array:
     """Adjacent slices of a byte buffer as an Arrow array, without a copy of the bytes."""
     return pa.Array.from_buffers(kind, len(offsets) - 1, [

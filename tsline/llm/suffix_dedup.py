@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import mix64, require, slices, text_buffer, write_scratch
+from tsline.llm.shared import bounded, mix64, require, text_buffer, write_scratch
 
 LENGTH = 400
 GRAM = 128
@@ -245,7 +245,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM,
     """``(id, th, start, stop)`` byte spans, overlapping ones too, of ``texts(id, th, text)``."""
     def anchors(batches):
         finder = Anchors(length, gram, piece)
-        for batch in batches:
+        for batch in bounded(batches, 2):
             data, offsets = text_buffer(batch.column(2))
             row, place, first, last, anchor = finder.of(data, offsets)
             raw = memoryview(np.ascontiguousarray(data))
@@ -273,7 +273,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM,
     met = texts.join(wanted, ["id", "th"])
 
     def cut(batches):
-        for batch in batches:
+        for batch in bounded(batches, 2):
             rows = []
             ids, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             seen = set()
@@ -336,7 +336,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most:
         F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def remove(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             data, offsets = text_buffer(batch.column(1))
             out, kept = [], []
             for r, spans in enumerate(batch.column(2).to_pylist()):
