@@ -32,7 +32,9 @@ from tsline.llm.shared import bounded, require, slices, text_buffer
 
 PIECES_AT_ONCE = 20_000
 #: Distinct pieces whose ids a worker keeps between batches.
-PIECES_KEPT = 400_000
+PIECES_KEPT = 150_000
+#: Ids that a worker decodes at a time.
+IDS_AT_ONCE = 1 << 20
 
 
 def byte_chars() -> list[str]:
@@ -244,6 +246,17 @@ def decode_steps(ids, table: list[bytes]) -> list[str]:
     return out
 
 
+def _few_ids(batch: pa.RecordBatch, column: int):
+    """The batch cut so that a part has at most ``IDS_AT_ONCE`` ids, or one row."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0), np.int64))
+    row = 0
+    while row < batch.num_rows:
+        before = ends[row - 1] if row else 0
+        stop = max(row + 1, int(np.searchsorted(ends, before + IDS_AT_ONCE, side="right")))
+        yield batch.slice(row, stop - row)
+        row = stop
+
+
 def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str] | None = None,
            as_text: bool = False) -> DataFrame:
     """``encoded`` (or its columns ``keep``) with ``decoded``: bytes, or text with ``as_text``."""
@@ -252,13 +265,13 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str]
         blob = encoded.sparkSession.sparkContext.broadcast(f.read())
     kept, schema = _out(encoded, keep, [
         T.StructField("decoded", T.StringType() if as_text else T.BinaryType())])
+    batch_names = list(dict.fromkeys([*kept, ids]))
 
     def run(batches):
         table = pa.array(token_bytes(blob.value), pa.large_binary())
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            lists = batch.column(batch.schema.get_field_index(ids))
+        at = batch_names.index(ids)
+        for batch in (part for whole in batches for part in _few_ids(whole, at)):
+            lists = batch.column(at)
             flat = lists.flatten()
             if len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < len(table):
                 raise ValueError("an id outside the vocabulary")
@@ -276,4 +289,4 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, whole], names=[*kept, "decoded"])
 
-    return encoded.select(*dict.fromkeys([*kept, ids])).mapInArrow(run, schema)
+    return encoded.select(*batch_names).mapInArrow(run, schema)
