@@ -34,11 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import components, mix64, require, word_view, write_scratch
+from tsline.llm.shared import bounded, components, mix64, require, word_view, write_scratch
 
+#: Pivots of a region, at most 62.
 PIVOTS = 16
 #: A region is joined in one task when it has at most this many sets and shingles.
-REGION_ROWS = 256
+REGION_ROWS = 512
 REGION_SHINGLES = 1_000_000
 _NO_ID = -(1 << 63)
 
@@ -99,7 +100,7 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     own = np.searchsorted(bounds, sizes)
     flat = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets)), sizes)
-    place = mix64(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(32)
+    place = flat >> np.uint64(32)  # rows are sorted by hash, so their parts come in order
     value = mix64(flat + np.uint64(0x51ED270B))
     keys, rows = [], []
     for step in (0, 1):
@@ -107,11 +108,9 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
         many = np.where(sizes > 0, parts[level], 0)
         base = np.concatenate([[0], np.cumsum(many)])
         part = base[row] + ((place * many[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        sums = np.add.reduceat(value[order], first)
-        slot, owner = part[first], row[order][first]
+        sums = np.add.reduceat(value, first)
+        slot, owner = part[first], row[first]
         salt = (level[owner] * (1 << 32) + slot - base[owner]).astype(np.uint64)
         keys.append(mix64(sums + mix64(salt)))
         rows.append(owner)
@@ -148,10 +147,14 @@ def starting_regions(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """
     def parts(batches):
         for batch in batches:
-            sets = shingle_sets(batch.column(1), k)
-            keys, rows = part_keys(sets, num, den)
-            ids = np.asarray(batch.column(0).fill_null(_NO_ID), np.int64)[rows]
-            keys, ids, pairs = _stars(keys, ids)
+            keys, ids = [], []
+            for part in bounded([batch], 1):
+                own, rows = part_keys(shingle_sets(part.column(1), k), num, den)
+                keys.append(own)
+                ids.append(np.asarray(part.column(0).fill_null(_NO_ID), np.int64)[rows])
+            if not keys:
+                continue
+            keys, ids, pairs = _stars(np.concatenate(keys), np.concatenate(ids))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([keys, mix64(pairs[0].view(np.uint64)).view(np.int64)])),
                  pa.array(np.concatenate([ids, pairs[0]])),
@@ -251,45 +254,106 @@ def _joined(rows: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(lambda batches: _join_regions(batches, num, den), "a string, b string"))
 
 
-def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -> DataFrame:
-    """One Voronoi step over large regions: rows of the cells, and links to pivots.
+def _measure(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -> DataFrame:
+    """Distances of all rows of large regions to their region's pivots.
 
-    A region's pivots travel as one row to as many salted shares as the region
-    needs, so no task sees more of a hot region than any other.
+    ``mask`` has a bit for each pivot a row is linked with, ``home`` is the
+    nearest pivot's cell, ``near`` are the cells where a partner may be. Rows
+    not settled yet come first as pivots. A region is dealt into as many shares
+    as its size needs, each with the pivots beside it, so no task sees more of a
+    hot region than any other.
     """
-    rank = Window.partitionBy("region").orderBy(F.xxhash64("digest"), "digest")
+    rank = Window.partitionBy("region").orderBy(F.col("label").isNotNull(), F.xxhash64("digest"), "digest")
     picked = (rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= pivots)
-              .groupBy("region").agg(F.sort_array(F.collect_list(F.struct("digest", "found", "label"))).alias("pivots")))
+              .select(F.col("region").alias("in_region"), F.col("_rank").alias("rank"),
+                      F.col("digest").alias("name"), F.col("found").alias("chosen")))
     shares = sizes.select("region", F.ceil(F.col("n") / REGION_ROWS).cast("int").alias("shares"))
-    picked = picked.join(shares, "region").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
-    salted = rows.join(shares, "region").withColumn("share", F.pmod(F.xxhash64("digest"), "shares").cast("int"))
-    met = salted.drop("shares").join(picked.drop("shares"), ["region", "share"])
-
-    def cells(batches):
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                own = np.array(r["found"], np.int64).view(np.uint64)
-                both = np.array([len(np.intersect1d(own, np.array(p["found"], np.int64).view(np.uint64),
-                                                    assume_unique=True)) for p in r["pivots"]])
-                union = np.array([len(own) + len(p["found"]) for p in r["pivots"]]) - both
-                label = r["label"]
-                for p, i, u in zip(r["pivots"], both, union):
-                    if den * i >= num * u:  # linked with this pivot
-                        if p["digest"] != r["digest"]:
-                            out.append((None, r["digest"], None, p["digest"]))
-                        label = label or p["label"] or p["digest"]
-                away = 1.0 - both / union
-                # the radius is 1 - num / den; a little is added for rounding
-                for i in np.flatnonzero(away <= away.min() + 2.0 * (1.0 - num / den) + 1e-9):
-                    out.append((f"{r['region']}/{i}", r["digest"], r["found"], label))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string()),
-                 pa.array([x[2] for x in out], pa.list_(pa.int64())), pa.array([x[3] for x in out], pa.string())],
-                names=["region", "digest", "found", "label"])
-
-    return met.select("region", "digest", "found", "label", "pivots").mapInArrow(
-        cells, "region string, digest string, found array<long>, label string")
+    spread = picked.join(shares, picked["in_region"] == shares["region"]).select(
+        "in_region", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("in_share"), "rank", "name", "chosen")
+    dealt = rows.join(shares, "region").withColumn(
+        "share", F.pmod(F.xxhash64("digest"), "shares").cast("int")).drop("shares")
+
+    def measure(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("rank")
+        chosen = [np.array(x, np.int64).view(np.uint64) for x in right["chosen"].to_pylist()]
+        names = right["name"].to_pylist()
+        home, near, masks, links, pivot = [], [], [], [], []
+        for digest, found in zip(left["digest"].to_pylist(), left["found"].to_pylist()):
+            own = np.array(found, np.int64).view(np.uint64)
+            both = np.array([len(np.intersect1d(own, c, assume_unique=True)) for c in chosen])
+            union = np.array([len(own) + len(c) for c in chosen]) - both
+            linked = den * both >= num * union
+            away = 1.0 - both / union
+            home.append(int(away.argmin()))
+            # the radius is 1 - num / den; a little is added for rounding
+            near.append(np.flatnonzero(away <= away.min() + 2.0 * (1.0 - num / den) + 1e-9).tolist())
+            masks.append(sum(1 << int(i) for i in np.flatnonzero(linked)))
+            links.append([names[i] for i in np.flatnonzero(linked) if names[i] != digest])
+            pivot.append(digest in names)
+        keep = left.select(["region", "digest", "found", "label"])
+        for name, values, kind in (("home", home, pa.int32()), ("near", near, pa.list_(pa.int32())),
+                                   ("mask", masks, pa.int64()), ("links", links, pa.list_(pa.string())),
+                                   ("pivot", pivot, pa.bool_())):
+            keep = keep.append_column(name, pa.array(values, kind))
+        return keep
+
+    return dealt.groupBy("region", "share").cogroup(spread.groupBy("in_region", "in_share")).applyInArrow(
+        measure, "region string, digest string, found array<long>, label string, home int, near array<int>, "
+                 "mask long, links array<string>, pivot boolean")
+
+
+def _merge_labels(table: pa.Table) -> pa.Table:
+    """New labels of the distinct (mask, label) pairs of one region: what a row links becomes one label."""
+    region = table["region"][0].as_py()
+    masks, labels = table["mask"].to_pylist(), table["label"].to_pylist()
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for mask, label in zip(masks, labels):
+        members = [i for i in range(mask.bit_length()) if mask >> i & 1] + ([label] if label is not None else [])
+        for other in members[1:]:
+            root[find(other)] = find(members[0])
+    named: dict = {}
+    for x in list(root):
+        if isinstance(x, str):
+            named[find(x)] = min(named.get(find(x), x), x)
+    out = []
+    for mask, label in zip(masks, labels):
+        member = label if label is not None else (mask.bit_length() - 1 if mask else None)
+        top = None if member is None else find(member)
+        out.append(None if top is None else named.get(top, f"{region}#{top}"))
+    return pa.table({"region": table["region"], "mask": table["mask"], "label": table["label"],
+                     "merged": pa.array(out, pa.string())})
+
+
+def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """One Voronoi step over large regions: the rows of the cells, and the links to pivots.
+
+    Rows that pivots link, directly or through each other, get one label: they
+    need no comparing among themselves. Rows of a region's most common label go
+    to their own cell only; all others also go to the cells in reach, where by
+    the triangle inequality every partner of theirs has its own cell. Pivots
+    have met all rows and go nowhere.
+    """
+    met = write_scratch(_measure(rows, sizes, pivots, num, den), "measured")
+    links = met.select(F.col("digest").alias("a"), F.explode("links").alias("b"))
+    merged = (met.select("region", "mask", "label").distinct().groupBy("region")
+              .applyInArrow(_merge_labels, "region string, mask long, label string, merged string"))
+    merged = write_scratch(merged, "merged-labels").select(
+        F.col("region").alias("_r"), F.col("mask").alias("_m"), F.col("label").alias("_l"), "merged")
+    named = met.join(merged, (F.col("region") == F.col("_r")) & (F.col("mask") == F.col("_m"))
+                     & F.col("label").eqNullSafe(F.col("_l"))).select(
+        "region", "digest", "found", F.col("merged").alias("label"), "home", "near", "pivot")
+    common = (named.where("label IS NOT NULL").groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main")))
+    cells = F.when(F.col("label") == F.col("main"), F.array("home")).otherwise(F.col("near"))
+    out = (named.where("NOT pivot").join(common, "region", "left").withColumn("_cell", F.explode(cells))
+           .select(F.concat_ws("/", "region", "_cell").alias("region"), "digest", "found", "label"))
+    return out, links
 
 
 def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -333,19 +397,19 @@ def region_links(rows: DataFrame, num: int, den: int, pivots: int = PIVOTS,
         links.append(write_scratch(_joined(rows.join(small.select("region"), "region", "left_semi"), num, den), "links"))
         if big.isEmpty():
             break
-        if before is not None:  # a cell that kept nearly all rows of its region cannot be split
+        if before is not None:  # a cell that kept most rows of its region cannot be split
             parent = before.select(F.col("region").alias("_p"), F.col("n").alias("_n"))
             judged = big.join(parent, F.regexp_replace("region", "/[^/]*$", "") == F.col("_p"), "left")
-            stuck = write_scratch(judged.where(F.col("n") >= F.col("_n") * 0.9).select("region"), "stuck")
+            stuck = write_scratch(judged.where(F.col("n") >= F.col("_n") * 0.5).select("region"), "stuck")
             blocks = _in_blocks(rows.join(stuck, "region", "left_semi"), sizes)
             links.append(write_scratch(_joined(blocks, num, den), "links"))
             big = big.join(stuck, "region", "left_anti")
         big = write_scratch(big, "big-regions")
         if big.isEmpty():
             break
-        step = write_scratch(_split(rows.join(big.select("region"), "region", "left_semi"), big, pivots, num, den), "cells")
-        links.append(step.where("region IS NULL").select(F.col("digest").alias("a"), F.col("label").alias("b")))
-        rows, before = step.where("region IS NOT NULL"), big
+        cells, found = _split(rows.join(big.select("region"), "region", "left_semi"), big, pivots, num, den)
+        links.append(found)
+        rows, before = write_scratch(cells, "cells"), big
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
@@ -390,7 +454,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     hashed = texts.withColumn("text_hash", text_hash())
 
     def describe(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             sets = shingle_sets(batch.column(1), k)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
@@ -409,7 +473,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
         "digest", F.col("component").cast("string").alias("region"), "text")
 
     def members(batches):
-        for batch in batches:
+        for batch in bounded(batches, 2):
             digests, regions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             sets = shingle_sets(batch.column(2), k)
             # a repeated id may bring another text than the one looked for
