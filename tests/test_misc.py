@@ -11,7 +11,7 @@ from tsline.operators.explore import delete_by_time, points_per_interval
 from tsline.operators.pack import route
 from tsline.operators.rank import partitions_for
 from tsline.operators.windows import tumble_agg
-from tsline.sources.lines import delete_points, infer_layout, read_back, write_lines
+from tsline.sources.lines import delete_points, infer_layout, read_back, scan_points, write_lines
 
 
 def test_route_rejects_blank_database(spark):
@@ -95,3 +95,11 @@ def test_the_checkpoint_folder_must_be_named(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(folder)
     assert ensure_checkpoint_dir(spark)
+
+
+def test_tag_scan_filters_before_decoding(spark):
+    rows = ["m,host=a\\ b v=1i 1", "m,host=a\\ bc v=2i 2", 'm,x=1 v="m,host=a\\\\ b" 3', "m,host=c v=4i 4", "broken,host=a\\ b"]
+    path = write_lines(spark.createDataFrame([(r,) for r in rows], "line string"))
+    got = scan_points(spark, path, tag=("host", "a b"))
+    assert [r["time_ns"] for r in got.collect()] == [1]
+    assert "Contains(" in got._jdf.queryExecution().toString()

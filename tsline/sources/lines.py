@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tsline.functions.escape import TAG_PAIRS, escape_text
 from tsline.operators.decode import LETTER_TYPES, decode_columns, decode_lines
-from tsline.operators.explore import delete_by_time
+from tsline.operators.explore import delete_by_time, filter_tag
 from tsline.session import scratch_path
 
 # A field key seen with several types reads back as the widest of them; integers that a
@@ -33,9 +34,17 @@ def write_lines(lines: DataFrame, path: str | None = None, line_col: str = "line
     return path
 
 
-def scan_points(spark: SparkSession, path: str) -> DataFrame:
-    """Text files of lines -> POINT rows (+ ``_corrupt``)."""
-    return decode_lines(spark.read.text(path).withColumnRenamed("value", "line"))
+def scan_points(spark: SparkSession, path: str, tag: tuple[str, str] | None = None) -> DataFrame:
+    """Text files of lines -> POINT rows (+ ``_corrupt``).
+
+    With ``tag``, only points with that tag value: lines whose text does not
+    hold the escaped pair are left out before anything is decoded (C9).
+    """
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    if tag is None:
+        return decode_lines(lines)
+    key, value = (escape_text(x, TAG_PAIRS) for x in tag)
+    return filter_tag(decode_lines(lines.where(F.col("line").contains(f",{key}={value}"))), *tag)
 
 
 def stream_points(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -26,9 +26,9 @@ def store_lines(spark, sf_dir):
                         fields=["value", "note", "event_id"], time="ts")
 
 
-def store_points(spark, sf_dir):
+def store_points(spark, sf_dir, tag=None):
     """The store as the reference's tests see it: lines written, then read back."""
-    return scan_points(spark, write_lines(store_lines(spark, sf_dir)))
+    return scan_points(spark, write_lines(store_lines(spark, sf_dir)), tag)
 
 
 @query("measurements", "SELECT DISTINCT event_type AS measurement FROM events")
@@ -80,7 +80,7 @@ _POINT_ROW = "event_type AS measurement, CAST(user_id AS VARCHAR) AS user_id, ev
 
 @query("filter_tag", f"SELECT {_POINT_ROW} FROM events WHERE user_id = 7")
 def q_filter_tag(spark, sf_dir):
-    return _point_row(X.filter_tag(store_points(spark, sf_dir), "user_id", "7"))
+    return _point_row(store_points(spark, sf_dir, tag=("user_id", "7")))
 
 
 @query("latest_n", f"""SELECT {_POINT_ROW}, {_STORE_SERIES} AS series FROM events
@@ -95,7 +95,7 @@ def q_latest_n(spark, sf_dir):
 @query("latest_n_tag", f"""SELECT {_POINT_ROW}, {_STORE_SERIES} AS series FROM events
 WHERE user_id = 7 ORDER BY time_ns DESC, series LIMIT 5""")
 def q_latest_n_tag(spark, sf_dir):
-    top = X.latest_n(store_points(spark, sf_dir), 5, tag=("user_id", "7"))
+    top = X.latest_n(store_points(spark, sf_dir, tag=("user_id", "7")), 5)
     return top.select("measurement", F.col("tags")["user_id"].alias("user_id"),
                       F.col("fields")["event_id"]["text"].cast("bigint").alias("event_id"),
                       "time_ns", "series")
