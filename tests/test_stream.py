@@ -66,12 +66,13 @@ def test_stream_sink_replays_after_failure(spark):
         lines = ST.stream_lines(stream, "sensor", tags=["location"], time="ts")
         return ST.start_sink(lines, ck, path=out, database="db", batch_size=7, **extra)
 
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "faults.py"))
     with pytest.raises(Exception):
-        run(max_retries=0, transport="tsline.sources.faults:broken").awaitTermination()
+        run(max_retries=0, transport="faults:broken").awaitTermination()
     run().awaitTermination()
     back = read_payload_lines(spark, out)
     assert back.count() == 80 and back.distinct().count() == 80
-    assert all(os.path.basename(p).startswith("batch-") for p in glob.glob(f"{out}/*/*/*.lp"))
+    assert all(os.path.basename(p).startswith("query-") for p in glob.glob(f"{out}/*/*/*.lp"))
 
 
 def test_stream_upsert_keeps_last_write(spark):
