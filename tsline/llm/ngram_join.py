@@ -39,7 +39,7 @@ from tsline.llm.shared import bounded, components, mix64, require, word_view, wr
 #: Pivots of a region, at most 62.
 PIVOTS = 16
 #: A region is joined in one task when it has at most this many sets and shingles.
-REGION_ROWS = 512
+REGION_ROWS = 2048
 REGION_SHINGLES = 1_000_000
 _NO_ID = -(1 << 63)
 
@@ -469,7 +469,8 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     sets = placed.groupBy("digest").agg(F.min("id").alias("id"), F.min("component").alias("component"))
     several = sets.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
     wanted = write_scratch(sets.join(several, "component"), "region-members")
-    fetched = texts.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(wanted, "id").select(
+    # one plan at every size: the members grow with the corpus and are never broadcast
+    fetched = texts.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(wanted.hint("merge"), "id").select(
         "digest", F.col("component").cast("string").alias("region"), "text")
 
     def members(batches):
