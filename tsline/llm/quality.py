@@ -28,6 +28,8 @@ BUCKETS = 1 << 18
 DIM = 8
 EPOCHS = 8
 RATE = 0.5
+#: A small training set is passed over more often, up to this many steps.
+LEAST_STEPS = 20_000
 #: Bound on the labelled rows that training takes, by hash of their id.
 TRAINING_ROWS = 6000
 NGRAMS = (3, 4, 5)
@@ -102,6 +104,7 @@ def train(rows, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed:
     for each bucket.
     """
     rows = list(rows)
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(rows))))
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     output, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
