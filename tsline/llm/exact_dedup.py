@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from tsline.llm.shared import require, write_scratch
 from tsline.session import scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings while a stream runs: state in RocksDB, without disk reserved ahead for each of many small stores.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text):
@@ -49,17 +53,19 @@ def run_state(stream: DataFrame, checkpoint: str, digits: int = 64) -> None:
     state = keyed.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.max_by("locator", F.coalesce("doc_id", F.lit(-(1 << 63)))),
         F.count(F.lit(1)).alias("n"))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    before = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
     try:
         query = (state.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -98,7 +104,8 @@ def resolve(docs: DataFrame, state: DataFrame, digits: int = 64) -> DataFrame:
     rows = lowered.select("doc_id", "_text", _digest(F.col("_text"), digits).alias("digest"))
     state = write_scratch(state, "dedup-state")
     hits = write_scratch(state.where("n > 1").select("digest"), "dedup-hits")
-    seen = rows.join(hits, "digest", "left_semi")
+    # one plan at every size: the hits grow with the corpus and are never broadcast
+    seen = rows.join(hits.hint("merge"), "digest", "left_semi")
     differing = write_scratch(
         seen.groupBy("digest").agg(F.min("_text").alias("low"), F.max("_text").alias("high"))
         .where("low <> high").select("digest"), "dedup-differing")
