@@ -118,10 +118,11 @@ def choose_paths(nodes: DataFrame, paths_per_tree: int = 1) -> DataFrame:
         jumps.append(state.where("up IS NOT NULL").select("tree", "node", "up"))
         above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"),
                              F.col("total").alias("_total"), F.col("depth").alias("_depth"))
-        state = state.join(above, ["tree", "up"], "left").select(
+        # nodes that have reached their root are done; only the others are joined again
+        further = state.where("up IS NOT NULL").join(above, ["tree", "up"]).select(
             "tree", "node", F.col("_up").alias("up"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"))
+            (F.col("total") + F.col("_total")).alias("total"), (F.col("depth") + F.col("_depth")).alias("depth"))
+        state = state.where("up IS NULL").select("tree", "node", "up", "total", "depth").union(further)
     rooted = state.where("up IS NULL")
     leaves = rooted.join(nodes.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.col("score").desc(), "leaf")
