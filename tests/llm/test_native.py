@@ -220,3 +220,17 @@ def test_merge_and_containment(spark):
         sketch.merged(__import__("pyspark").sql.functions.array("x", "y")).alias("m"), "x", "y").first()
     assert math.isclose(row["c"], 2 / 6)
     assert row["m"] == sorted(set(row["x"]) | set(row["y"]))
+
+
+def test_short_texts_keep_fingerprints_of_their_own(spark):
+    """Each text of few words has a filled fingerprint, and unrelated ones are not near."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(1 + i % 12))) for i in range(60)],
+                                 "doc_id long, text string")
+    got = sketch.fingerprints(docs)
+    rows = got.withColumn("x", sketch.likeness(got["sketch"], got["next_sketch"])).withColumn(
+        "e", sketch.likeness(got["sketch"], got["edited_sketch"])).collect()
+    assert all(r["sketch"] and r["edited_sketch"] and r["x"] == 0.0 and r["e"] < 1.0 for r in rows)
+    assert len({tuple(r["sketch"]) for r in rows}) == len(rows)
+    few = sketch.with_sketch(sketch.with_sketch(docs, "text", "s", fraction=1 / 64), "text", "whole").collect()
+    assert all(r["s"] and r["s"] == r["whole"][:len(r["s"])] for r in few)  # the least hash, at any fraction
+    assert all(len(r["s"]) == 1 or max(r["s"]) <= -(1 << 63) + (1 << 58) for r in few)
