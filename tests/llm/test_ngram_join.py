@@ -82,6 +82,20 @@ def test_one_of_each(hostile):
     assert kept.count() == ngram_join.one_of_each(kept, k=5, num=80, den=100).count()
 
 
+def test_one_of_each_goes_by_links_not_by_ids(spark, hostile):
+    prose = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    near = prose(1) + " more"
+    rows = [(99, prose(1)), (99, prose(2)), (7, near), (None, prose(3)), (None, prose(3)), (None, prose(4)),
+            (None, prose(2)), (50, prose(5)), (50, prose(5)), (8, None), (8, ""), (None, " "), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, ngram_join.one_of_each(df, k=5, num=80, den=100).collect()), key=repr)
+    assert kept == sorted([(7, near), (99, prose(2)), (None, prose(3)), (None, prose(4)), (50, prose(5)),
+                           (8, None), (8, ""), (None, " "), (None, " ")], key=repr)
+    planted = [r["text"] for r in hostile.where("doc_id = 99").collect()]
+    found = ngram_join.one_of_each(hostile, k=5, num=80, den=100).where("doc_id = 99").collect()
+    assert sorted(r["text"] for r in found) == sorted(planted)
+
+
 def test_empty_table(empty):
     assert ngram_join.ngram_groups(empty).collect() == []
     assert ngram_join.one_of_each(empty).collect() == []

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import bounded, components, mix64, require, word_view, write_scratch
+from tsline.llm.shared import WORD, bounded, components, mix64, require, word_view, write_scratch
 
 #: Pivots of a region, at most 62.
 PIVOTS = 16
@@ -417,18 +417,19 @@ def region_links(rows: DataFrame, num: int, den: int, pivots: int = PIVOTS,
 
 
 def text_hash():
-    return F.hash(F.coalesce("text", F.lit("")))
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each linked group: its smallest id, then the smallest text hash.
 
-    Documents without shingles or without an id all stay; of rows that repeat
-    an id and a text, one stays.
+    Null ids come after all others; rows that share an id but are not linked
+    are in groups of their own. Documents without shingles all stay.
     """
     groups = write_scratch(ngram_groups(docs, **options), "ngram-groups")
-    inside = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    first = groups.where(inside).groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    inside = F.col("n_shingles") > 0
+    first = groups.where(inside).groupBy("group_key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("k"))
     stay = first.select("k.doc_id", "k.text_hash").unionByName(
         groups.where(~inside).select("doc_id", "text_hash").distinct())
     stay = write_scratch(stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "ngram-stay")
@@ -436,18 +437,19 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_semi")
     repeated = groups.where(inside).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not repeated.isEmpty():
-        bare = F.col("doc_id").isNull()
-        kept = kept.where(bare).unionByName(kept.where(~bare).dropDuplicates(["doc_id", "_own"]))
+        filled = F.coalesce("text", F.lit("")).rlike(WORD)
+        kept = kept.where(~filled).unionByName(kept.where(filled).dropDuplicates(["doc_id", "_own"]))
     return kept.drop("_own")
 
 
 def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, pivots: int = PIVOTS,
                  most_rows: int = REGION_ROWS, most_shingles: int = REGION_SHINGLES) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, component_id)`` for every row of ``docs``.
+    """``(doc_id, text_hash, n_shingles, component_id, group_key)`` for every row of ``docs``.
 
     Two documents link when ``den * intersection >= num * union`` of their sets
     of k-word shingles; ``component_id`` is the smallest id reachable by links.
-    ``text_hash`` tells rows apart that share an id.
+    ``text_hash`` tells rows apart that share an id; ``group_key`` is equal for
+    linked rows only, whatever their ids, and null for rows without shingles.
     """
     require(docs, "doc_id", "text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -462,7 +464,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
                 names=["doc_id", "text_hash", "n_shingles", "digest"])
 
     known = write_scratch(hashed.mapInArrow(
-        describe, "doc_id long, text_hash int, n_shingles long, digest string"), "shingle-sets")
+        describe, "doc_id long, text_hash long, n_shingles long, digest string"), "shingle-sets")
     regions = starting_regions(texts, k, num, den)
     placed = known.where("n_shingles > 0").join(
         regions, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("id"))
@@ -492,4 +494,5 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     lowest = grouped.groupBy("_group").agg(F.min("doc_id").alias("_low"))
     return grouped.join(lowest, "_group", "left").select(
         "doc_id", "text_hash", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("_low")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n_shingles") > 0, F.col("_low")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("_group").alias("group_key"))
