@@ -122,3 +122,26 @@ def test_stream_raw_rows_and_processing_time(spark):
     assert [r["head"] for r in first] == ["sensor,location=hall"]
     now = ST.time_now_stream(ST.read_stream(spark, src, _schema(spark, src)))
     assert now.isStreaming and "time_ns" in now.columns
+
+
+def test_late_rows_are_written_by_all_tasks(spark, tmp_dir, monkeypatch):
+    """Waves of many files give the rows of the oracle."""
+    import glob
+
+    import duckdb
+
+    from conftest import SF_SMALL
+    from tsline.suite import ORACLES, QUERIES, delivered
+
+    folders = {}
+    made = delivered.scratch_path
+    monkeypatch.setattr(delivered, "scratch_path",
+                        lambda session, name: folders.setdefault(name, made(session, name)))
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    got = QUERIES["stream_late"](spark, tmp_dir)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
+    want = con.execute(ORACLES["stream_late"])
+    columns = [c[0] for c in want.description]
+    assert sorted(tuple(r[c] for c in columns) for r in got.collect()) == sorted(want.fetchall())
+    assert len(glob.glob(f"{folders['late-src'].removeprefix('file:')}/part-*")) > 2

@@ -157,13 +157,17 @@ HAVING us // 10000000 * 10000000 + 10000000 <= (SELECT max(us) // 1000 * 1000 -
 """.replace("HAVING us // 10000000 * 10000000 + 10000000", "HAVING (us // 10000000 * 10000000) + 10000000")
        .replace("GROUP BY ALL\n", "GROUP BY us // 10000000, event_type\n"))
 def q_stream_late(spark, sf_dir):
-    """Two files in order: rows of the second that lie behind the watermark of the first are dropped."""
+    """Two waves of files in order: rows of the second that lie behind the watermark of the first are dropped.
+
+    Each wave is written by as many tasks as read it and is one run of the stream, so one
+    micro-batch; the checkpoint carries the watermark and the files read already.
+    """
     src, out = scratch_path(spark, "late-src"), scratch_path(spark, "late-out")
     ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
     day = F.floor(_ns(ev) / (_DAY_US * 1000)) % 2
     checkpoint = scratch_path(spark, "stream-ck")
     for odd in (0, 1):
-        ev.where(day == odd).coalesce(1).write.mode("append").parquet(src)
+        ev.where(day == odd).write.mode("append").parquet(src)
         stream = ST.read_stream(spark, src, ev.schema)
         agg = ST.stream_tumble(stream, "ts", "10 seconds", ["event_type"], "value", watermark="5 seconds")
         ST.start_files(agg, out, checkpoint, fmt="parquet").awaitTermination()
