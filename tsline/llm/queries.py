@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tsline.llm import bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, sketch, suffix_dedup, token_counts
+from tsline.llm import (bitslice_search, bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, sketch,
+                        suffix_dedup, token_counts)
 from tsline.session import scratch_path
 from tsline.suite.registry import table
 
@@ -132,8 +133,35 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = bitslice_search.build_index(table(spark, sf_dir, "documents"))
+    return bitslice_search.search(index, table(spark, sf_dir, "benchmark"), limit=50)
+
+
+OP11_SQL = r"""
+WITH x AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms,
+                  row_number() OVER () AS row FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS total FROM x WHERE len(terms) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+e AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM x),
+f AS (SELECT row, doc_id, n, term, count(*) AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+r AS (SELECT item_id, doc_id, row,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // total)))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id, row),
+o AS (SELECT item_id, doc_id, score,
+             row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+      FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50"""
+
+
 QUERIES = {"op1_ngram_join": op1_ngram_join, "op2_quality": op2_quality, "op3_chat": op3_chat,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing,
            "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts,
-           "op9_line_dedup": op9_line_dedup, "op10_fingerprints": op10_fingerprints}
-ORACLES = {"op6_mixing": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
+           "op9_line_dedup": op9_line_dedup, "op10_fingerprints": op10_fingerprints,
+           "op11_ranked_search": op11_ranked_search}
+ORACLES = {"op6_mixing": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL,
+           "op11_ranked_search": OP11_SQL}

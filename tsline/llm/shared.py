@@ -73,18 +73,18 @@ def slices(data: np.ndarray, offsets: np.ndarray, kind=pa.large_binary()) -> pa.
         None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
 
 
-def word_view(column: pa.Array, fold: bool = False):
+def word_view(column: pa.Array, fold: bool = False, inside: np.ndarray | None = None):
     """Distinct words of a batch, each word's index among them, and each row's first word, plus the end.
 
-    With ``fold``, A-Z are lower-cased.
+    With ``fold``, A-Z are lower-cased. ``inside`` says for each of the 256 byte
+    values whether it is part of a word; without it, the gaps of ``WORD`` end words.
     """
     data, offsets = text_buffer(column)
     if fold:
         data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
-    gap = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    solid = ~gap
+    solid = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D))) if inside is None else inside[data]
     first = solid.copy()
-    first[1:] &= gap[:-1]
+    first[1:] &= ~solid[:-1]
     starts = offsets[:-1][offsets[:-1] < offsets[1:]]
     first[starts] = solid[starts]
     packed = np.concatenate([[0], np.cumsum(solid)])  # place of a byte once gaps are gone
