@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tsline.llm import (bitslice_search, bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, sketch,
+from tsline.llm import (bitslice_search, bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, shards, sketch,
                         suffix_dedup, token_counts)
 from tsline.session import scratch_path
 from tsline.suite.registry import table
@@ -158,10 +158,21 @@ o AS (SELECT item_id, doc_id, score,
 SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50"""
 
 
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", "n_chars", (F.length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    dealt = shards.curve_shards(docs, ["source", "lang", "n_chars"], 24, order=["doc_id", "text_crc32", "size"],
+                                keep=["doc_id", "size", "text_crc32"])
+    return dealt.select("row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {"op1_ngram_join": op1_ngram_join, "op2_quality": op2_quality, "op3_chat": op3_chat,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing,
            "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts,
            "op9_line_dedup": op9_line_dedup, "op10_fingerprints": op10_fingerprints,
-           "op11_ranked_search": op11_ranked_search}
+           "op11_ranked_search": op11_ranked_search, "op12_hilbert_shards": op12_hilbert_shards}
 ORACLES = {"op6_mixing": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL,
            "op11_ranked_search": OP11_SQL}
