@@ -31,7 +31,8 @@ def test_oracles(spark, name):
 
 
 def test_native_plans_have_no_python(spark):
-    for name in ("op6_mixing", "op7_exact_dedup", "op9_line_dedup", "op10_fingerprints"):
+    for name in ("op6_mixing", "op7_exact_dedup", "op9_line_dedup", "op10_fingerprints",
+                 "op12_hilbert_shards"):
         plan = queries.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow")), name
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tsline.llm import (bitslice_search, bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, shards, sketch,
-                        suffix_dedup, token_counts)
+                        suffix_dedup, token_counts, whitening)
 from tsline.session import scratch_path
 from tsline.suite.registry import table
 
@@ -169,10 +169,15 @@ def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_ngram_join": op1_ngram_join, "op2_quality": op2_quality, "op3_chat": op3_chat,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing,
            "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts,
            "op9_line_dedup": op9_line_dedup, "op10_fingerprints": op10_fingerprints,
-           "op11_ranked_search": op11_ranked_search, "op12_hilbert_shards": op12_hilbert_shards}
+           "op11_ranked_search": op11_ranked_search, "op12_hilbert_shards": op12_hilbert_shards,
+           "op13_whitening": op13_whitening}
 ORACLES = {"op6_mixing": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL,
            "op11_ranked_search": OP11_SQL}
