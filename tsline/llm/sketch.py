@@ -2,15 +2,16 @@
 
 A text's sketch keeps every 64-bit shingle hash below a fixed fraction of the
 hash range, so its size follows the text, sketches of parts merge by union, and
-containment can be estimated between texts of very unequal length. The fraction
-is 1 unless the caller gives a smaller one: short texts have few shingles, and
-any hash left out of those is a large part of what tells them apart.
+containment can be estimated between texts of very unequal length. A short text,
+with fewer than ``LEAST`` hashes below the fraction, keeps its ``LEAST`` smallest
+ones, all of them if it has no more; estimates then compare two sketches below
+the lower of the bounds up to which they are complete.
 
 Defined cases: a text of fewer words than a shingle has its whole word sequence
 as one shingle; null counts as empty; only a text without words has an empty
-sketch: where no hash is below the fraction, the least one is kept; two empty
-sketches have likeness 1, an empty and a filled one 0; the likeness of equal
-texts is always 1.
+sketch; two empty sketches have likeness 1, an empty and a filled one 0; the
+likeness of equal texts is always 1; a containment that no kept hash can tell is
+null.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import GAP, require, write_scratch
+from tsline.llm.shared import GAP, fresh, require, write_scratch
 
 SHINGLE = 5
-FRACTION = 1
+FRACTION = 1 / 8
+LEAST = 32
+_TOP = (1 << 63) - 1
 
 
 def words(text):
@@ -37,37 +40,52 @@ def shingle_hashes(words_col: str, k: int = SHINGLE):
     return F.when(F.size(w) > 0, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def keep_low(hashes, fraction: float = FRACTION):
-    """Sorted distinct hashes below ``fraction`` of the signed 64-bit range, the least hash if none is."""
-    if fraction >= 1:
-        return F.sort_array(F.array_distinct(hashes))
-    bound = -(1 << 63) + int(fraction * (1 << 64))
-    least = F.array_min(hashes)
-    return F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h <= F.greatest(F.lit(bound), least))))
+def _bound(fraction: float) -> int:
+    return min(-(1 << 63) + int(fraction * (1 << 64)), _TOP)
 
 
-def with_sketch(df: DataFrame, text: str, out: str, k: int = SHINGLE,
-                fraction: float = FRACTION) -> DataFrame:
+def keep_low(hashes, fraction: float = FRACTION, least: int = LEAST):
+    """Sorted distinct hashes below ``fraction`` of the signed 64-bit range, or the ``least`` smallest if those are more."""
+    low = F.array_distinct(F.filter(hashes, lambda h: h <= F.lit(_bound(fraction))))
+    return F.when(F.size(low) >= least, F.sort_array(low)).otherwise(
+        F.slice(F.sort_array(F.array_distinct(hashes)), 1, least))
+
+
+def complete_to(sketch, fraction: float = FRACTION, least: int = LEAST):
+    """The greatest hash up to which a sketch holds all hashes of its text."""
+    return F.when(F.size(sketch) < least, F.lit(_TOP)).otherwise(
+        F.greatest(F.lit(_bound(fraction)), F.get(sketch, F.lit(least - 1))))
+
+
+def with_sketch(df: DataFrame, text: str, out: str, k: int = SHINGLE, fraction: float = FRACTION,
+                least: int = LEAST) -> DataFrame:
     """``df`` with the sketch of ``text`` as ``out``: map-only, no shuffle."""
-    return (df.withColumn("_words", words(F.col(text)))
-            .withColumn(out, keep_low(shingle_hashes("_words", k), fraction)).drop("_words"))
+    cut, hashes = fresh(df, "cut", "hashes")
+    return (df.withColumn(cut, words(F.col(text))).withColumn(hashes, shingle_hashes(cut, k))
+            .withColumn(out, keep_low(F.col(hashes), fraction, least)).drop(cut, hashes))
+
+
+def _both(a, b, fraction: float, least: int):
+    top = F.least(complete_to(a, fraction, least), complete_to(b, fraction, least))
+    return F.filter(a, lambda h: h <= top), F.filter(b, lambda h: h <= top)
 
 
-def likeness(a, b):
+def likeness(a, b, fraction: float = FRACTION, least: int = LEAST):
     """Estimated Jaccard similarity of the texts behind two sketches."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    x, y = _both(a, b, fraction, least)
+    union = F.size(F.array_union(x, y))
+    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x, y)) / union)
 
 
-def containment(part, whole):
+def containment(part, whole, fraction: float = FRACTION, least: int = LEAST):
     """Estimated share of the first text's shingles that the second has; an empty part counts as held."""
-    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(part, whole)) / F.size(part))
+    x, y = _both(part, whole, fraction, least)
+    return F.when(F.size(part) == 0, F.lit(1.0)).when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
 
 
-def merged(sketches):
+def merged(sketches, fraction: float = FRACTION, least: int = LEAST):
     """Sketch of several texts together, from an array of their sketches."""
-    return F.array_sort(F.array_distinct(F.flatten(sketches)))
+    return keep_low(F.flatten(sketches), fraction, least)
 
 
 def as_string(sketch):
@@ -76,7 +94,7 @@ def as_string(sketch):
 
 
 def _previous(ids: DataFrame) -> DataFrame:
-    """``ids(key, id, n)`` with the row before it in descending id order, in a ring.
+    """``ids(key, id, n, times)`` with the row before it in descending id order, in a ring.
 
     Rows are range-partitioned and numbered once (written, so a retry cannot
     renumber them); each partition needs only the last row of the one before,
@@ -84,48 +102,49 @@ def _previous(ids: DataFrame) -> DataFrame:
     """
     laid = (ids.repartitionByRange(F.col("id").desc_nulls_last(), F.col("key"))
             .sortWithinPartitions(F.col("id").desc_nulls_last(), "key")
-            .select("key", "n", F.monotonically_increasing_id().alias("pos")))
+            .select("key", "n", "times", F.monotonically_increasing_id().alias("pos")))
     laid = write_scratch(laid, "sketch-order").withColumn("part", F.shiftright("pos", 33))
     inside = Window.partitionBy("part").orderBy("pos")
-    ends = laid.groupBy("part").agg(F.max(F.struct("pos", "key", "n")).alias("end"))
+    ends = laid.groupBy("part").agg(F.max(F.struct("pos", "key", "n", "times")).alias("end"))
     ring = Window.orderBy("part")
     everything = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select("part", F.coalesce(F.lag("end").over(ring),
                                           F.last("end").over(everything)).alias("end"))
-    laid = laid.withColumn("before", F.lag(F.struct("key", "n")).over(inside)).join(ends, "part")
-    return laid.select(
-        "key", F.coalesce(F.col("before.key"), F.col("end.key")).alias("prev_key"),
-        F.coalesce(F.col("before.n"), F.col("end.n")).alias("prev_n"))
+    laid = laid.withColumn("before", F.lag(F.struct("key", "n", "times")).over(inside)).join(ends, "part")
+    return laid.select("key", *[F.coalesce(F.col(f"before.{c}"), F.col(f"end.{c}")).alias(f"prev_{c}")
+                                for c in ("key", "n", "times")])
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = SHINGLE, fraction: float = FRACTION, least: int = LEAST) -> DataFrame:
     """Sketches of every text, of its edited form, and of the next document, with likeness.
 
     The edited text has its last ``floor(n / 3)`` code points replaced by as
     many first ones of the next document in descending ``doc_id`` order (all of
     a shorter one; after the last comes the first; a single document follows
-    itself). Rows that repeat a ``doc_id`` count as one document with the
-    longest of their texts, of equally long ones the smallest; null ids are one
-    document, last in order. Extra columns are not carried. Returns
-    ``doc_id, n_chars, text, edited, sketch, edited_sketch, next_sketch``.
-
-    One text shuffle by id serves both sides of the join (the same exchange is
-    reused); the text of a document travels to the one before it, since it is
-    smaller than its sketch.
+    itself). Null ids come last; rows of one id are documents of their own, in
+    the order of their texts' digests; rows equal in id and text are one
+    document, given as often as they come. Extra columns are not carried.
+    Returns ``doc_id, n_chars, text, edited, sketch, edited_sketch, next_sketch``.
+
+    One shuffle of texts and their sketches by document serves both sides of the
+    join (the same exchange is reused); to the document before travel only as many
+    code points as it needs, and the sketch.
     """
     require(docs, "doc_id", "text")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    texts = docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = texts.groupBy("key").agg(F.first("doc_id").alias("id"), F.max(F.length("text")).alias("n"))
+    full = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(full))
+                        .alias("key"), "doc_id", full.alias("text"))
+    ids = texts.groupBy("key").agg(F.first("doc_id").alias("id"), F.max(F.length("text")).alias("n"),
+                                   F.count(F.lit(1)).alias("times"))
     before = write_scratch(_previous(ids), "sketch-ring")
-    one = texts.groupBy("key").agg(
-        F.min(F.struct((-F.length("text")).alias("l"), "text", "doc_id")).alias("d"))
-    one = one.select("key", F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"))
-    sent = one.join(before, "key").select(F.col("prev_key").alias("key"), F.col("text").alias("next"))
+    one = with_sketch(texts, "text", "sketch", k, fraction, least).groupBy("key").agg(
+        F.first(F.struct("doc_id", "text", "sketch")).alias("d")).select("key", "d.*")
+    sent = one.join(before, "key").select(
+        F.col("prev_key").alias("key"), F.col("sketch").alias("next_sketch"), F.col("prev_times").alias("times"),
+        F.expr("substring(text, 1, cast(floor(prev_n / 3) as int))").alias("next"))
     met = one.join(sent, "key").withColumn("n_chars", F.length("text").cast("long"))
     met = met.withColumn("edited", F.concat(
-        F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) as int))"),
-        F.expr("substring(next, 1, cast(floor(n_chars / 3) as int))")))
-    for source, out in (("text", "sketch"), ("edited", "edited_sketch"), ("next", "next_sketch")):
-        met = with_sketch(met, source, out, k, fraction)
-    return met.select("doc_id", "n_chars", "text", "edited", "sketch", "edited_sketch", "next_sketch")
+        F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) as int))"), F.col("next")))
+    met = with_sketch(met, "edited", "edited_sketch", k, fraction, least)
+    out = met.select("doc_id", "n_chars", "text", "edited", "sketch", "edited_sketch", "next_sketch", "times")
+    return out.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
