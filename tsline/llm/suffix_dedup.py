@@ -8,7 +8,8 @@ by side; they are handled as one segment. Segments with equal content repeat as
 a whole. The others of an anchor are sorted as suffixes in the deep-shallow way:
 a multikey sort to a shallow depth, one eight-byte key at a time, then blind
 tries for the groups that still share a prefix; neighbours in that order that
-agree on ``length`` bytes are repeats.
+agree on ``length`` bytes are repeats. An anchor of more segments than a task sorts
+is split first: its strings choose longer anchors, up to the whole string.
 
 Defined cases: null counts as empty; texts shorter than ``length`` lose nothing;
 overlapping occurrences in one document count; rows that repeat an id and text
@@ -34,7 +35,7 @@ GRAM = 128
 PIECE = 1 << 20
 #: Depth of the multikey sort, in keys of eight bytes.
 SHALLOW = 4
-#: Anchors with more distinct segments than this count digests of strings instead of sorting in one task.
+#: A task sorts at most this many distinct segments of an anchor; longer anchors split those of more.
 GROUP_SEGMENTS = 20_000
 #: Bytes of segments that are sorted at a time.
 SORT_BYTES = 1 << 20
@@ -201,12 +202,11 @@ def _merge(owner: np.ndarray, offset: np.ndarray):
     return owner[first], offset[first], offset[last]
 
 
-_SPAN = "id long, th int, start long, stop long"
+_SPAN = "id long, th long, start long, stop long"
 
 
 def _span_batch(ids, ths, starts, stops) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ths, pa.int32()),
-                                       pa.array(starts, pa.int64()), pa.array(stops, pa.int64())],
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, ths, starts, stops)],
                                       names=["id", "th", "start", "stop"])
 
 
@@ -224,7 +224,7 @@ def _sort_segments(batches, length: int):
         owner, first, last = _merge(owner, offset)
         at = np.array([r[3] for r in rows], np.int64)[owner]
         return _span_batch(np.array([r[1] for r in rows], np.int64)[owner],
-                           np.array([r[2] for r in rows], np.int32)[owner], at + first, at + last + length)
+                           np.array([r[2] for r in rows], np.int64)[owner], at + first, at + last + length)
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
@@ -240,83 +240,89 @@ def _sort_segments(batches, length: int):
         yield solve(held)
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM,
-                   most: int = GROUP_SEGMENTS, piece: int = PIECE) -> DataFrame:
-    """``(id, th, start, stop)`` byte spans, overlapping ones too, of ``texts(id, th, text)``."""
+def _combined(row, anchor, content, first, last):
+    """Segments of a row that are equal in anchor, content and length as one, with all their starts."""
+    order = np.lexsort((first, content, anchor, row))
+    row, anchor, content, first, last = (x[order] for x in (row, anchor, content, first, last))
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+    head = np.flatnonzero(new)
+    starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)), pa.int32()), pa.array(first, pa.int64()))
+    return row[head], anchor[head], content[head], starts, (last - first)[head]
+
+
+def _found_anchors(bodies: DataFrame, length: int, gram: int, piece: int) -> DataFrame:
+    """Every segment of ``bodies(id, th, base, body)``, those that repeat inside a body as one row."""
     def anchors(batches):
         finder = Anchors(length, gram, piece)
-        for batch in bounded(batches, 2):
-            data, offsets = text_buffer(batch.column(2))
+        for batch in bounded(batches, 3):
+            data, offsets = text_buffer(batch.column(3))
             row, place, first, last, anchor = finder.of(data, offsets)
             raw = memoryview(np.ascontiguousarray(data))
             at, stop = offsets[row] + first, offsets[row] + last + length
             content = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], seed=s) for a, b, s in zip(
-                at.tolist(), stop.tolist(), (place - first).tolist())), np.uint64, len(row))
+                at.tolist(), stop.tolist(), (place - first).tolist())), np.uint64, len(row)).view(np.int64)
+            row, anchor, content, starts, more = _combined(row, anchor, content, first, last)
+            of = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(anchor),
-                 pa.array(content.view(np.int64)), pa.array(first), pa.array((last - first).astype(np.int32))],
-                names=["id", "th", "anchor", "content", "at", "more"])
+                [*(batch.column(i).take(of) for i in range(3)), pa.array(anchor), pa.array(content), starts,
+                 pa.array(more.astype(np.int32))], names=["id", "th", "base", "anchor", "content", "starts", "more"])
 
-    found = write_scratch(texts.mapInArrow(
-        anchors, "id long, th int, anchor long, content long, at long, more int"), "anchors")
-    # first() takes all its columns from the same row; for a class of one row, from that row
+    return write_scratch(bodies.mapInArrow(
+        anchors, "id long, th long, base long, anchor long, content long, starts array<long>, more int"), "anchors")
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                   most: int = GROUP_SEGMENTS, piece: int = PIECE) -> DataFrame:
+    """``(id, th, start, stop)`` byte spans, overlapping ones too, of ``texts(id, th, text)``."""
+    return _spans_of(texts.select("id", "th", F.lit(0).cast("long").alias("base"), F.encode("text", "utf-8").alias("body")),
+                     length, gram, most, piece)
+
+
+def _spans_of(bodies: DataFrame, length: int, gram: int, most: int, piece: int) -> DataFrame:
+    """Spans of ``bodies(id, th, base, body)``; a body starts at ``base`` of its text."""
+    found = _found_anchors(bodies, length, gram, piece)
     classes = found.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("id", "th", "at", "more")])
-    known = write_scratch(classes.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("segments"), F.max("n").alias("copies"))
-        .where("segments > 1 OR copies > 1"), "anchor-groups")
-    whole = found.join(classes.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(
-        "id", "th", F.col("at").alias("start"), (F.col("at") + F.col("more") + length).alias("stop"))
-    open_ = classes.join(known.where(F.col("segments") > 1).select("anchor", "segments"), "anchor")
-    wanted = open_.groupBy("id", "th").agg(F.collect_list(F.struct(
+        F.sum(F.size("starts")).alias("n"),
+        F.first(F.struct("id", "th", "base", F.get("starts", F.lit(0)).alias("at"), "more")).alias("one"))
+    groups = write_scratch(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
+                           .where("segments > 1"), "anchor-groups")
+    twice = classes.where("n > 1").select(F.col("anchor").alias("a"), F.col("content").alias("c"))
+    whole = found.join(twice, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")), "left_semi").select(
+        "id", "th", F.explode(F.transform("starts", lambda x: x + F.col("base"))).alias("start"), "more").select(
+        "id", "th", "start", (F.col("start") + F.col("more") + length).alias("stop"))
+    open_ = classes.select("anchor", "n", "one.*").join(groups, "anchor")
+    wanted = open_.groupBy("id", "th", "base").agg(F.collect_list(F.struct(
         "anchor", "at", "more", (F.col("n") == 1).alias("single"), (F.col("segments") > most).alias("large"))).alias("wanted"))
-    met = texts.join(wanted, ["id", "th"])
-
-    def cut(batches):
-        for batch in bounded(batches, 2):
-            rows = []
-            ids, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            seen = set()
-            for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if (ids[i], ths[i]) in seen:
-                    continue
-                seen.add((ids[i], ths[i]))
-                raw = text.encode()
-                rows += [(w["anchor"], ids[i], ths[i], w["at"], w["single"],
-                          raw[w["at"]:w["at"] + w["more"] + length]) for w in wanted if not w["large"]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[j] for r in rows], t) for j, t in enumerate(
-                    (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()))],
-                names=["anchor", "id", "th", "at", "single", "segment"])
-
-    segments = met.select("id", "th", "text", "wanted").mapInArrow(
-        cut, "anchor long, id long, th int, at long, single boolean, segment binary")
-    sorted_ = (segments.repartition("anchor").sortWithinPartitions("anchor")
+    met = bodies.join(wanted, ["id", "th", "base"])
+
+    def cut(large: bool):
+        def run(batches):
+            for batch in bounded(batches, 3):
+                rows, seen = [], set()
+                ids, ths, bases = (batch.column(i).to_pylist() for i in range(3))
+                for i, (raw, wanted) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+                    if (ids[i], ths[i], bases[i]) in seen:
+                        continue
+                    seen.add((ids[i], ths[i], bases[i]))
+                    rows += [(w["anchor"], ids[i], ths[i], bases[i] + w["at"], w["single"],
+                              raw[w["at"]:w["at"] + w["more"] + length]) for w in wanted if w["large"] == large]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[j] for r in rows], t) for j, t in enumerate(
+                        (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))],
+                    names=["anchor", "id", "th", "at", "single", "segment"])
+
+        return met.select("id", "th", "base", "body", "wanted").mapInArrow(
+            run, "anchor long, id long, th long, at long, single boolean, segment binary")
+
+    sorted_ = (cut(False).repartition("anchor").sortWithinPartitions("anchor")
                .mapInArrow(lambda batches: _sort_segments(batches, length), _SPAN))
     spans = whole.unionByName(sorted_)
-    if known.where(F.col("segments") > most).isEmpty():
+    if gram == length or groups.where(F.col("segments") > most).isEmpty():
         return spans
-
-    def digests(batches):
-        for batch in batches:
-            ids, ths, starts, high, low = [], [], [], [], []
-            for i, t, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = text.encode()
-                for w in wanted:
-                    if w["large"]:
-                        for s in range(w["at"], w["at"] + w["more"] + 1):
-                            found = xxhash.xxh3_128_intdigest(raw[s:s + length])
-                            ids.append(i), ths.append(t), starts.append(s)
-                            high.append((found >> 64) - (1 << 63)), low.append((found & ((1 << 64) - 1)) - (1 << 63))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ths, pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(high, pa.int64()), pa.array(low, pa.int64())], names=["id", "th", "start", "high", "low"])
-
-    each = write_scratch(met.select("id", "th", "text", "wanted").mapInArrow(
-        digests, "id long, th int, start long, high long, low long"), "string-digests")
-    twice = each.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high", "low")
-    return spans.unionByName(each.join(twice, ["high", "low"], "left_semi").select(
-        "id", "th", "start", (F.col("start") + length).alias("stop")))
+    longer = write_scratch(cut(True).select("id", "th", F.col("at").alias("base"), F.col("segment").alias("body")),
+                           "large-anchors")
+    return spans.unionByName(_spans_of(longer, length, min(2 * gram, length), most, piece))
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = GROUP_SEGMENTS,
@@ -331,7 +337,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most:
         raise ValueError("length must be a multiple of 8, gram at most length, and piece at most 2 ** 20")
     full = F.coalesce("text", F.lit(""))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-                        F.hash(full).alias("th"), full.alias("text"))
+                        F.xxhash64(full).alias("th"), full.alias("text"))
     spans = repeated_spans(texts, length, gram, most, piece).groupBy("id", "th").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
 
