@@ -3,7 +3,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 from llm.helpers import words_of
 from tsline.llm import ngram_join, queries
 from tsline.llm.shared import components
@@ -124,3 +124,34 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_without_ids_keep_their_links(spark):
+    """Near copies that all lack an id, or share one, are one group of their own kind."""
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base[:i] + [f"edit{i}"] + base[i + 1:]) for i in range(150)]
+    for ids in ([None] * 150, [4] * 150, list(range(150))):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        got = ngram_join.ngram_groups(df, 5, 80, 100)
+        rows = got.collect()
+        assert len(rows) == 150 and len({r["group_key"] for r in rows}) == 1
+        assert {r["component_id"] for r in rows} == {min((i for i in ids if i is not None), default=None)}
+        assert ngram_join.one_of_each(df, k=5, num=80, den=100).count() == 1
+
+
+def test_starting_regions_do_not_grow_together(spark):
+    """Documents that share passages, but are no near copies, are not tied into one region."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    sizes = (ngram_join.starting_regions(docs, 5, 80, 100).groupBy("component").count().toPandas()["count"])
+    assert sizes.max() <= 30
+
+
+def test_names_of_all_kinds_are_kept(spark):
+    names = ("_own", "_id", "_hash", "_group", "row", "id", "hash", "own_id", "own_hash", "number", "region", "digest",
+             "component", "low", "a b", "x.y")
+    df = spark.createDataFrame([(1, "some words here now", *names), (1, "some words here now", *names),
+                                (2, "some words here now", *names)],
+                               "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    assert [tuple(r) for r in kept.collect()] == [(1, "some words here now", *names)]

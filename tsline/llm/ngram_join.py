@@ -9,9 +9,12 @@ exactly, by set intersection.
 Documents without shared shingles are all at distance 1 of each other, and there
 pivots cannot tell them apart, so the starting regions are made first, exactly:
 two sets whose similarity reaches the threshold differ in at most ``k`` shingles,
-so if the shingles are dealt by hash into more than ``k`` parts, at least one
-part is equal in both. Sets with an equal part are tied together, and the
-connected components are the starting regions. No link can cross them.
+so if the shingles are dealt by hash into more than ``k`` parts, one is equal in
+both. Where such parts hold few shingles, at a low threshold, unrelated sets that
+share a passage would have equal ones too; there the shingles are dealt into
+``(k + 1) / 2`` groups of three parts, one group differs in one part at most, and
+two of its parts are equal in both. Sets with equal parts are tied together, and
+the connected components are the starting regions. No link can cross them.
 
 Links are kept as a spanning forest: documents that a pivot links are settled
 with each other and not compared again, so a group of near copies costs its size
@@ -20,10 +23,11 @@ times the number of pivots, not its square.
 Defined cases: null counts as empty; a text without words has no shingles and
 is linked with nothing; a text of fewer words than a shingle has its whole
 sequence as one shingle; equal sets are always linked; a similarity exactly at
-the threshold links; null ids are one id smaller than all others in the search
-and are given as null; repeated rows are linked with each other; an empty table
-gives an empty result; extra columns are not carried. Shingles are compared by
-64-bit hashes and whole sets by 128-bit ones.
+the threshold links; rows are told apart by their sets, so rows without an id or
+of a repeated one are linked like all others, and a group of rows without any id
+has a null ``component_id``; repeated rows are linked with each other; an empty
+table gives an empty result; extra columns are not carried. Shingles are compared
+by 64-bit hashes and whole sets by 128-bit ones.
 """
 
 from __future__ import annotations
@@ -34,14 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import WORD, bounded, components, mix64, require, word_view, write_scratch
+from tsline.llm.shared import bounded, components, mix64, require, word_view, write_scratch
 
 #: Pivots of a region, at most 62.
 PIVOTS = 16
 #: A region is joined in one task when it has at most this many sets and shingles.
 REGION_ROWS = 2048
 REGION_SHINGLES = 1_000_000
-_NO_ID = -(1 << 63)
+#: Mean shingles of a part from which single parts tie; below it, two of the three parts of a group do.
+PART_SHINGLES = 8
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -71,6 +76,11 @@ def set_digest(found: np.ndarray) -> str:
     return xxhash.xxh3_128_hexdigest(found.tobytes())
 
 
+def set_number(found: np.ndarray) -> int:
+    """A 64-bit name of a set; equal names only ever put sets into one region."""
+    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
+
+
 def size_classes(top: int, num: int, den: int) -> np.ndarray:
     """Upper bounds of the size classes; a set's partners lie in its class and the ones beside it."""
     bounds = [1]
@@ -79,16 +89,26 @@ def size_classes(top: int, num: int, den: int) -> np.ndarray:
     return np.array(bounds, np.int64)
 
 
+def parts_of(num: int, den: int) -> int:
+    """Parts of a group, by the mean number of shingles that a single part would have."""
+    return 1 if den + num >= 2 * PART_SHINGLES * (den - num) else 3
+
+
 def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of every set, and the row of each key.
+    """Keys of every set, and the row of each key; linked sets have one in common.
 
     Within a class of sizes up to u, sets at the threshold differ in at most
-    ``k = (den - num) 2u / (den + num)`` shingles. Of ``k + 1 + spare`` parts at
-    least ``1 + spare`` are then equal, so a part that is empty in both can be
-    the only equal one just for sets with more than ``spare`` empty parts; these
-    emit their empty parts too. A set joins its own class and the next one, where
-    a larger partner may be.
+    ``k = (den - num) 2u / (den + num)`` shingles. Shingles are dealt into groups.
+    A group of a single part is a key; of ``k + 1 + spare`` such groups at least
+    ``1 + spare`` are equal. In groups of several parts, each choice of all but one
+    is a key; of ``(k + 1) / 2 + spare`` such groups at least ``1 + spare`` differ
+    in one shingle at most, and share the key that leaves out its part. That key may
+    be of empty parts; only sets with such a choice in more than ``spare`` groups
+    need keys of empty parts, and they alone have them. Where k is 0 the whole set
+    is the key. A set joins its own class and the next one, where a larger partner
+    may be.
     """
+    width = parts_of(num, den)
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -96,7 +116,7 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     bounds = np.append(bounds, max(bounds[-1] + 1, bounds[-1] * den // num))
     differ = (den - num) * 2 * bounds // (den + num)
     spare = np.where(differ > 0, 1 + differ // 16, 0)
-    parts = differ + 1 + spare
+    groups = np.where(differ > 0, (differ + 1 if width == 1 else (differ + 2) // 2) + spare, 1)
     own = np.searchsorted(bounds, sizes)
     flat = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets)), sizes)
@@ -105,20 +125,29 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     keys, rows = [], []
     for step in (0, 1):
         level = own + step
-        many = np.where(sizes > 0, parts[level], 0)
+        many = np.where(sizes > 0, groups[level], 0)
         base = np.concatenate([[0], np.cumsum(many)])
-        part = base[row] + ((place * many[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        owner = np.repeat(np.arange(len(sets)), many)
+        number = np.arange(base[-1]) - base[owner]
+        part = width * base[row] + ((place * (width * many[row]).astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        sums = np.add.reduceat(value, first)
-        slot, owner = part[first], row[first]
-        salt = (level[owner] * (1 << 32) + slot - base[owner]).astype(np.uint64)
-        keys.append(mix64(sums + mix64(salt)))
-        rows.append(owner)
-        gaps = many - np.bincount(owner, minlength=len(sets))
-        for r in np.flatnonzero((gaps > spare[level]) & (sizes > 0)):
-            empty = np.setdiff1d(np.arange(many[r]), slot[owner == r] - base[r])
-            keys.append(mix64(mix64((level[r] * (1 << 32) + empty).astype(np.uint64)) ^ np.uint64(0xE)))
-            rows.append(np.full(len(empty), r))
+        sums, held = np.zeros((2, width * base[-1]), np.uint64)
+        sums[part[first]] = mix64(np.add.reduceat(value, first) + part[first].astype(np.uint64) % np.uint64(width))
+        held[part[first]] = np.diff(np.append(first, len(part))).astype(np.uint64)
+        sums, held = sums.reshape(-1, width), held.reshape(-1, width).astype(np.int64)
+        salt = mix64((level[owner] * (1 << 32) + number).astype(np.uint64))
+        if width == 1:
+            left, empty = sums.copy(), held == 0
+        else:
+            left = sums.sum(axis=1)[:, None] - sums + np.arange(1, width + 1, dtype=np.uint64)[None, :]
+            empty = held.sum(axis=1)[:, None] == held
+        exact = differ[level[owner]] == 0  # one key of the whole set
+        left[exact, 0] = sums[exact].sum(axis=1)
+        empty[exact, 0], empty[exact, 1:] = False, True
+        odd = np.bincount(owner[empty.any(axis=1) & ~exact], minlength=len(sets))
+        wanted = ~empty | ((odd > spare[level])[owner] & ~exact)[:, None]
+        keys.append(mix64(left + salt[:, None])[wanted])
+        rows.append(np.broadcast_to(owner[:, None], wanted.shape)[wanted])
     return np.concatenate(keys).view(np.int64), np.concatenate(rows)
 
 
@@ -139,22 +168,21 @@ def _batch(*columns) -> pa.RecordBatch:
 
 
 def starting_regions(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """``(id, component)`` of documents that share a part with another one.
+    """``(id, component)`` of the sets, by :func:`set_number`, that share a key with another one.
 
-    Each task first ties its own documents (one row for each key and batch
-    leaves it), so a key that a third of all documents share moves as one row a
-    batch.
+    Each task first ties the sets of a batch (one row for each key and batch leaves
+    it), so a key that a third of all documents share moves as one row a batch. Keys
+    then arrive sorted, and of each run only the smallest set is held.
     """
     def parts(batches):
-        for batch in batches:
-            keys, ids = [], []
-            for part in bounded([batch], 1):
-                own, rows = part_keys(shingle_sets(part.column(1), k), num, den)
-                keys.append(own)
-                ids.append(np.asarray(part.column(0).fill_null(_NO_ID), np.int64)[rows])
-            if not keys:
+        for batch in bounded(batches, 0):
+            sets = {set_number(s): s for s in shingle_sets(batch.column(0), k) if len(s)}
+            if not sets:
                 continue
-            keys, ids, pairs = _stars(np.concatenate(keys), np.concatenate(ids))
+            keys, rows = part_keys(list(sets.values()), num, den)
+            keys, ids, pairs = _stars(keys, np.array(list(sets), np.int64)[rows])
+            order = np.argsort(ids, kind="stable")  # rows of one set side by side take less room
+            keys, ids = keys[order], ids[order]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([keys, mix64(pairs[0].view(np.uint64)).view(np.int64)])),
                  pa.array(np.concatenate([ids, pairs[0]])),
@@ -163,20 +191,21 @@ def starting_regions(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 names=["key", "a", "b"])
 
     def ties(batches):
-        keys, ids = [], []
+        last = None
         for batch in batches:
             tied = np.asarray(batch.column(2).is_valid())
             a, b = np.asarray(batch.column(1)), np.asarray(batch.column(2).fill_null(0))
-            yield pa.RecordBatch.from_arrays([pa.array(a[tied]), pa.array(b[tied])], names=["a", "b"])
-            keys.append(np.asarray(batch.column(0))[~tied])
-            ids.append(a[~tied])
-        if keys:
-            _, _, pairs = _stars(np.concatenate(keys), np.concatenate(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            keys, ids = np.asarray(batch.column(0))[~tied], a[~tied]
+            if last is not None:  # the run that the batch before ended in goes on
+                keys, ids = np.append(last[0], keys), np.append(last[1], ids)
+            heads, lows, pairs = _stars(keys, ids)
+            if len(heads):
+                last = heads[-1], lows[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a[tied], pairs[0]])),
+                                              pa.array(np.concatenate([b[tied], pairs[1]]))], names=["a", "b"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return components(texts.mapInArrow(parts, "key long, a long, b long")
-                      .repartition("key").mapInArrow(ties, "a long, b long"), "regions")
+    return components(docs.select("text").mapInArrow(parts, "key long, a long, b long")
+                      .repartition("key").sortWithinPartitions("key", "a").mapInArrow(ties, "a long, b long"), "regions")
 
 
 def _links(sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -302,32 +331,21 @@ def _measure(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int)
                  "mask long, links array<string>, pivot boolean")
 
 
-def _merge_labels(table: pa.Table) -> pa.Table:
-    """New labels of the distinct (mask, label) pairs of one region: what a row links becomes one label."""
-    region = table["region"][0].as_py()
-    masks, labels = table["mask"].to_pylist(), table["label"].to_pylist()
-    root: dict = {}
+def _merge_masks(table: pa.Table) -> pa.Table:
+    """For every distinct mask of a region, the lowest pivot that its pivots reach through common masks."""
+    masks = table["mask"].to_pylist()
+    root = list(range(64))
 
     def find(x):
-        while root.setdefault(x, x) != x:
+        while root[x] != x:
             x = root[x]
         return x
 
-    for mask, label in zip(masks, labels):
-        members = [i for i in range(mask.bit_length()) if mask >> i & 1] + ([label] if label is not None else [])
-        for other in members[1:]:
-            root[find(other)] = find(members[0])
-    named: dict = {}
-    for x in list(root):
-        if isinstance(x, str):
-            named[find(x)] = min(named.get(find(x), x), x)
-    out = []
-    for mask, label in zip(masks, labels):
-        member = label if label is not None else (mask.bit_length() - 1 if mask else None)
-        top = None if member is None else find(member)
-        out.append(None if top is None else named.get(top, f"{region}#{top}"))
-    return pa.table({"region": table["region"], "mask": table["mask"], "label": table["label"],
-                     "merged": pa.array(out, pa.string())})
+    for mask in masks:
+        members = [find(i) for i in range(mask.bit_length()) if mask >> i & 1]
+        for other in members:
+            root[other] = min(members)
+    return table.append_column("top", pa.array([find(m.bit_length() - 1) for m in masks], pa.int32()))
 
 
 def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -341,13 +359,18 @@ def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -
     """
     met = write_scratch(_measure(rows, sizes, pivots, num, den), "measured")
     links = met.select(F.col("digest").alias("a"), F.explode("links").alias("b"))
-    merged = (met.select("region", "mask", "label").distinct().groupBy("region")
-              .applyInArrow(_merge_labels, "region string, mask long, label string, merged string"))
-    merged = write_scratch(merged, "merged-labels").select(
-        F.col("region").alias("_r"), F.col("mask").alias("_m"), F.col("label").alias("_l"), "merged")
-    named = met.join(merged, (F.col("region") == F.col("_r")) & (F.col("mask") == F.col("_m"))
-                     & F.col("label").eqNullSafe(F.col("_l"))).select(
-        "region", "digest", "found", F.col("merged").alias("label"), "home", "near", "pivot")
+    # a labelled row links whatever any row of its label links; distinct masks are 2 ** pivots at most
+    whole = write_scratch(met.where("label IS NOT NULL").groupBy("region", "label").agg(
+        F.bit_or("mask").alias("mask")), "label-masks").select(
+        F.col("region").alias("in_region"), F.col("label").alias("in_label"), F.col("mask").alias("all_mask"))
+    met = met.join(whole, (F.col("region") == F.col("in_region")) & (F.col("label") == F.col("in_label")), "left") \
+        .withColumn("mask", F.coalesce("all_mask", "mask")).drop("in_region", "in_label", "all_mask")
+    tops = write_scratch(met.where("mask <> 0").select("region", "mask").distinct().groupBy("region").applyInArrow(
+        _merge_masks, "region string, mask long, top int"), "merged-masks").select(
+        F.col("region").alias("in_region"), F.col("mask").alias("in_mask"), "top")
+    named = met.join(tops, (F.col("region") == F.col("in_region")) & (F.col("mask") == F.col("in_mask")), "left").select(
+        "region", "digest", "found", "home", "near", "pivot",
+        F.when(F.col("top").isNotNull(), F.concat_ws("#", "region", "top")).otherwise(F.col("label")).alias("label"))
     common = (named.where("label IS NOT NULL").groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
               .groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main")))
     cells = F.when(F.col("label") == F.col("main"), F.array("home")).otherwise(F.col("near"))
@@ -366,9 +389,11 @@ def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
               .groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main")))
     rows = rows.join(common, "region", "left").withColumn(
         "settled", F.coalesce(F.col("label") == F.col("main"), F.lit(False)))
+    # a block has at most half of a task's rows and shingles, on average
+    share = F.greatest(F.lit(1.0 / REGION_ROWS), F.size("found") / REGION_SHINGLES) * 2
     many = rows.groupBy("region").agg(
-        F.ceil(F.sum(F.col("settled").cast("int")) * 2 / REGION_ROWS).cast("int").alias("mains"),
-        F.ceil(F.sum((~F.col("settled")).cast("int")) * 2 / REGION_ROWS).cast("int").alias("others"))
+        F.ceil(F.sum(F.when(F.col("settled"), share).otherwise(0.0))).cast("int").alias("mains"),
+        F.ceil(F.sum(F.when(F.col("settled"), 0.0).otherwise(share))).cast("int").alias("others"))
     rows = rows.join(many.where("others > 0"), "region")  # else all rows are settled
     pick = F.xxhash64("digest", F.lit("block"))
     main = F.pmod(pick, F.greatest("mains", F.lit(1))).cast("int")
@@ -424,7 +449,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each linked group: its smallest id, then the smallest text hash.
 
     Null ids come after all others; rows that share an id but are not linked
-    are in groups of their own. Documents without shingles all stay.
+    are in groups of their own. Of rows equal in id and text, one by the hash of
+    all its columns stays. Documents without shingles all stay.
     """
     groups = write_scratch(ngram_groups(docs, **options), "ngram-groups")
     inside = F.col("n_shingles") > 0
@@ -432,14 +458,20 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("k"))
     stay = first.select("k.doc_id", "k.text_hash").unionByName(
         groups.where(~inside).select("doc_id", "text_hash").distinct())
-    stay = write_scratch(stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "ngram-stay")
-    kept = docs.withColumn("_own", text_hash()).join(
-        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_semi")
+    stay = write_scratch(stay.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")), "ngram-stay")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col("doc_id").cast("long").alias("own_id"), text_hash().alias("own_hash"))
+    kept = given.join(stay, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")), "left_semi")
     repeated = groups.where(inside).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = write_scratch(repeated.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")),
+                             "ngram-repeated")
     if not repeated.isEmpty():
-        filled = F.coalesce("text", F.lit("")).rlike(WORD)
-        kept = kept.where(~filled).unionByName(kept.where(filled).dropDuplicates(["doc_id", "_own"]))
-    return kept.drop("_own")
+        same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash"))
+        plain = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+        one = kept.join(repeated, same, "left_semi").groupBy("own_id", "own_hash").agg(
+            F.min_by("row", F.xxhash64(*plain)).alias("row"))
+        kept = kept.join(repeated, same, "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select("row.*")
 
 
 def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, pivots: int = PIVOTS,
@@ -452,7 +484,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     linked rows only, whatever their ids, and null for rows without shingles.
     """
     require(docs, "doc_id", "text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = texts.withColumn("text_hash", text_hash())
 
     def describe(batches):
@@ -460,39 +492,47 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
             sets = shingle_sets(batch.column(1), k)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.string())],
-                names=["doc_id", "text_hash", "n_shingles", "digest"])
+                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.string()),
+                 pa.array([set_number(s) if len(s) else None for s in sets], pa.int64())],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "number"])
 
     known = write_scratch(hashed.mapInArrow(
-        describe, "doc_id long, text_hash long, n_shingles long, digest string"), "shingle-sets")
-    regions = starting_regions(texts, k, num, den)
-    placed = known.where("n_shingles > 0").join(
-        regions, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("id"))
-    sets = placed.groupBy("digest").agg(F.min("id").alias("id"), F.min("component").alias("component"))
-    several = sets.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
-    wanted = write_scratch(sets.join(several, "component"), "region-members")
+        describe, "doc_id long, text_hash long, n_shingles long, digest string, number long"), "shingle-sets")
+    regions = write_scratch(starting_regions(texts, k, num, den), "starting-regions")
+    sets = known.where("n_shingles > 0").groupBy("digest", "number").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("row"))
+    placed = sets.join(regions.withColumnRenamed("id", "number"), "number")
+    placed = write_scratch(placed.select("digest", "component", "row.doc_id", "row.text_hash"), "placed-sets")
+    several = write_scratch(placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                            .select("component"), "several-sets")
+    wanted = write_scratch(placed.join(several, "component").select(
+        "digest", F.col("component").cast("string").alias("region"), F.col("doc_id").alias("id"),
+        F.col("text_hash").alias("hash")), "region-members")
     # one plan at every size: the members grow with the corpus and are never broadcast
-    fetched = texts.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(wanted.hint("merge"), "id").select(
-        "digest", F.col("component").cast("string").alias("region"), "text")
+    fetched = hashed.join(wanted.hint("merge"), (F.col("text_hash") == F.col("hash"))
+                          & F.col("doc_id").eqNullSafe(F.col("id"))).select("digest", "region", "text")
 
     def members(batches):
+        last = None
         for batch in bounded(batches, 2):
             digests, regions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sets = shingle_sets(batch.column(2), k)
-            # a repeated id may bring another text than the one looked for
-            keep = [i for i, s in enumerate(sets) if len(s) and set_digest(s) == digests[i]]
+            # rows that repeat an id with its text come one after the other
+            keep = [i for i, d in enumerate(digests) if d != (digests[i - 1] if i else last)]
+            last = digests[-1] if digests else last
+            sets = shingle_sets(batch.column(2).take(pa.array(keep, pa.int64())), k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([regions[i] for i in keep], pa.string()), pa.array([digests[i] for i in keep], pa.string()),
-                 pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                  pa.nulls(len(keep), pa.string())], names=["region", "digest", "found", "label"])
 
     rows = write_scratch(fetched.mapInArrow(
         members, "region string, digest string, found array<long>, label string"), "region-rows")
-    tied = components(region_links(rows, num, den, pivots, most_rows, most_shingles), "ngram-components")
-    grouped = known.join(tied.withColumnRenamed("id", "digest"), "digest", "left").withColumn(
-        "_group", F.coalesce("component", "digest"))
-    lowest = grouped.groupBy("_group").agg(F.min("doc_id").alias("_low"))
-    return grouped.join(lowest, "_group", "left").select(
+    tied = write_scratch(components(region_links(rows, num, den, pivots, most_rows, most_shingles), "ngram-components"),
+                         "ngram-tied")
+    # both sides of the joins are written, so that a hot group's rows can be split over tasks
+    grouped = write_scratch(known.join(tied.withColumnRenamed("id", "digest"), "digest", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component", "digest").alias("group_key")), "ngram-grouped")
+    lowest = write_scratch(grouped.groupBy("group_key").agg(F.min("doc_id").alias("low")), "ngram-lowest")
+    return grouped.join(lowest, "group_key", "left").select(
         "doc_id", "text_hash", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("_low")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("_group").alias("group_key"))
+        F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"), "group_key")
