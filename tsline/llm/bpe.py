@@ -30,11 +30,13 @@ from pyspark.sql import types as T
 
 from tsline.llm.shared import bounded, require, slices, text_buffer
 
-PIECES_AT_ONCE = 20_000
+#: Bytes of text that a worker encodes at a time, and pieces that go to the library at a time.
+TEXT_AT_ONCE = 2 << 20
+PIECES_AT_ONCE = 10_000
 #: Distinct pieces whose ids a worker keeps between batches.
 PIECES_KEPT = 150_000
 #: Ids that a worker decodes at a time.
-IDS_AT_ONCE = 1 << 20
+IDS_AT_ONCE = 1 << 18
 
 
 def byte_chars() -> list[str]:
@@ -209,7 +211,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text",
 
         tokenizer = Tokenizer.from_str(built.value)
         encoder = PieceEncoder(tokenizer)
-        for batch in bounded(batches, names.index(text)):
+        for batch in bounded(batches, names.index(text), TEXT_AT_ONCE):
             column = batch.column(names.index(text))
             flat, starts = encode_column(encoder, column)
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat, pa.int32()))
@@ -227,15 +229,29 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text",
     return docs.select(*names).mapInArrow(run, schema)
 
 
-def token_bytes(blob: bytes) -> list[bytes]:
-    """The byte string of each id."""
-    ranks = parse_ranks(blob)
-    table = [b""] * (max(ranks.values(), default=-1) + 1)
+def token_chars(blob: bytes) -> list[str]:
+    """The characters of each id, one for each byte, as the vocabulary writes it."""
+    ranks, chars = parse_ranks(blob), byte_chars()
+    table = [""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
-        table[rank] = token
+        table[rank] = "".join(chars[b] for b in token)
     return table
 
 
+def char_bytes() -> np.ndarray:
+    """The byte table reversed: the byte of each character's code point."""
+    out = np.zeros(1 + max(map(ord, byte_chars())), np.uint8)
+    for byte, char in enumerate(byte_chars()):
+        out[ord(char)] = byte
+    return out
+
+
+def token_bytes(blob: bytes) -> list[bytes]:
+    """The byte string of each id, from its characters."""
+    back = char_bytes()
+    return [bytes(back[[ord(c) for c in shown]]) if shown else b"" for shown in token_chars(blob)]
+
+
 def decode_steps(ids, table: list[bytes]) -> list[str]:
     """Text that each id completes; a character split over ids comes with its last byte."""
     decoder = codecs.getincrementaldecoder("utf-8")("replace")
@@ -268,7 +284,11 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str]
     batch_names = list(dict.fromkeys([*kept, ids]))
 
     def run(batches):
-        table = pa.array(token_bytes(blob.value), pa.large_binary())
+        shown = token_chars(blob.value)
+        points = np.frombuffer("".join(shown).encode("utf-32-le"), np.uint32).astype(np.uint16)
+        table = pa.LargeListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum([len(s) for s in shown])]), pa.int64()), pa.array(points))
+        back = char_bytes()
         at = batch_names.index(ids)
         for batch in (part for whole in batches for part in _few_ids(whole, at)):
             lists = batch.column(at)
@@ -277,11 +297,9 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str]
                 raise ValueError("an id outside the vocabulary")
             lengths = pc.fill_null(pc.list_value_length(lists), 0)
             rows = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64))])
-            joined = table.take(flat)
-            ends = np.asarray(np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1))
-            data = joined.buffers()[2]
-            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-            whole = slices(data, ends[rows], pa.large_binary())
+            joined = table.take(flat)  # ids to characters, these to bytes
+            ends = np.asarray(joined.offsets, np.int64)
+            whole = slices(back[np.asarray(joined.flatten())], (ends - ends[0])[rows], pa.large_binary())
             if as_text:
                 whole = pa.array([x.decode("utf-8", "replace") for x in whole.to_pylist()], pa.string())
             else:

@@ -7,7 +7,7 @@ sample of labelled rows; scoring runs over every document and whole text.
 
 Defined cases: null text counts as empty; a text without words scores the bias
 alone; labels that are null are ignored, repeated labels of a document count
-once (the smallest); without labelled rows every score is 0.5, with one class
+once (the smallest), as do texts of a repeated id; without labelled rows every score is 0.5, with one class
 only the scores lean to it; repeated documents are scored alike, and ``score``,
 ``predicted`` and ``held_out`` replace input columns of these names; an empty
 table gives an empty result. ``doc_id`` decides only which rows are held out,
@@ -26,13 +26,14 @@ from tsline.llm.shared import bounded, mix64, require, word_view, write_scratch
 
 BUCKETS = 1 << 18
 DIM = 8
-EPOCHS = 8
 RATE = 0.5
-#: A small training set is passed over more often, up to this many steps.
-LEAST_STEPS = 20_000
+#: Steps of training, whatever the number of rows: passes over all rows in new orders, the last one cut.
+STEPS = 48_000
 #: Bound on the labelled rows that training takes, by hash of their id.
 TRAINING_ROWS = 6000
 NGRAMS = (3, 4, 5)
+#: Bytes of text that a worker scores at a time.
+TEXT_AT_ONCE = 1 << 20
 
 
 def _hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,7 +97,7 @@ def _features(batch: pa.RecordBatch):
         yield label, buckets, weight / max(weight.sum(), 1.0)
 
 
-def train(rows, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
+def train(rows, dim: int = DIM, steps: int = STEPS, rate: float = RATE, seed: int = 7):
     """Score of each bucket (class 1 against class 0, per unit share) and the bias.
 
     ``rows`` are ``(label, buckets, shares)``. Only the difference of the two
@@ -104,13 +105,12 @@ def train(rows, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed:
     for each bucket.
     """
     rows = list(rows)
-    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(rows))))
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     output, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
-    steps, done = max(1, epochs * len(rows)), 0
-    for _ in range(epochs):
-        for r in rng.permutation(len(rows)):
+    done = 0
+    while rows and done < steps:
+        for r in rng.permutation(len(rows))[:steps - done]:
             label, buckets, shares = rows[r]
             step = rate * (1 - done / steps)
             done += 1
@@ -143,10 +143,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     require(labels, "doc_id", label)
     spark = docs.sparkSession
     usable = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.min(label).cast("int").alias("label")))
+              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("int").alias("label")))
     chosen = write_scratch(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "quality-sample")
-    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-             .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "text"))
+    full = F.coalesce("text", F.lit(""))
+    # at most ``rows`` ids; of the texts of a repeated id, the one with the smallest hash
+    texts = (docs.select(F.col("doc_id").cast("long"), full.alias("text")).join(F.broadcast(chosen), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")))
 
     def features(batches):
         for batch in batches:
@@ -206,7 +208,7 @@ def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
 
     def run(batches):
         scores, bias = model.value
-        for batch in bounded(batches, kept.index(text)):
+        for batch in bounded(batches, kept.index(text), TEXT_AT_ONCE):
             if batch.num_rows:
                 p = score_batch(batch.column(batch.schema.get_field_index(text)), scores, bias)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],

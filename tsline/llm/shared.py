@@ -22,6 +22,16 @@ def require(df: DataFrame, *cols: str) -> None:
         raise ValueError(f"missing columns {missing}; the input has {df.columns}")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind those that ``df`` has already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def word_count(text):
     """Number of words of a string column; null counts as empty."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
@@ -39,12 +49,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column (null: empty) and each row's start, plus the end."""
+    """UTF-8 bytes of a string column, or those of a binary one (null: empty), and each row's start, plus the end."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64,
                             len(column) + 1, column.offset * 8)
     data = column.buffers()[2]
@@ -53,7 +63,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes of text that a Python worker handles at a time.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 
 
 def bounded(batches, column: int, limit: int = AT_ONCE):
