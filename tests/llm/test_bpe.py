@@ -114,6 +114,13 @@ def test_counts_and_cache(spark, hostile, documents, tmp_dir, name):
     assert stored == hostile.select("text").na.fill("").distinct().count()
     token_counts.count_tokens(hostile, P.path(name), tmp_dir).count()
     assert spark.read.parquet(tmp_dir).count() == stored
+    # counts come from the cache: what another run stored there is what is given
+    tag = token_counts.version(P.path(name))
+    other = f"{tmp_dir}-other"
+    texts = hostile.select("text").na.fill("").distinct()
+    texts.selectExpr("sha2(text, 256) AS content", "cast(7 AS long) AS n_tokens").write.parquet(f"{other}/version={tag}")
+    texts.selectExpr("sha2(text, 256) AS content", "cast(9 AS long) AS n_tokens").write.parquet(f"{other}/version=old")
+    assert {r["n_tokens"] for r in token_counts.count_tokens(hostile, P.path(name), other).collect()} == {7}
 
 
 def test_counts_query(spark, documents):

@@ -47,7 +47,7 @@ def test_quality_keeps_good_rows(spark, stages):
 
 def test_lines(stages):
     _, _, before, _, after = stages[1]
-    want = {d: text for d, _, _, text in cleaned([(r["doc_id"], r["text"], r["source"]) for r in before], 0.1, 5)}
+    want = {d: text for d, _, _, text in cleaned([(r["doc_id"], r["text"], r["source"]) for r in before], 0.01, 3)}
     assert {r["doc_id"]: r["text"] for r in after} == want
     assert all(r["n_chars"] == len(r["text"]) for r in after)
 

@@ -4,7 +4,10 @@ Documents arrive as a stream. A keyed state on disk, without expiry, holds per
 digest of the normalised text the stable identifier that stays (the largest
 ``doc_id``), a locator of its content (file and row) and the number of rows
 seen. The state lives in the stream's checkpoint, so a restart continues it.
-Hits, digests seen more than once, are then checked on their full bytes.
+Hits, digests seen more than once, are then checked on their full bytes: all rows
+of a hit are compared in bulk, by digest, since fetching single rows by locator
+would move the same texts once more. The locator leads other readers to the
+content that stays, without a search for it.
 
 Defined cases: texts are equal when identical after lower-casing A-Z only; null
 counts as empty, and all empty texts are one group; a null ``doc_id`` stays only
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from tsline.llm.shared import require, write_scratch
 from tsline.session import scratch_path
 
-#: Settings while a stream runs: state in RocksDB, without disk reserved ahead for each of many small stores.
+#: Settings of the stream's session: state in RocksDB, without disk reserved ahead for each of many small stores.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -39,33 +42,35 @@ def _digest(text, digits: int):
     return F.substring(F.sha2(text, 256), 1, digits)
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for the stream, with the settings of ``spark`` and those of the state.
+
+    Other queries of ``spark`` keep their settings while the stream runs.
+    """
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **_STATE}.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def run_state(stream: DataFrame, checkpoint: str, digits: int = 64) -> None:
     """Feed all that ``stream(doc_id, text, locator)`` has so far into the state, then stop.
 
     ``digits`` is the number of hexadecimal digits of the digest that are kept.
     Rows are combined before the shuffle, so a text that a third of all rows
-    share reaches the state as one row per task.
+    share reaches the state as one row per task. The state is kept as the
+    stream's session says, see :func:`state_session`.
     """
     require(stream, "doc_id", "text", "locator")
-    spark = stream.sparkSession
     keyed = stream.select(_digest(normalised(F.col("text")), digits).alias("digest"),
                           "doc_id", "locator")
     state = keyed.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.max_by("locator", F.coalesce("doc_id", F.lit(-(1 << 63)))),
         F.count(F.lit(1)).alias("n"))
-    before = {key: spark.conf.get(key, None) for key in _STATE}
-    for key, value in _STATE.items():
-        spark.conf.set(key, value)
-    try:
-        query = (state.writeStream.format("noop").outputMode("update")
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    query = (state.writeStream.format("noop").outputMode("update")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -131,5 +136,5 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None,
                 digits: int = 64) -> DataFrame:
     """Stream a Parquet table through the state and resolve every row of it."""
     checkpoint = checkpoint or scratch_path(spark, "dedup-stream")
-    run_state(document_stream(spark, path), checkpoint, digits)
+    run_state(document_stream(state_session(spark), path), checkpoint, digits)
     return resolve(spark.read.parquet(path), read_state(spark, checkpoint), digits)

@@ -10,7 +10,12 @@ a page counts once for it and is dropped at each place; null text stays null
 and empty text empty, both count as pages; null hosts form one host; a page may
 lose all its lines and is then kept with an empty text; repeated rows are pages
 of their own; a line exactly at the ratio stays; an empty table gives an empty
-result. ``n_lines`` and ``n_dropped`` replace input columns of these names.
+result. ``n_lines`` and ``n_dropped`` replace input columns of these names; all
+other columns are kept, whatever their names.
+
+The ratio is one page in a hundred, for lines on three pages or more: below it,
+lines begin to be dropped that only copies of one document hold; the README has
+the figures.
 """
 
 from __future__ import annotations
@@ -18,10 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import require, write_scratch
+from tsline.llm.shared import fresh, require, write_scratch
 
-RATIO = 0.1
-MIN_PAGES = 5
+RATIO = 0.01
+MIN_PAGES = 3
 _EDGE = " \t\r"
 
 
@@ -42,8 +47,8 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", rati
              .where("line <> ''").select("host", F.md5("line").alias("digest")))
     counts = (lines.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("pages"))
               .where(F.col("pages") >= min_pages))
-    totals = pages.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("total"))
-    return (counts.join(totals, F.col("host").eqNullSafe(F.col("_host")))
+    totals = pages.groupBy(F.col(host).alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    return (counts.join(totals, F.col("host").eqNullSafe(F.col("of")))
             .where(F.col("pages") / F.col("total") > ratio)
             .groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("digests")))
 
@@ -58,13 +63,13 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     require(pages, host, text)
     pages = pages.drop("n_lines", "n_dropped")
     found = write_scratch(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
-    found = found.select(F.col("host").alias("_host"), F.col("digests").alias("_digests"))
-    cut = F.split(F.col(text), "\n")
-    kept = F.when(F.col("_digests").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x: ~F.array_contains(F.col("_digests"), _digest(x))))
-    return (pages.join(found, pages[host].eqNullSafe(found["_host"]), "left")
-            .withColumn("_lines", cut).withColumn("_kept", kept)
-            .withColumn(text, F.array_join("_kept", "\n"))
-            .withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-            .withColumn("n_dropped", (F.col("n_lines") - F.coalesce(F.size("_kept"), F.lit(0))).cast("long"))
-            .drop("_host", "_digests", "_lines", "_kept"))
+    of, bad, lines, left = fresh(pages, "of", "bad", "lines", "left")
+    found = found.select(F.col("host").alias(of), F.col("digests").alias(bad))
+    kept = F.when(F.col(bad).isNull(), F.col(lines)).otherwise(
+        F.filter(lines, lambda x: ~F.array_contains(F.col(bad), _digest(x))))
+    return (pages.join(found, pages[host].eqNullSafe(found[of]), "left")
+            .withColumn(lines, F.split(F.col(text), "\n")).withColumn(left, kept)
+            .withColumn(text, F.array_join(left, "\n"))
+            .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
+            .withColumn("n_dropped", (F.col("n_lines") - F.coalesce(F.size(left), F.lit(0))).cast("long"))
+            .drop(of, bad, lines, left))

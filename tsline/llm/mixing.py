@@ -11,7 +11,7 @@ without words has target 0 and rate 0; an empty table gives an empty result;
 repeated rows are rows of their own and share their id's draw; ties do not
 arise, since sources are distinct; columns of the input named like an output
 column (``size``, ``source_size``, ``target``, ``rate``, ``copies``, ``copy``)
-are replaced.
+are replaced, all others are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import require, word_count, write_scratch
+from tsline.llm.shared import fresh, require, word_count, write_scratch
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -80,8 +80,9 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     docs = docs.drop(*own)
     sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
     targets = write_scratch(source_targets(sizes, weights, share, ceiling), "mix-targets")
-    right = targets.withColumnRenamed("source", "_source")
-    joined = docs.join(right, docs["source"].eqNullSafe(right["_source"])).drop("_source")
+    of, = fresh(docs, "of")
+    right = targets.withColumnRenamed("source", of)
+    joined = docs.join(right, docs["source"].eqNullSafe(right[of])).drop(of)
     whole = F.floor("rate")
     copies = whole + F.when(draw(F.col("doc_id"), seed) < F.col("rate") - whole, 1).otherwise(0)
     return (joined.withColumn("size", word_count(F.col("text")))

@@ -65,10 +65,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
 k AS (SELECT source, unnest(list_distinct(list_transform(ls, lambda x: trim(x, ' ' || chr(9) || chr(13))))) AS line FROM d),
-c AS (SELECT source, line, count(*) AS pages FROM k WHERE line <> '' GROUP BY source, line HAVING count(*) >= 5),
+c AS (SELECT source, line, count(*) AS pages FROM k WHERE line <> '' GROUP BY source, line HAVING count(*) >= 3),
 n AS (SELECT source, count(*) AS total FROM d GROUP BY source),
 b AS (SELECT c.source, list(c.line) AS bad FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source
-      WHERE CAST(pages AS DOUBLE) / total > 0.1 GROUP BY c.source),
+      WHERE CAST(pages AS DOUBLE) / total > 0.01 GROUP BY c.source),
 j AS (SELECT d.*, CASE WHEN b.bad IS NULL THEN ls ELSE
              list_filter(ls, lambda x: NOT list_contains(b.bad, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
       FROM d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source)
@@ -128,8 +128,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"),
-                                        scratch_path(spark, "token-cache"))
+    cache, tokenizer = scratch_path(spark, "token-cache"), public_tokenizers.path("byte_bpe_50k.json")
+    token_counts.count_tokens(docs, tokenizer, cache)  # all counts are stored here ...
+    counted = token_counts.count_tokens(docs, tokenizer, cache)  # ... and come from the cache here
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

@@ -2,7 +2,9 @@
 
 Texts are keyed by the digest of their content and the digest of the tokenizer
 file. Counts already stored are joined; only distinct texts without one are
-encoded, and their counts are appended to the cache, a Parquet folder.
+encoded, and their counts are appended to the cache, a Parquet folder with a
+subfolder for each tokenizer, of which only the one in use is read. Missing counts
+are made and stored when ``count_tokens`` is called, not when its result is read.
 
 Defined cases: null counts as empty (0 bytes; the count the tokenizer gives the
 empty text); normalising is only that, since any other change could alter the
@@ -25,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsline.llm.bpe import PieceEncoder, safe_cuts
-from tsline.llm.shared import bounded, require, slices, text_buffer, write_scratch
+from tsline.llm.shared import bounded, fresh, require, slices, text_buffer, write_scratch
 
 LIMIT = 1024
-CACHE_SCHEMA = "content string, version string, n_tokens long"
+CACHE_SCHEMA = "content string, n_tokens long"
 
 
 def version(tokenizer_file: str) -> str:
@@ -84,12 +86,16 @@ def _counter(kind: str, blob: bytes):
 
 def read_cache(spark: SparkSession, cache: str, tag: str) -> DataFrame:
     """``(content, n_tokens)`` stored for one tokenizer; empty where nothing was stored yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    own = _folder(cache, tag)
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
     there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    stored = (spark.read.schema(CACHE_SCHEMA).parquet(cache) if there
+    stored = (spark.read.schema(CACHE_SCHEMA).parquet(own) if there
               else spark.createDataFrame([], CACHE_SCHEMA))
-    return (stored.where(F.col("version") == tag)
-            .groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
+    return stored.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+
+
+def _folder(cache: str, tag: str) -> str:
+    return f"{cache.rstrip('/')}/version={tag}"
 
 
 def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, text: str = "text",
@@ -106,8 +112,9 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, text: str = "
     with open(tokenizer_file, "rb") as f:
         blob = spark.sparkContext.broadcast(f.read())
     full = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumn("_content", F.sha2(full, 256))
-    texts = keyed.select(F.col("_content").alias("content"), full.alias("text"))
+    own, = fresh(docs, "content")
+    keyed = docs.withColumn(own, F.sha2(full, 256))
+    texts = keyed.select(F.col(own).alias("content"), full.alias("text"))
     missing = write_scratch(texts.select("content").distinct().join(
         read_cache(spark, cache, tag), "content", "left_anti"), "missing-counts")
     todo = texts.join(missing, "content", "left_semi").dropDuplicates(["content"])
@@ -117,12 +124,11 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, text: str = "
         for batch in bounded(batches, 1):
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([tag] * batch.num_rows, pa.string()),
-                     pa.array(count(batch.column(1)), pa.int64())],
-                    names=["content", "version", "n_tokens"])
+                    [batch.column(0), pa.array(count(batch.column(1)), pa.int64())], names=["content", "n_tokens"])
 
-    todo.mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, tag).withColumnRenamed("content", "_content")
+    todo.mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(_folder(cache, tag))
+    # written, so that the rows of a hot text can be split over the tasks of the join
+    counts = write_scratch(read_cache(spark, cache, tag), "token-counts").withColumnRenamed("content", own)
     return (keyed.drop("n_tokens").withColumn("n_bytes", F.octet_length(full).cast("long")).drop(text)
-            .join(counts, "_content").drop("_content")
+            .join(counts, own).drop(own)
             .withColumn("over_limit", F.col("n_tokens") > limit))
