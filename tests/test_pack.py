@@ -51,6 +51,45 @@ def test_pack_by_interval_matches_brute_force(spark):
     assert have == _brute(rows, 40, bucket=10)
 
 
+def test_packing_with_many_cuts(spark):
+    """Partitions and file splits that cut payloads and keys anywhere, no keys, odd keys, extra columns."""
+    rows, df = _fixture(spark, n=4000, seed=5)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        for split, parts, size in (("4k", 3, 61), ("128m", 40, 500), ("1m", 17, 1), ("4k", 9, 100_000)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = pack_by_count(df, size, keys=["key"], num_partitions=parts).collect()
+            have = {(r["key"], None, r["batch_id"]): (r["n_lines"], hashlib.md5(r["body"].encode()).hexdigest())
+                    for r in got}
+            assert len(have) == len(got) and have == _brute(rows, size)
+            assert all(r["n_bytes"] == len(r["body"].encode()) for r in got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", keep[1])
+    single = [(None, t, line) for _, t, line in rows]
+    got = pack_by_count(df, 333, num_partitions=5).collect()
+    assert {(None, None, r["batch_id"]): (r["n_lines"], hashlib.md5(r["body"].encode()).hexdigest())
+            for r in got} == _brute(single, 333)
+    odd = df.selectExpr("time_ns", "line", "CASE time_ns % 4 WHEN 0 THEN double('NaN') WHEN 1 THEN NULL WHEN 2 THEN 0.5D "
+                        "ELSE -1D END AS x", "key = 'hot' AS body")
+    got = pack_by_count(odd, 50, keys=["x"], num_partitions=6).collect()
+    kind = {0: "nan", 1: "None", 2: "0.5", 3: "-1.0"}
+    assert {(str(r["x"]), None, r["batch_id"]): (r["n_lines"], hashlib.md5(r["body"].encode()).hexdigest())
+            for r in got} == _brute([(kind[t % 4], t, line) for _, t, line in rows], 50)
+    assert pack_by_count(df.where("false"), 5, keys=["key"]).collect() == []
+
+
+def test_lines_move_once(spark):
+    """Bodies pass one exchange, the range partitioning; after it only pieces of payloads do."""
+    _, df = _fixture(spark)
+    packed = pack_by_count(df, 40, keys=["key"], num_partitions=6)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    moved = packed.select("key", "batch_id").groupBy("key", "batch_id").count()
+    assert moved.where("count > 1").isEmpty()
+
+
 def test_rank_without_broadcast_and_without_keys(spark):
     rows, df = _fixture(spark, n=500, seed=3)
     ranked = rank_within(df, ["key"], ["time_ns", "line"], num_partitions=4)

@@ -170,7 +170,11 @@ def decode_columns(lines: DataFrame, tags: Sequence[str], fields: Mapping[str, T
                       & (F.size(F.array_distinct("_tk")) == F.size("_tk"))
                       & (F.size(F.array_distinct("_fk")) == F.size("_fk"))
                       & (~c("_has_t") | c("_t").isNotNull()), F.lit(False))
-    df = df.withColumn("_good", good) if keep_corrupt else df.where(good)
+    # a filter on the extracted keys would be pushed below their projection and every pattern run twice;
+    # it stays above a projection that numbers rows
+    df = df.select("*", good.alias("_good"), F.monotonically_increasing_id().alias("_row"))
+    if not keep_corrupt:
+        df = df.where(c("_good") & (c("_row") >= 0))
     plain_head = F.instr("_head", "\\") == 0
     meas = F.regexp_extract("_head", MEAS, 1)
     whole = (lambda x: F.when(c("_good"), x)) if keep_corrupt else (lambda x: x)
