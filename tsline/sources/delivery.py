@@ -81,7 +81,9 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str | None =
     contiguous, ordered run of a series, and a hot series is split over several
     tasks instead of landing in one.  Options use the sink's names with ``_``
     for ``-`` (batch_size=..., max_retries=...); ``sink`` names an option set
-    of the session.
+    of the session. With ``ledger``, a shared folder, a retried task sends only
+    payloads that the transport has not acknowledged, and with ``ledger_name`` so
+    does the same job run again.
 
     Returns the rows and UTF-8 bytes handed to the sink, observed while the
     write runs (no second pass over the data).
@@ -94,11 +96,14 @@ def send_lines(lines: DataFrame, path: str | None = None, database: str | None =
         order = [F.col(c) for c in by]
         ranged = (rows.repartitionByRange(parallelism, *order) if parallelism
                   else rows.repartitionByRange(*order))        # adaptive execution sizes it
-        rows = ranged.sortWithinPartitions(*order)
+        rows = ranged.sortWithinPartitions(*order, "line")
     out, opts, wanted = prepare(rows, sink, **{k: v for k, v in (("path", path), ("database", database))
                                                if v is not None}, **options)
     if not by and (parallelism or wanted):
         out = out.repartition(parallelism or wanted)
+    if opts.get("ledger") and not by:
+        # a retry cuts the same payloads only from the same order
+        out = out.sortWithinPartitions(*out.columns)
     seen = Observation("tsline_send")
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"),
                       F.coalesce(F.sum(F.octet_length("line")), F.lit(0)).alias("bytes"))

@@ -10,7 +10,8 @@ columns).  Raw rows inserted from SQL with role options (``measurement``,
   the last partial payload at the end of the partition (B16),
 * sends each payload through a transport with retries, exponential backoff
   and a per-attempt timeout (B9, B10), optionally adapting the batch size (B11),
-* writes one WRITE_LOG row per payload to a JSON-lines file of its attempt (B15).
+* writes one WRITE_LOG row per payload to a JSON-lines file of its attempt (B15),
+* with a ledger, passes over payloads that an earlier attempt delivered (``ledger``).
 
 The directory transport appends payloads to one open file per task and
 destination, under ``_staging``; the driver publishes the files of the
@@ -39,6 +40,8 @@ import pyarrow.compute as pc
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter,
                                     DataSourceStreamArrowWriter, WriterCommitMessage)
 
+from tsline.sources.ledger import Ledger, check_folder, digest, finished_epochs, forget
+
 NAME = "lineproto"
 
 # Option defaults.
@@ -66,7 +69,7 @@ ADAPT_MAX_FACTOR = 4
 KNOWN_OPTIONS = frozenset(DEFAULTS) | {
     "database", "retention-policy", "measurement", "path", "write-log", "tag-fields", "field-fields",
     "timestamp-field", "source-precision", "op-field", "on-empty", "escape", "sink.parallelism",
-    "checkpointlocation"}
+    "checkpointlocation", "ledger", "ledger-name"}
 RAW_OPTIONS = ("tag-fields", "field-fields", "timestamp-field", "source-precision", "op-field",
                "on-empty", "escape")
 
@@ -92,6 +95,8 @@ class SinkOptions:
     adaptive: bool
     transport: str
     write_log: str | None
+    ledger: str | None = None
+    ledger_name: str | None = None
     raw: dict = field(default_factory=dict)
 
     @property
@@ -131,6 +136,16 @@ def parse_options(options) -> SinkOptions:
     path = opts.get("path")
     if transport == "directory" and not path:
         raise ValueError("option 'path' is required for the directory transport")
+    adaptive = str(opts.get("adaptive-batch", "false")).strip().lower() == "true"
+    ledger, ledger_name = opts.get("ledger") or None, opts.get("ledger-name") or None
+    if ledger:
+        check_folder(ledger)
+        if transport == "directory":
+            raise ValueError("the directory transport publishes at commit and needs no 'ledger'")
+        if adaptive:
+            raise ValueError("'ledger' needs payloads of a fixed size: not with 'adaptive-batch'")
+    if ledger_name and (not ledger or "/" in ledger_name):
+        raise ValueError("option 'ledger-name' goes with 'ledger' and holds no '/'")
     timeout = float(opts.get("request-timeout", DEFAULTS["request-timeout"]))
     if timeout <= 0:
         raise ValueError("option 'request-timeout' must be positive")
@@ -140,8 +155,8 @@ def parse_options(options) -> SinkOptions:
         max_retries=_int(opts, "max-retries", 0), timeout_s=timeout,
         retry_base_ms=_int(opts, "retry-base-ms", 0), retry_max_ms=_int(opts, "retry-max-ms", 0),
         flush_interval_ms=_int(opts, "flush-interval", 0),
-        adaptive=str(opts.get("adaptive-batch", "false")).strip().lower() == "true",
-        transport=transport, write_log=opts.get("write-log") or None, raw=opts)
+        adaptive=adaptive, transport=transport, write_log=opts.get("write-log") or None,
+        ledger=ledger, ledger_name=ledger_name, raw=opts)
 
 
 def backoff_ms(retry: int, base_ms: int = 1000, cap_ms: int = 10000) -> int:
@@ -198,10 +213,10 @@ class DirectoryTransport:
         self.fs, root = open_folder(path)
         self.root = root.rstrip("/")
         self.task = task
-        self.staging = f"{self.root}/_staging/{task}-a{attempt}"
+        self.staging = f"{self.root}/_staging/{marker or 'alone'}/{task}-a{attempt}"
         self.files: dict[tuple, tuple] = {}
         self.broken: BaseException | None = None
-        if marker and self.fs.get_file_info(f"{self.root}/_staging/{marker}").type.name == "NotFound":
+        if marker and self.fs.get_file_info(f"{self.root}/_staging/{marker}/shared").type.name == "NotFound":
             raise RuntimeError(f"{path!r} is not the folder the driver sees: it must be shared by all "
                                "executors")
 
@@ -235,11 +250,11 @@ class DirectoryTransport:
 
 
 def _marker(opts: SinkOptions) -> str | None:
-    """A file the driver leaves in the folder, for executors to look for."""
+    """A staging folder of this writer's own, with a file for executors to look for."""
     if opts.transport != "directory":
         return None
-    name = f"marker-{uuid.uuid4().hex}"
-    write_file(opts.path, f"_staging/{name}", b"")
+    name = f"writer-{uuid.uuid4().hex}"
+    write_file(opts.path, f"_staging/{name}/shared", b"")
     return name
 
 
@@ -255,18 +270,18 @@ def _publish(opts: SinkOptions, messages) -> None:
         list(pool.map(lambda move: fs.move(*move), moves))
 
 
-def _clear(opts: SinkOptions, prefix: str, marker: str | None) -> None:
-    """Remove what this job staged: failed attempts, empty folders, the marker."""
-    if opts.transport != "directory":
+def _clear(opts: SinkOptions, marker: str | None, keep: bool = False) -> None:
+    """Remove what this writer staged: failed attempts, empty folders and, unless it goes on, its folder."""
+    if opts.transport != "directory" or marker is None:
         return
     from pyarrow import fs as pafs
     fs, root = open_folder(opts.path)
-    staging = f"{root.rstrip('/')}/_staging"
-    for info in fs.get_file_info(pafs.FileSelector(staging, allow_not_found=True)):
-        if info.base_name.startswith(prefix + "-p"):
+    folder = f"{root.rstrip('/')}/_staging/{marker}"
+    for info in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        if info.type == pafs.FileType.Directory:
             fs.delete_dir(info.path)
-        elif marker and info.base_name == marker:
-            fs.delete_file(info.path)
+    if not keep and fs.get_file_info(folder).type == pafs.FileType.Directory:
+        fs.delete_dir(folder)
 
 
 def load_transport(opts: SinkOptions, task: str = "task", attempt: str = "0",
@@ -316,6 +331,8 @@ class Totals(WriterCommitMessage):
     bytes: int
     attempts: int
     failed_attempts: int
+    acknowledged: int = 0                          # payloads passed over: delivered before
+    sent_again: int = 0                            # payloads that differ from what the ledger lists
     files: list = field(default_factory=list)      # (staged, final) of this attempt
     log: str | None = None                         # write-log file of this attempt
     prefix: str = ""
@@ -333,6 +350,7 @@ class PayloadSender:
         self.prefix = name_prefix
         self.partition = partition
         self.size = opts.batch_size
+        self.ledger = Ledger(opts.ledger, name_prefix, self.task, attempt) if opts.ledger else None
         self.buffers: dict[tuple, list[pa.Array]] = {}
         self.buffered: dict[tuple, int] = {}
         self.seq = 0
@@ -355,6 +373,8 @@ class PayloadSender:
             while self.buffered.get(dest, 0) > 0:
                 self._flush(dest, min(self.size, self.buffered[dest]))
         self.pool.shutdown(wait=False, cancel_futures=True)
+        if self.ledger:
+            self.ledger.close()
         if hasattr(self.transport, "finish"):
             self.totals.files = self.transport.finish()
         self.totals.log = self.flush_log()
@@ -373,7 +393,14 @@ class PayloadSender:
         lines = self._take(dest, n)
         body = join_body(lines)
         name = f"{self.task}-s{self.seq:06d}"
-        self.seq += 1
+        seq, self.seq = self.seq, self.seq + 1
+        content = digest(dest, body) if self.ledger else ""
+        if self.ledger and self.ledger.holds(seq, content):
+            self.totals.acknowledged += 1
+            self._count(lines, body)
+            return
+        if self.ledger and self.ledger.differs(seq, content):
+            self.totals.sent_again += 1
         started = time.time()
         attempts, error = self._send(dest, body, name)
         latency_ms = int((time.time() - started) * 1000)
@@ -388,11 +415,16 @@ class PayloadSender:
         if not ok:
             self.flush_log()
             raise RuntimeError(f"payload {name} failed after {attempts} attempts: {error!r}")
+        if self.ledger:
+            self.ledger.add(seq, content)
+        self._count(lines, body)
+        # only a flush that failed after all retries counts as an error, and that one raised
+        self._adapt(latency_ms, False)
+
+    def _count(self, lines: pa.Array, body: bytes) -> None:
         self.totals.payloads += 1
         self.totals.lines += len(lines)
         self.totals.bytes += len(body)
-        # only a flush that failed after all retries counts as an error, and that one raised
-        self._adapt(latency_ms, False)
 
     def _send(self, dest: tuple, body: bytes, name: str):
         error = None
@@ -511,20 +543,25 @@ class LineWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.opts = _writer_options(options, overwrite)
         self.job = uuid.uuid4().hex[:12]       # fixed on the driver: task retries reuse it
+        self.name = f"named-{self.opts.ledger_name}" if self.opts.ledger_name else f"job-{self.job}"
         self.now_ns = time.time_ns() // 1000 * 1000   # 'now' of this job, for rows without time
         self.marker = _marker(self.opts)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Totals:
-        return _send_batches(self.opts, f"job-{self.job}", iterator, self.now_ns, self.marker)
+        return _send_batches(self.opts, self.name, iterator, self.now_ns, self.marker)
+
+    def _end(self, messages, state: str) -> None:
+        _write_summary(self.opts, self.name, messages, state)
+        _clear(self.opts, self.marker)
+        if self.opts.ledger and not self.opts.ledger_name:
+            forget(self.opts.ledger, [self.name])      # no other job has this name
 
     def commit(self, messages) -> None:
         _publish(self.opts, messages)
-        _write_summary(self.opts, f"job-{self.job}", messages, "committed")
-        _clear(self.opts, f"job-{self.job}", self.marker)
+        self._end(messages, "committed")
 
     def abort(self, messages) -> None:
-        _write_summary(self.opts, f"job-{self.job}", messages, "aborted")
-        _clear(self.opts, f"job-{self.job}", self.marker)
+        self._end(messages, "aborted")
 
 
 class LineStreamWriter(DataSourceStreamArrowWriter):
@@ -554,12 +591,15 @@ class LineStreamWriter(DataSourceStreamArrowWriter):
         _publish(self.opts, messages)
         name = self._name(messages, batchId)
         _write_summary(self.opts, name, messages, "committed")
-        _clear(self.opts, name, None)
+        _clear(self.opts, self.marker, keep=True)
+        if self.opts.ledger:
+            # this micro-batch's ledger stays: it may still be replayed until the next one begins
+            query = name.rpartition("-b")[0]
+            forget(self.opts.ledger, finished_epochs(self.opts.ledger, query, batchId))
 
     def abort(self, messages, batchId: int) -> None:
-        name = self._name(messages, batchId)
-        _write_summary(self.opts, name, messages, "aborted")
-        _clear(self.opts, name, None)
+        _write_summary(self.opts, self._name(messages, batchId), messages, "aborted")
+        _clear(self.opts, self.marker)
 
 
 def _write_summary(opts: SinkOptions, prefix: str, messages, state: str) -> None:
@@ -570,6 +610,8 @@ def _write_summary(opts: SinkOptions, prefix: str, messages, state: str) -> None
                "payloads": sum(m.payloads for m in done), "lines": sum(m.lines for m in done),
                "bytes": sum(m.bytes for m in done), "attempts": sum(m.attempts for m in done),
                "failed_attempts": sum(m.failed_attempts for m in done),
+               "acknowledged": sum(m.acknowledged for m in done),
+               "sent_again": sum(m.sent_again for m in done),
                "logs": sorted(m.log for m in done if m.log)}
     write_file(opts.write_log, f"_summary/{prefix}.json", json.dumps(summary).encode())
 

@@ -35,6 +35,60 @@ def q_stream_sink_shared(spark, sf_dir):
     return read_payload_lines(spark, out).select("line", "database")
 
 
+_FLAKY = {"transport": "tsline.suite.flaky:transport", "batch_size": 100, "max_retries": 3, "retry_base_ms": 1,
+          "retry_max_ms": 4, "request_timeout": 0.4}
+
+
+@query("sink_flaky", f"SELECT {S.EVENTS_LINE} AS line, '{DATABASE}' AS database FROM events")
+def q_sink_flaky(spark, sf_dir):
+    """Every task dies after two payloads; run again, the job sends what was not acknowledged: each line once.
+
+    First attempts fail and slow ones run into the timeout on the way (B9, B10).
+    """
+    out, ledger = scratch_path(spark, "flaky"), scratch_path(spark, "ledger")
+    lines = events_lines(spark, sf_dir).repartition(4)
+    options = {**_FLAKY, "ledger": ledger, "ledger_name": "events", "transport.fail_first": "true"}
+    try:
+        send_lines(lines, out, DATABASE, **options, **{"transport.die_after": 2})
+    except Exception as error:  # noqa: BLE001 - the injected failure, whatever Spark wraps it in
+        if "the connection is gone" not in str(error):
+            raise
+    send_lines(lines, out, DATABASE, **options, **{"transport.slow_s": 1.0})
+    return read_payload_lines(spark, out).select("line", "database")
+
+
+@query("stream_flaky", f"SELECT {S.EVENTS_LINE} AS line, '{DATABASE}' AS database FROM events")
+def q_stream_flaky(spark, sf_dir):
+    """A micro-batch that fails half way is replayed after a restart: lines already delivered are not sent again."""
+    out, ledger, checkpoint = (scratch_path(spark, x) for x in ("flaky", "ledger", "stream-ck"))
+    schema = table(spark, sf_dir, "events").schema
+    for die_after in (3, -1):
+        events = ST.read_stream(spark, sf_dir, schema, glob="events.parquet")
+        lines = ST.stream_lines(events, "events", tags=EVENTS_TAGS, time="ts")
+        try:
+            ST.start_sink(lines, checkpoint, path=out, database=DATABASE, ledger=ledger, **_FLAKY,
+                          **{"transport.die_after": die_after}).awaitTermination()
+        except Exception as error:  # noqa: BLE001 - the injected failure, whatever Spark wraps it in
+            if die_after < 0 or "the connection is gone" not in str(error):
+                raise
+    return read_payload_lines(spark, out).select("line", "database")
+
+
+@query("sink_adaptive", """WITH RECURSIVE w(size, start) AS (SELECT 5, 0 UNION ALL
+    SELECT least(CAST(floor(size * 1.2) AS INTEGER), 20), start + 10 * size FROM w
+    WHERE start + 10 * size < (SELECT count(*) FROM events)),
+p AS (SELECT size, start + size * i AS pos FROM w, range(10) r(i))
+SELECT CAST(least(size, n - pos) AS BIGINT) AS n_lines, CAST(count(*) AS BIGINT) AS n_payloads
+FROM p, (SELECT count(*) AS n FROM events) WHERE pos < n GROUP BY 1""")
+def q_sink_adaptive(spark, sf_dir):
+    """Payloads of one connection grow by a fifth after every ten fast ones, up to four times."""
+    out, log = scratch_path(spark, "adaptive"), scratch_path(spark, "write-log")
+    # one task is one connection, whose payloads follow each other
+    lines = events_lines(spark, sf_dir).coalesce(1)
+    send_lines(lines, out, DATABASE, batch_size=5, adaptive_batch="true", write_log=log)
+    return read_write_log(spark, log).groupBy("n_lines").agg(F.count(F.lit(1)).alias("n_payloads"))
+
+
 _RAW = {
     "event_type": "CASE WHEN event_id % 5 = 0 OR event_id % 7 = 1 THEN NULL ELSE event_type END",
     "user_id": "CASE WHEN event_id % 5 = 0 OR event_id % 7 = 2 THEN NULL ELSE user_id END",
