@@ -9,7 +9,9 @@ from tsline.operators import explore as X
 from tsline.operators.changelog import upsert_latest
 from tsline.operators.encode import encode_lines
 from tsline.operators.windows import tumble_agg, tumble_lines
+from tsline.session import scratch_path
 from tsline.sources.lines import read_back, scan_points, write_lines
+from tsline.sources.store import LineStore
 from tsline.suite import sqlbits as S
 from tsline.suite.registry import query, table
 
@@ -101,6 +103,66 @@ def q_latest_n_tag(spark, sf_dir):
                       "time_ns", "series")
 
 
+_FROM_NS = CUTOFF_NS - 5 * 86_400_000_000_000
+_KEPT = f"NOT (epoch_us(ts) * 1000 > {_FROM_NS} AND epoch_us(ts) * 1000 < {CUTOFF_NS})"
+
+
+def _stored(spark, sf_dir, deleted=False):
+    """The store's lines in a ``LineStore``, appended in two parts, with a time range deleted."""
+    store = LineStore(spark, scratch_path(spark, "line-store"))
+    lines = store_lines(spark, sf_dir)
+    for part in (0, 1):
+        store.append(lines.where(F.pmod(F.xxhash64("line"), F.lit(2)) == part))
+    if deleted:
+        store.delete(after_ns=_FROM_NS, before_ns=CUTOFF_NS)
+    return store
+
+
+@query("store_filter_tag", f"SELECT {_POINT_ROW} FROM events WHERE user_id = 7")
+def q_store_filter_tag(spark, sf_dir):
+    """Only files that hold the tag pair are read."""
+    return _point_row(_stored(spark, sf_dir).points(tag=("user_id", "7")))
+
+
+@query("store_latest_n_tag", f"""SELECT {_POINT_ROW}, {_STORE_SERIES} AS series FROM events
+WHERE user_id = 7 ORDER BY time_ns DESC, series LIMIT 5""")
+def q_store_latest_n_tag(spark, sf_dir):
+    top = X.latest_n(_stored(spark, sf_dir).points(tag=("user_id", "7")), 5)
+    return top.select("measurement", F.col("tags")["user_id"].alias("user_id"),
+                      F.col("fields")["event_id"]["text"].cast("bigint").alias("event_id"),
+                      "time_ns", "series")
+
+
+@query("store_range", f"""SELECT {_POINT_ROW} FROM events WHERE event_type = 'click'
+AND epoch_us(ts) * 1000 > {_FROM_NS} AND epoch_us(ts) * 1000 < {CUTOFF_NS}""")
+def q_store_range(spark, sf_dir):
+    """Only files of the measurement and the time range are read."""
+    return _point_row(_stored(spark, sf_dir).points("click", after_ns=_FROM_NS, before_ns=CUTOFF_NS))
+
+
+@query("store_delete", f"""SELECT event_type AS measurement, count(*) AS n_points, max(epoch_us(ts)) * 1000 AS last_ns
+FROM events WHERE {_KEPT} GROUP BY 1""")
+def q_store_delete(spark, sf_dir):
+    """A time range deleted by rewriting only the files that it cuts."""
+    points = _stored(spark, sf_dir, deleted=True).points()
+    return points.groupBy("measurement").agg(F.count(F.lit(1)).alias("n_points"), F.max("time_ns").alias("last_ns"))
+
+
+@query("store_keys", f"""SELECT DISTINCT measurement, kind, key, type FROM (
+    SELECT event_type AS measurement, 'tag' AS kind, 'user_id' AS key, 's' AS type FROM events WHERE {_KEPT}
+    UNION ALL SELECT event_type, 'field', 'value', 'f' FROM events WHERE {_KEPT}
+    UNION ALL SELECT event_type, 'field', 'note', 's' FROM events WHERE event_id % 3 <> 0 AND {_KEPT}
+    UNION ALL SELECT event_type, 'field', 'event_id', 'i' FROM events WHERE {_KEPT})""")
+def q_store_keys(spark, sf_dir):
+    """The key catalog after two appends and a delete."""
+    return _stored(spark, sf_dir, deleted=True).keys()
+
+
+@query("store_counts", f"SELECT event_type AS measurement, count(*) AS n_points FROM events WHERE {_KEPT} GROUP BY 1")
+def q_store_counts(spark, sf_dir):
+    return _stored(spark, sf_dir, deleted=True).count_points()
+
+
 @query("limit_n", "SELECT count(*) AS n_rows FROM (SELECT * FROM events LIMIT 5)")
 def q_limit_n(spark, sf_dir):
     return store_points(spark, sf_dir).limit(5).agg(F.count(F.lit(1)).alias("n_rows"))
