@@ -83,7 +83,7 @@ def test_stream_upsert_keeps_last_write(spark):
     stream = stream.withColumn("seq", F.col("temperature").cast("long"))
     updates = ST.stream_upsert(stream, ["location"], "ts", "seq", ["temperature"],
                                watermark="1 hour", round_to="1 hour")
-    ST.start_upsert_log(updates, out, ck).awaitTermination()
+    ST.start_upsert_log(updates, out, ck, ["location"], ["temperature"]).awaitTermination()
     view = ST.collapse_upserts(spark, out, ["location"], ["temperature"]).orderBy("time_ns").collect()
     assert [(r["temperature"], r["seq"]) for r in view] == [(3.0, 3), (4.0, 4)]
 

@@ -21,24 +21,28 @@ def changelog_filter(df: DataFrame, op_col: str = "op") -> DataFrame:
     return df.where(F.col(op_col).isin(*KEPT_KINDS))
 
 
-def upsert_latest(df: DataFrame, key: Sequence[str], seq: str | Column,
-                  values: Sequence[str]) -> DataFrame:
+def upsert_latest(df: DataFrame, key: Sequence[str], seq: str | Column, values: Sequence[str],
+                  ties: Sequence[str] = (), total: bool = False) -> DataFrame:
     """Collapse rows with the same point key, the row with the highest ``seq`` wins.
 
-    Uses ``max_by`` in a grouped aggregate rather than ``row_number`` over a
-    window: the aggregate is combined map-side, so a key with millions of
-    copies (replays) is reduced before the shuffle and never lands in one task.
+    Of equal ``seq``, the highest ``ties`` columns (kept in the result) and then the
+    greatest values win.  A single value without ``ties`` is the exception unless
+    ``total`` is set: any of the tied rows may win, for a hash aggregate.
+
+    A grouped aggregate rather than ``row_number`` over a window: it is combined
+    map-side, so a key with millions of copies (replays) is reduced before the
+    shuffle and never lands in one task.
     """
     seq_col = F.col(seq) if isinstance(seq, str) else seq
     keys = [F.col(f"`{k}`") for k in key]
-    if len(values) == 1:
+    if len(values) == 1 and not ties and not total:
         # one fixed-width buffer per group: planned as a hash aggregate
         v = values[0]
         return (df.groupBy(*keys).agg(F.max_by(F.col(f"`{v}`"), seq_col).alias(v),
                                       F.max(seq_col).alias("seq")))
-    # several values: one struct, so all come from the same row even when seq ties
-    packed = F.struct(*[F.col(f"`{v}`").alias(v) for v in values])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, seq_col).alias("_last"),
-                                F.max(seq_col).alias("_seq"))
-    return agg.select(*keys, *[F.col("_last")[v].alias(v) for v in values],
-                      F.col("_seq").alias("seq"))
+    # one struct, so that all columns come from the same row
+    row = F.struct(seq_col.alias("s"), F.struct(*[F.col(f"`{c}`").alias(c) for c in ties] or [F.lit(0).alias("n")]).alias("t"),
+                   F.struct(*[F.col(f"`{v}`").alias(v) for v in values]).alias("v"))
+    agg = df.groupBy(*keys).agg(F.max(row).alias("_last"))
+    return agg.select(*keys, *[F.col("_last.v")[v].alias(v) for v in values], F.col("_last.s").alias("seq"),
+                      *[F.col("_last.t")[c].alias(c) for c in ties])

@@ -29,6 +29,7 @@ from tsline.functions.fmt import STRING
 from tsline.functions.timeunit import floor_div
 from tsline.operators.decode import HEAD, decode_lines
 from tsline.operators.explore import TYPE_NAMES, delete_by_time, filter_tag
+from tsline.sources.manifest import Manifest
 
 DAY_NS = 86_400_000_000_000
 DATA = ("line string, measurement string, time_ns bigint, series string, tags map<string,string>, "
@@ -40,35 +41,8 @@ MANIFEST = ("file string, measurement string, n_points bigint, n_without_time bi
 class LineStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-
-    # -- the manifest ------------------------------------------------------
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [n for n in names if n.startswith("v") and fs.exists(
-            jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
-
-    def manifest(self, version: int | None = None) -> DataFrame:
-        """One row for each live file."""
-        if version is None:
-            known = self.versions()
-            version = known[-1] if known else 0
-        if version == 0:
-            return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/v{version:08d}")
-
-    def _commit(self, files: DataFrame) -> int:
-        known = self.versions()
-        version = (known[-1] if known else 0) + 1
-        files.select(*[c.split()[0] for c in MANIFEST.split(", ")]).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.path}/manifest/v{version:08d}")
-        return version
+        self._live = Manifest(spark, path, MANIFEST)
+        self.versions, self.manifest, self._commit = self._live.versions, self._live.read, self._live.commit
 
     # -- writing -----------------------------------------------------------
     def append(self, lines: DataFrame, line_col: str = "line") -> int:

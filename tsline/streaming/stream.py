@@ -19,6 +19,7 @@ from tsline.operators.encode import encode_lines
 from tsline.operators.windows import duration_ns
 from tsline.sources.delivery import prepare, register
 from tsline.sources.sink import NAME, parse_options
+from tsline.streaming.upserts import UpsertLog
 
 
 def event_time(df: DataFrame, col: str) -> DataFrame:
@@ -106,7 +107,7 @@ def stream_upsert(stream: DataFrame, key: Sequence[str], time: str, seq: str,
                   values: Sequence[str], watermark: str, round_to: str | None = None) -> DataFrame:
     """Streaming last-write-wins per (key, time) (J6), for update output mode.
 
-    A grouped streaming aggregate with ``max_by``: Spark combines it map-side
+    A grouped streaming aggregate: Spark combines it map-side
     inside each micro-batch, so many copies of one point are reduced before
     the shuffle; the state keeps one row per point key until the watermark
     passes its time.  Emitted rows are appended to a log; ``collapse_upserts``
@@ -121,25 +122,19 @@ def stream_upsert(stream: DataFrame, key: Sequence[str], time: str, seq: str,
     df = df.withColumn("_t", t)
     grouped = df.withWatermark("_t", watermark).groupBy(*[F.col(k) for k in key], F.col("_t"))
     time_ns = (F.unix_micros("_t") * 1000).alias("time_ns")
-    if len(values) == 1:
-        v = values[0]
-        return (grouped.agg(F.max_by(F.col(v), F.col(seq)).alias(v), F.max(seq).alias("seq"))
-                       .select(*key, time_ns, v, "seq"))
-    packed = F.struct(*[F.col(v).alias(v) for v in values])
-    return (grouped.agg(F.max_by(packed, F.col(seq)).alias("_last"), F.max(seq).alias("seq"))
-                   .select(*key, time_ns, *[F.col("_last")[v].alias(v) for v in values], "seq"))
-
-
-def start_upsert_log(updates: DataFrame, path: str, checkpoint: str,
-                     trigger: str | None = None) -> StreamingQuery:
-    """Append each micro-batch's updated rows, tagged with the batch id, to ``path``.
-
-    Writing by batch id makes a replayed batch replace its own output.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    writer = (updates.writeStream.outputMode("update").foreachBatch(write)
+    # seq first, then the values: ties have one outcome whatever order rows come in
+    row = F.struct(F.col(seq).alias("seq"), F.struct(*[F.col(v).alias(v) for v in values]).alias("v"))
+    return (grouped.agg(F.max(row).alias("_last"))
+                   .select(*key, time_ns, *[F.col("_last.v")[v].alias(v) for v in values],
+                           F.col("_last.seq").alias("seq")))
+
+
+def start_upsert_log(updates: DataFrame, path: str, checkpoint: str, key: Sequence[str], values: Sequence[str],
+                     trigger: str | None = None, **options) -> StreamingQuery:
+    """Add each micro-batch of :func:`stream_upsert` to the compacted log at ``path`` (``upserts.UpsertLog``)."""
+    log = UpsertLog(updates.sparkSession, path, key, values, **options)
+    writer = (updates.writeStream.outputMode("update")
+                     .foreachBatch(lambda batch, batch_id: log.add(batch, batch_id, checkpoint))
                      .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
 
@@ -147,8 +142,7 @@ def start_upsert_log(updates: DataFrame, path: str, checkpoint: str,
 def collapse_upserts(spark: SparkSession, path: str, key: Sequence[str],
                      values: Sequence[str]) -> DataFrame:
     """Current view of an upsert log: per (key, time) the row with the highest seq."""
-    from tsline.operators.changelog import upsert_latest
-    return upsert_latest(spark.read.parquet(path), list(key) + ["time_ns"], "seq", list(values))
+    return UpsertLog(spark, path, key, values).view()
 
 
 def time_now_stream(stream: DataFrame) -> DataFrame:

@@ -103,5 +103,20 @@ def q_stream_dedup(spark, sf_dir):
     out, ck = scratch_path(spark, "stream-upsert"), scratch_path(spark, "stream-ck")
     updates = ST.stream_upsert(_events_stream(spark, sf_dir), ["event_type"], "ts", "event_id",
                                ["value"], watermark="1 hour", round_to="1 hour")
-    ST.start_upsert_log(updates, out, ck).awaitTermination()
+    ST.start_upsert_log(updates, out, ck, ["event_type"], ["value"]).awaitTermination()
     return ST.collapse_upserts(spark, out, ["event_type"], ["value"])
+
+
+@query("stream_dedup_values", f"""SELECT event_type, epoch_us(ts) // 3600000000 * {_HOUR_NS} AS time_ns,
+    arg_max(value, event_id) AS value, arg_max(props, event_id) AS props, arg_max(user_id, event_id) AS user_id,
+    max(event_id) AS seq FROM events GROUP BY ALL""")
+def q_stream_dedup_values(spark, sf_dir):
+    """Several values, one of them text, through many micro-batches and merged runs of the log."""
+    src, out, ck = (scratch_path(spark, x) for x in ("upsert-src", "stream-upsert", "stream-ck"))
+    events = table(spark, sf_dir, "events")
+    events.repartition(10, "event_id").write.parquet(src)
+    stream = ST.read_stream(spark, src, events.schema, max_files_per_trigger=1)
+    values = ["value", "props", "user_id"]
+    updates = ST.stream_upsert(stream, ["event_type"], "ts", "event_id", values, watermark="3650 days", round_to="1 hour")
+    ST.start_upsert_log(updates, out, ck, ["event_type"], values, fan_in=4).awaitTermination()
+    return ST.collapse_upserts(spark, out, ["event_type"], values)
