@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tsline.llm.shared import bounded, require, slices, text_buffer
+from tsline.llm.shared import bounded, give_back, require, slices, text_buffer
 
 #: Bytes of text that a worker encodes at a time, and pieces that go to the library at a time.
 TEXT_AT_ONCE = 2 << 20
@@ -306,5 +306,6 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", keep: list[str]
                 whole = whole.cast(pa.binary())
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, whole], names=[*kept, "decoded"])
+        give_back()
 
     return encoded.select(*batch_names).mapInArrow(run, schema)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import bounded, components, mix64, require, word_view, write_scratch
+from tsline.llm.shared import bounded, components, free_shuffles, mix64, require, word_view, write_scratch
 
 #: Pivots of a region, at most 62.
 PIVOTS = 16
@@ -499,6 +499,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     known = write_scratch(hashed.mapInArrow(
         describe, "doc_id long, text_hash long, n_shingles long, digest string, number long"), "shingle-sets")
     regions = write_scratch(starting_regions(texts, k, num, den), "starting-regions")
+    free_shuffles(regions)
     sets = known.where("n_shingles > 0").groupBy("digest", "number").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("row"))
     placed = sets.join(regions.withColumnRenamed("id", "number"), "number")
@@ -527,6 +528,7 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
 
     rows = write_scratch(fetched.mapInArrow(
         members, "region string, digest string, found array<long>, label string"), "region-rows")
+    free_shuffles(rows)
     tied = write_scratch(components(region_links(rows, num, den, pivots, most_rows, most_shingles), "ngram-components"),
                          "ngram-tied")
     # both sides of the joins are written, so that a hot group's rows can be split over tasks

@@ -16,11 +16,12 @@ and, with the labels, which rows are trained on; it is no feature.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tsline.llm.shared import bounded, mix64, require, word_view, write_scratch
 
@@ -200,18 +201,16 @@ def score_batch(column: pa.Array, scores: np.ndarray, bias: float) -> np.ndarray
 
 
 def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``: map-only, Arrow batch by batch."""
+    """``docs`` with ``score`` and ``predicted``: map-only; only texts go to the workers and only scores come back."""
     require(docs, text)
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = T.StructType([docs.schema[c] for c in kept]
-                          + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")]
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scores, bias = model.value
-        for batch in bounded(batches, kept.index(text), TEXT_AT_ONCE):
-            if batch.num_rows:
-                p = score_batch(batch.column(batch.schema.get_field_index(text)), scores, bias)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                                                 names=[*kept, "score", "predicted"])
+        for batch in batches:
+            parts = bounded([pa.RecordBatch.from_arrays([batch], names=["text"])], 0, TEXT_AT_ONCE)
+            yield pa.array(np.concatenate([np.zeros(0), *(score_batch(p.column(0), scores, bias) for p in parts)]))
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept, probability(F.col(f"`{text}`").cast("string")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,6 +19,16 @@ GAP = r"[\x20\x09-\x0D]+"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner waits for the driver's collector, which a large heap runs seldom;
+    called between two steps that move much, so that disks hold one of them.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def require(df: DataFrame, *cols: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
@@ -63,7 +76,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes of text that a Python worker handles at a time.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
+
+
+def give_back() -> None:
+    """Hand freed memory back, at the end of a worker's task: the process stays and waits for the next one."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
 
 
 def bounded(batches, column: int, limit: int = AT_ONCE):
@@ -75,6 +97,7 @@ def bounded(batches, column: int, limit: int = AT_ONCE):
             stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
             yield batch.slice(row, stop - row)
             row = stop
+        give_back()
 
 
 def slices(data: np.ndarray, offsets: np.ndarray, kind=pa.large_binary()) -> pa.Array:

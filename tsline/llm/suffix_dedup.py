@@ -241,18 +241,21 @@ def _sort_segments(batches, length: int):
 
 
 def _combined(row, anchor, content, first, last):
-    """Segments of a row that are equal in anchor, content and length as one, with all their starts."""
+    """Segments of a row that are equal in anchor, content and length as one, with the starts of the others."""
     order = np.lexsort((first, content, anchor, row))
     row, anchor, content, first, last = (x[order] for x in (row, anchor, content, first, last))
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
     head = np.flatnonzero(new)
-    starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)), pa.int32()), pa.array(first, pa.int64()))
-    return row[head], anchor[head], content[head], starts, (last - first)[head]
+    many = np.diff(np.append(head, len(row)))
+    later = np.concatenate([[0], np.cumsum(many - 1)])
+    others = pa.ListArray.from_arrays(pa.array(later, pa.int32()), pa.array(first[~new], pa.int64()),
+                                      mask=pa.array(many == 1))
+    return row[head], anchor[head], content[head], first[head], others, (last - first)[head]
 
 
 def _found_anchors(bodies: DataFrame, length: int, gram: int, piece: int) -> DataFrame:
-    """Every segment of ``bodies(id, th, base, body)``, those that repeat inside a body as one row."""
+    """The segments of ``bodies(id, th, base, body)`` whose anchor occurs again; equal ones of a body are one row."""
     def anchors(batches):
         finder = Anchors(length, gram, piece)
         for batch in bounded(batches, 3):
@@ -262,14 +265,24 @@ def _found_anchors(bodies: DataFrame, length: int, gram: int, piece: int) -> Dat
             at, stop = offsets[row] + first, offsets[row] + last + length
             content = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], seed=s) for a, b, s in zip(
                 at.tolist(), stop.tolist(), (place - first).tolist())), np.uint64, len(row)).view(np.int64)
-            row, anchor, content, starts, more = _combined(row, anchor, content, first, last)
+            row, anchor, content, first, others, more = _combined(row, anchor, content, first, last)
             of = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(of) for i in range(3)), pa.array(anchor), pa.array(content), starts,
-                 pa.array(more.astype(np.int32))], names=["id", "th", "base", "anchor", "content", "starts", "more"])
+                [*(batch.column(i).take(of) for i in range(3)), pa.array(anchor), pa.array(content), pa.array(first),
+                 others, pa.array(more.astype(np.int32))],
+                names=["id", "th", "base", "anchor", "content", "at", "others", "more"])
 
-    return write_scratch(bodies.mapInArrow(
-        anchors, "id long, th long, base long, anchor long, content long, starts array<long>, more int"), "anchors")
+    every = write_scratch(bodies.mapInArrow(
+        anchors, "id long, th long, base long, anchor long, content long, at long, others array<long>, more int"), "anchors")
+    # most anchors occur once, in text that nothing repeats; only the others' segments go on
+    shared = write_scratch(every.groupBy("anchor").agg(F.sum(_times()).alias("n")).where("n > 1").select("anchor"),
+                           "shared-anchors")
+    return write_scratch(every.join(shared.hint("merge"), "anchor", "left_semi"), "shared-segments")
+
+
+def _times():
+    """How often a row's segment occurs in its body."""
+    return F.coalesce(F.size("others"), F.lit(0)) + 1
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -283,14 +296,14 @@ def _spans_of(bodies: DataFrame, length: int, gram: int, most: int, piece: int)
     """Spans of ``bodies(id, th, base, body)``; a body starts at ``base`` of its text."""
     found = _found_anchors(bodies, length, gram, piece)
     classes = found.groupBy("anchor", "content").agg(
-        F.sum(F.size("starts")).alias("n"),
-        F.first(F.struct("id", "th", "base", F.get("starts", F.lit(0)).alias("at"), "more")).alias("one"))
+        F.sum(_times()).alias("n"), F.first(F.struct("id", "th", "base", "at", "more")).alias("one"))
     groups = write_scratch(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
                            .where("segments > 1"), "anchor-groups")
     twice = classes.where("n > 1").select(F.col("anchor").alias("a"), F.col("content").alias("c"))
     whole = found.join(twice, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")), "left_semi").select(
-        "id", "th", F.explode(F.transform("starts", lambda x: x + F.col("base"))).alias("start"), "more").select(
-        "id", "th", "start", (F.col("start") + F.col("more") + length).alias("stop"))
+        "id", "th", "base", "more", F.explode(F.concat(F.array("at"), F.coalesce("others", F.array().cast("array<long>"))))
+        .alias("at")).select("id", "th", (F.col("base") + F.col("at")).alias("start"),
+                             (F.col("base") + F.col("at") + F.col("more") + length).alias("stop"))
     open_ = classes.select("anchor", "n", "one.*").join(groups, "anchor")
     wanted = open_.groupBy("id", "th", "base").agg(F.collect_list(F.struct(
         "anchor", "at", "more", (F.col("n") == 1).alias("single"), (F.col("segments") > most).alias("large"))).alias("wanted"))
