@@ -38,7 +38,8 @@ def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that decoding them gives."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     kept = [c for c in docs.columns if c != "text"]
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=kept)
+    # written between, so that a task has one Python worker at a time
+    encoded = write_scratch(bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=kept), "encoded")
     decoded = bpe.decode(encoded, ranks, as_text=True).withColumnRenamed("decoded", "text")
     return decoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
