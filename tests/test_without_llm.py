@@ -27,3 +27,11 @@ def test_nothing_else_imports_them():
                 if name.endswith(".py"):
                     with open(os.path.join(folder, name)) as f:
                         assert "tsline.llm" not in f.read(), name
+
+
+def test_entry_imports_where_a_library_of_theirs_is_missing():
+    code = ("import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; "
+            "assert 'encode_lines' in e.queries() and 'pipeline' not in e.queries()")
+    done = subprocess.run([sys.executable, "-c", code], cwd=REPO, capture_output=True, text=True,
+                          env={**os.environ, "PYTHONPATH": REPO})
+    assert done.returncode == 0, done.stderr
