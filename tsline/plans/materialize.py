@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tsline.session import scratch_path
 
+#: Spark drops the shuffle files of an execution when it ends, instead of when the driver's collector gets to it.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Executions started inside leave no shuffle files behind; a lost executor during one is recovered as ever."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Used where a result must be computed exactly once (positions that later
     stages join on) and must survive lost executors: the files live in the
-    shared folder, and later scans only read the columns they need.
+    shared folder, and later scans only read the columns they need. The shuffles
+    behind the table are dropped once it is written.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
