@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tsline import suite
+from tsline.functions.timeunit import PRECISION_NS
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -50,3 +51,17 @@ def test_query_matches_oracle(spark, duck, name):
     got = QUERIES[name](spark, SF_SMALL).toPandas()
     want = duck.execute(ORACLES[name]).df()
     assert _rows(got) == _rows(want)
+
+
+def test_time_to_ns_of_any_id(spark, tmp_dir):
+    """A row whose value has no bigint of ns in one unit keeps its other values, and all rows stay."""
+    most = (1 << 63) - 1
+    ids = [0, 1, -1, 2_562_047, 2_562_048, -2_562_047, -2_562_048, 9_223_372_036, 9_223_372_037, most, -most - 1, None]
+    spark.createDataFrame([(i,) for i in ids], "event_id long").write.parquet(f"{tmp_dir}/events.parquet")
+    out = QUERIES["time_to_ns"](spark, tmp_dir)
+    want = {i: {p: None if i is None or not -most - 1 <= i * f <= most else i * f for p, f in PRECISION_NS.items()}
+            for i in ids}
+    rows = out.collect()
+    assert len(rows) == len(ids)
+    assert {r["event_id"]: {p: r[f"ns_from_{p}"] for p in PRECISION_NS} for r in rows} == want
+    assert {t for _, t in out.dtypes} == {"bigint"}

@@ -157,8 +157,9 @@ _FACTORS = {p: U.PRECISION_NS[p] for p in _PRECISIONS}
 @query("time_to_ns", "SELECT event_id, " + ", ".join(
     f"event_id * {f} AS ns_from_{p}" for p, f in _FACTORS.items()) + " FROM events")
 def q_time_to_ns(spark, sf_dir):
+    # ids reach any size: hours above 2,562,047 have no bigint of ns, and one such value is no reason to lose the others
     ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", *[U.epoch_to_ns(F.col("event_id"), p).alias(f"ns_from_{p}")
+    return ev.select("event_id", *[U.epoch_to_ns(F.col("event_id"), p, overflow="null").alias(f"ns_from_{p}")
                                    for p in _PRECISIONS])
 
 
