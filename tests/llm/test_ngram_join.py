@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import SF_CHECK, SF_SMALL
@@ -155,3 +156,68 @@ def test_names_of_all_kinds_are_kept(spark):
     kept = ngram_join.one_of_each(df)
     assert kept.columns == df.columns
     assert [tuple(r) for r in kept.collect()] == [(1, "some words here now", *names)]
+
+
+def test_sets_below_the_threshold_are_not_tied(spark):
+    """A chain of documents that each share half of their passages with the next one has no regions."""
+    rows = [(i, " ".join(f"w{j}x{n}" for j in (i, i + 1) for n in range(200))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.starting_regions(df, 5, 80, 100).collect() == []
+    near = rows + [(100 + i, text + " more") for i, text in rows[::10]]
+    got = ngram_join.ngram_groups(spark.createDataFrame(near, "doc_id long, text string"), 5, 80, 100)
+    assert result(got) == brute(near, 5, 80, 100)
+
+
+@pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (50, 100)])
+def test_linked_sets_pass_the_parity_check(num, den):
+    rng, seen = np.random.default_rng(3), []
+    for size in (1, 3, 9, 20, 64, 65, 300, 1000, 6000):
+        for _ in range(30):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            b = a[rng.integers(0, size * (den - num) // den + 1):]
+            more = rng.integers(0, (len(b) * den - num * size) // num + 1)
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, more).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            seen.append((a, b, den * both >= num * (len(a) + len(b) - both)))
+            seen.append((a, np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64)), False))
+    bits = [pa.array([ngram_join.parity_bits(x[i]) for x in seen], pa.binary()) for i in (0, 1)]
+    many = [np.array([len(x[i]) for x in seen]) for i in (0, 1)]
+    good = ngram_join.may_link(*bits, *many, num, den)
+    linked = np.array([x[2] for x in seen])
+    assert linked.sum() > 100 and good[linked].all()
+    far = np.array([not x[2] and len(x[0]) >= 20 for x in seen])
+    assert good[far].mean() < (0.05 if num >= 80 else 1.01)
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_common_keys_lose_no_link(hostile, spark, monkeypatch, most):
+    """With keys of few sets taken as common, hubs and the other keys still find every link."""
+    monkeypatch.setattr(ngram_join, "KEY_SETS", most)
+    rows = [(r["doc_id"], r["text"]) for r in hostile.select("doc_id", "text").collect()]
+    assert result(ngram_join.ngram_groups(hostile, 3, 90, 100)) == brute(rows, 3, 90, 100)
+    rng, near = np.random.default_rng(8), []
+    for group in range(12):
+        base = [f"w{group}_{i}" if i % 3 else f"all_{i}" for i in range(6 + 12 * group)]
+        for _ in range(8):
+            text = list(base)
+            for at in rng.integers(0, len(base), rng.integers(0, 2 + len(base) // 25)):
+                text[at] = f"e{rng.integers(0, 10_000)}"
+            near.append((len(near), " ".join(text)))
+    df = spark.createDataFrame(near, "doc_id long, text string").repartition(3)
+    for k, num in ((1, 80), (2, 80), (3, 90)):
+        assert result(ngram_join.ngram_groups(df, k, num, 100)) == brute(near, k, num, 100)
+
+
+def test_regions_that_cells_would_copy_are_left_whole(spark, monkeypatch):
+    """Unlinked sets in one region are compared as blocks once, not as a copy for every pivot."""
+    monkeypatch.setattr(ngram_join, "REGION_ROWS", 8)
+    sets = [[100 * i + j for j in range(20)] for i in range(40)]
+    sets += [s[:-1] for s in sets[::4]]
+    rows = spark.createDataFrame([("0", f"d{i:02}", s, None) for i, s in enumerate(sets)],
+                                 "region string, digest string, found array<long>, label string")
+    sizes = rows.groupBy("region").agg({"digest": "count"}).toDF("region", "n")
+    cells, whole, _ = ngram_join._split(rows, sizes, 4, 80, 100)
+    assert cells.count() == 0 and whole.count() == len(sets) - 4
+    got = components(ngram_join.region_links(rows, 80, 100, pivots=4, most_rows=8)).collect()
+    assert {(r["component"], r["id"]) for r in got if r["id"] != r["component"]} == {
+        (f"d{4 * i:02}", f"d{40 + i:02}") for i in range(10)}

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsline.llm.shared import bounded, components, free_shuffles, mix64, require, word_view, write_scratch
+from tsline.llm.shared import bounded, components, free_shuffles, mix64, require, text_buffer, word_view, write_scratch
 
 #: Pivots of a region, at most 62.
 PIVOTS = 16
@@ -47,6 +47,12 @@ REGION_ROWS = 2048
 REGION_SHINGLES = 1_000_000
 #: Mean shingles of a part from which single parts tie; below it, two of the three parts of a group do.
 PART_SHINGLES = 8
+#: A key of more sets is common: its sets are not taken as pairs.
+KEY_SETS = 16
+#: Pairs that a task holds to drop those it has seen.
+PAIRS_HELD = 1 << 20
+#: Bits of a set's parities, as powers of two.
+MIN_BITS, MAX_BITS = 6, 12
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -95,7 +101,12 @@ def parts_of(num: int, den: int) -> int:
 
 
 def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of every set, and the row of each key; linked sets have one in common.
+    """Keys of every set, and the row of each key; linked sets have one in common."""
+    return _keys_and_slack(sets, num, den)[:2]
+
+
+def _keys_and_slack(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the row of each key, and how many keys a row may lose and still share one with all it is linked with.
 
     Within a class of sizes up to u, sets at the threshold differ in at most
     ``k = (den - num) 2u / (den + num)`` shingles. Shingles are dealt into groups.
@@ -106,12 +117,13 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     be of empty parts; only sets with such a choice in more than ``spare`` groups
     need keys of empty parts, and they alone have them. Where k is 0 the whole set
     is the key. A set joins its own class and the next one, where a larger partner
-    may be.
+    may be. A set that leaves ``spare`` groups unused in neither way may lose the keys
+    of the rest of them; one that needs keys of empty parts (-1) may lose none.
     """
     width = parts_of(num, den)
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(len(sets), -1)
     bounds = size_classes(int(sizes.max()) + 1, num, den)
     bounds = np.append(bounds, max(bounds[-1] + 1, bounds[-1] * den // num))
     differ = (den - num) * 2 * bounds // (den + num)
@@ -122,7 +134,7 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     row = np.repeat(np.arange(len(sets)), sizes)
     place = flat >> np.uint64(32)  # rows are sorted by hash, so their parts come in order
     value = mix64(flat + np.uint64(0x51ED270B))
-    keys, rows = [], []
+    keys, rows, slack = [], [], []
     for step in (0, 1):
         level = own + step
         many = np.where(sizes > 0, groups[level], 0)
@@ -148,64 +160,193 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
         wanted = ~empty | ((odd > spare[level])[owner] & ~exact)[:, None]
         keys.append(mix64(left + salt[:, None])[wanted])
         rows.append(np.broadcast_to(owner[:, None], wanted.shape)[wanted])
-    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
+        slack.append(np.where(odd > spare[level], -1, spare[level] - odd))
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.minimum(*slack)
+
+
+def parity_bits(found: np.ndarray) -> bytes:
+    """Whether an even or odd number of a set's hashes ends in each bit pattern, for about as many patterns as hashes.
+
+    Two such strings differ in no more bits than the sets differ in shingles, also
+    when the longer one is folded to the length of the other.
+    """
+    width = 1 << min(max(int(len(found) - 1).bit_length(), MIN_BITS), MAX_BITS)
+    ends = (found & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(ends, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(left: pa.Array, right: pa.Array, n_left: np.ndarray, n_right: np.ndarray, num: int, den: int) -> np.ndarray:
+    """False where sizes and parity bits show that two sets are below the threshold."""
+    few, many = np.minimum(n_left, n_right), np.maximum(n_left, n_right)
+    out = den * few >= num * many
+    (x, at), (y, to) = text_buffer(left), text_buffer(right)
+    lengths, other = np.diff(at), np.diff(to)
+    for a, b in np.unique(np.stack([lengths, other]), axis=1).T:
+        rows = np.flatnonzero((lengths == a) & (other == b) & out)
+        short = min(a, b)
+        one = x[at[rows][:, None] + np.arange(a)].reshape(len(rows), a // short, short)
+        two = y[to[rows][:, None] + np.arange(b)].reshape(len(rows), b // short, short)
+        differ = np.bitwise_xor.reduce(one, axis=1) ^ np.bitwise_xor.reduce(two, axis=1)
+        apart = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        out[rows] = apart * (den + num) <= (few + many)[rows] * (den - num)
+    return out
+
+
+def _hub(low: np.ndarray) -> np.ndarray:
+    """A name, at least 0, of the runs whose smallest set this is; no set of its own."""
+    return (mix64(low.view(np.uint64) ^ np.uint64(0x6A09E667F3BCC909)) >> np.uint64(1)).view(np.int64)
+
 
+def _runs(keys: np.ndarray, *ids: np.ndarray):
+    """Start and length of every run of a sorted array, and the run of each row."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    many = np.diff(np.append(first, len(keys)))
+    return first, many, np.repeat(np.arange(len(first)), many)
 
-def _stars(keys: np.ndarray, ids: np.ndarray):
-    """Per key its smallest id, and the distinct (id, smallest id) ties of all keys."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    low = ids[first][np.cumsum(first) - 1] if len(keys) else ids
-    tied = low != ids
-    pairs = np.unique(np.stack([ids[tied], low[tied]]), axis=1) if tied.any() else np.zeros((2, 0), np.int64)
-    return keys[first], ids[first], pairs
 
+def _pairs(ids: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """All pairs inside each run, the smaller id first: two rows of distinct columns."""
+    out = [np.zeros((2, 0), np.int64)]
+    for size in np.unique(many[many > 1]):
+        inside = ids[first[many == size][:, None] + np.arange(size)]
+        i, j = np.triu_indices(size, 1)
+        out.append(np.stack([inside[:, i].ravel(), inside[:, j].ravel()]))
+    return _distinct(np.concatenate(out, axis=1))
 
-def _batch(*columns) -> pa.RecordBatch:
-    names = [str(i) for i in range(len(columns))]
-    return pa.RecordBatch.from_arrays(list(columns), names=names)
 
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    order = np.lexsort(pairs[::-1])
+    pairs = pairs[:, order]
+    fresh = np.ones(pairs.shape[1], bool)
+    fresh[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+    return pairs[:, fresh]
 
-def starting_regions(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """``(id, component)`` of the sets, by :func:`set_number`, that share a key with another one.
 
-    Each task first ties the sets of a batch (one row for each key and batch leaves
-    it), so a key that a third of all documents share moves as one row a batch. Keys
-    then arrive sorted, and of each run only the smallest set is held.
+def _sketched(batches, k: int):
+    for batch in bounded(batches, 0):
+        sets = [s for s in shingle_sets(batch.column(0), k) if len(s)]
+        yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in sets], pa.int64()),
+                                          pa.array([len(s) for s in sets], pa.int64()),
+                                          pa.array([parity_bits(s) for s in sets], pa.binary())],
+                                         names=["number", "n_shingles", "bits"])
+
+
+def _ties(a: np.ndarray, b: np.ndarray, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.broadcast_to(n, a.shape).astype(np.int32))],
+                                      names=["a", "b", "n"])
+
+
+def _counted(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Ties with how often each occurs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else order
+    return _ties(a[first], b[first], np.diff(np.append(first, len(a))))
+
+
+def starting_regions(docs: DataFrame, k: int, num: int, den: int, sketches: DataFrame | None = None) -> DataFrame:
+    """``(id, component)`` of the sets, by :func:`set_number`, that may be linked with another one.
+
+    Keys arrive sorted. The sets of a key that at most ``KEY_SETS`` have are taken
+    as pairs, and the pairs that :func:`may_link` leaves are ties. A key of more
+    sets is common: those of its sets that have too many common keys to be sure of
+    another shared one are tied to the key's hub, a node that is no set; the others
+    need no tie there. A key that is common in a batch already leaves it as ties to
+    the batch's hub and one row, so no task sees all sets of a key that a third of
+    all documents share.
     """
     def parts(batches):
         for batch in bounded(batches, 0):
             sets = {set_number(s): s for s in shingle_sets(batch.column(0), k) if len(s)}
             if not sets:
                 continue
-            keys, rows = part_keys(list(sets.values()), num, den)
-            keys, ids, pairs = _stars(keys, np.array(list(sets), np.int64)[rows])
-            order = np.argsort(ids, kind="stable")  # rows of one set side by side take less room
+            names = np.array(list(sets), np.int64)
+            keys, rows, slack = _keys_and_slack(list(sets.values()), num, den)
+            ids = names[rows]
+            order = np.lexsort((ids, keys))
             keys, ids = keys[order], ids[order]
+            first, many, run = _runs(keys)
+            common = many > KEY_SETS
+            inside = common[run]
+            low = ids[first]
+            # b: null for a key's set, -1 for a key that is common, below -1 a set's slack, else the hub of a set
+            code = np.full(len(ids), -1, np.int64)
+            code[inside] = _hub(low)[run[inside]]
+            placed = np.where(inside, mix64(ids.view(np.uint64)).view(np.int64), keys)
+            own = mix64(names.view(np.uint64)).view(np.int64)
+            known = np.concatenate([inside, np.ones(int(common.sum()) + len(names), bool)])
+            placed = np.concatenate([placed, keys[first[common]], own])
+            every = np.concatenate([ids, low[common], names])
+            code = np.concatenate([code, np.full(int(common.sum()), -1, np.int64), -3 - slack])
+            order = np.argsort(every, kind="stable")  # rows of one set side by side take less room
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([keys, mix64(pairs[0].view(np.uint64)).view(np.int64)])),
-                 pa.array(np.concatenate([ids, pairs[0]])),
-                 pa.array(np.concatenate([np.zeros(len(keys), np.int64), pairs[1]]),
-                          mask=np.concatenate([np.ones(len(keys), bool), np.zeros(pairs.shape[1], bool)]))],
+                [pa.array(placed[order]), pa.array(every[order]), pa.array(code[order], mask=~known[order])],
                 names=["key", "a", "b"])
 
     def ties(batches):
-        last = None
+        key, a, plain = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        pairs: list = []
+        for batch in batches:
+            place, name = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            code = np.asarray(batch.column(2).fill_null(-1))
+            if (code < -1).any():
+                yield _ties(name[code < -1], -3 - code[code < -1], -2)
+            if (code >= 0).any():
+                yield _counted(name[code >= 0], code[code >= 0])
+            here = code == -1
+            # the run that the batch before ended in goes on
+            key, a = np.append(key, place[here]), np.append(a, name[here])
+            plain = np.append(plain, ~np.asarray(batch.column(2).is_valid())[here])
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (plain[1:] != plain[:-1])
+            key, a, plain = key[fresh], a[fresh], plain[fresh]
+            first, many, run = _runs(key)
+            if not len(first):
+                continue
+            sets = np.bincount(run[plain], minlength=len(first))
+            common = (sets > KEY_SETS) | (sets < many)
+            hub = _hub(a[first])[run]
+            yield _counted(a[common[run] & plain], hub[common[run] & plain])
+            yield _ties(_hub(a[~plain]), hub[~plain], -1)
+            whole = (run < len(first) - 1) & ~common[run]
+            start, size, _ = _runs(key[whole])
+            pairs.append(_pairs(a[whole], start, size))
+            if sum(p.shape[1] for p in pairs) > PAIRS_HELD:
+                pairs = [_distinct(np.concatenate(pairs, axis=1))]
+                if pairs[0].shape[1] > PAIRS_HELD // 2:
+                    yield _ties(*pairs.pop(), 0)
+            rest = first[-1:] if common[-1] else slice(first[-1], None)
+            key, a, plain = key[rest], a[rest], plain[rest] & (not common[-1])
+        pairs.append(_pairs(a, np.array([0]), np.array([int(plain.sum())])))
+        yield _ties(*_distinct(np.concatenate(pairs, axis=1)), 0)
+
+    found = write_scratch(docs.select("text").mapInArrow(parts, "key long, a long, b long")
+                          .repartition("key").sortWithinPartitions("key", "a").mapInArrow(ties, "a long, b long, n int"),
+                          "tied-sets")
+    free_shuffles(found)
+    if sketches is None:
+        sketches = docs.select("text").mapInArrow(
+            lambda batches: _sketched(batches, k), "number long, n_shingles long, bits binary")
+    sketches = sketches.where("n_shingles > 0").groupBy("number").agg(
+        F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    pairs = found.where("n = 0").select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("number").alias(side), F.col("n").alias(f"n_{side}"),
+                                           F.col("bits").alias(f"bits_{side}")).hint("merge"), side)
+
+    def check(batches):
         for batch in batches:
-            tied = np.asarray(batch.column(2).is_valid())
-            a, b = np.asarray(batch.column(1)), np.asarray(batch.column(2).fill_null(0))
-            keys, ids = np.asarray(batch.column(0))[~tied], a[~tied]
-            if last is not None:  # the run that the batch before ended in goes on
-                keys, ids = np.append(last[0], keys), np.append(last[1], ids)
-            heads, lows, pairs = _stars(keys, ids)
-            if len(heads):
-                last = heads[-1], lows[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a[tied], pairs[0]])),
-                                              pa.array(np.concatenate([b[tied], pairs[1]]))], names=["a", "b"])
+            a, b, n_a, n_b = (np.asarray(batch.column(c)) for c in ("a", "b", "n_a", "n_b"))
+            good = may_link(batch.column("bits_a"), batch.column("bits_b"), n_a, n_b, num, den)
+            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
-    return components(docs.select("text").mapInArrow(parts, "key long, a long, b long")
-                      .repartition("key").sortWithinPartitions("key", "a").mapInArrow(ties, "a long, b long"), "regions")
+    sure = F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)) > F.min(F.when(F.col("n") == -2, F.col("b")))
+    hubs = found.where("n > 0 OR n = -2").groupBy("a").agg(
+        sure.alias("open"), F.collect_set(F.when(F.col("n") > 0, F.col("b"))).alias("hubs"))
+    edges = (pairs.mapInArrow(check, "a long, b long")
+             .union(hubs.where("open").select("a", F.explode("hubs").alias("b")))
+             .union(found.where("n = -1").select("a", "b")))
+    return components(edges, "regions")
 
 
 def _links(sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -348,14 +489,15 @@ def _merge_masks(table: pa.Table) -> pa.Table:
     return table.append_column("top", pa.array([find(m.bit_length() - 1) for m in masks], pa.int32()))
 
 
-def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """One Voronoi step over large regions: the rows of the cells, and the links to pivots.
+def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int):
+    """One Voronoi step over large regions: the rows of the cells, those of regions left whole, and the links to pivots.
 
     Rows that pivots link, directly or through each other, get one label: they
     need no comparing among themselves. Rows of a region's most common label go
     to their own cell only; all others also go to the cells in reach, where by
     the triangle inequality every partner of theirs has its own cell. Pivots
-    have met all rows and go nowhere.
+    have met all rows and go nowhere. A region of which two cells would each keep
+    most rows is left whole: its cells would only be copies of it.
     """
     met = write_scratch(_measure(rows, sizes, pivots, num, den), "measured")
     links = met.select(F.col("digest").alias("a"), F.explode("links").alias("b"))
@@ -374,9 +516,17 @@ def _split(rows: DataFrame, sizes: DataFrame, pivots: int, num: int, den: int) -
     common = (named.where("label IS NOT NULL").groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
               .groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main")))
     cells = F.when(F.col("label") == F.col("main"), F.array("home")).otherwise(F.col("near"))
-    out = (named.where("NOT pivot").join(common, "region", "left").withColumn("_cell", F.explode(cells))
+    placed = write_scratch(named.where("NOT pivot").join(common, "region", "left").select(
+        "region", "digest", "found", "label", cells.alias("cells")), "placed-rows")
+    counts = placed.select("region", F.explode("cells").alias("cell")).groupBy("region", "cell").agg(
+        F.count(F.lit(1)).alias("n"))
+    total = placed.groupBy(F.col("region").alias("in_region")).agg(F.count(F.lit(1)).alias("total"))
+    copies = write_scratch(counts.join(total, F.col("region") == F.col("in_region")).where(
+        F.col("n") >= F.col("total") * 0.5).groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("region"), "unsplit-regions")
+    out = (placed.join(copies, "region", "left_anti").withColumn("_cell", F.explode("cells"))
            .select(F.concat_ws("/", "region", "_cell").alias("region"), "digest", "found", "label"))
-    return out, links
+    return out, placed.join(copies, "region", "left_semi").select("region", "digest", "found", "label"), links
 
 
 def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -432,8 +582,9 @@ def region_links(rows: DataFrame, num: int, den: int, pivots: int = PIVOTS,
         big = write_scratch(big, "big-regions")
         if big.isEmpty():
             break
-        cells, found = _split(rows.join(big.select("region"), "region", "left_semi"), big, pivots, num, den)
+        cells, whole, found = _split(rows.join(big.select("region"), "region", "left_semi"), big, pivots, num, den)
         links.append(found)
+        links.append(write_scratch(_joined(_in_blocks(whole, big), num, den), "links"))
         rows, before = write_scratch(cells, "cells"), big
     out = links[0]
     for more in links[1:]:
@@ -493,12 +644,13 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_digest(s) if len(s) else None for s in sets], pa.string()),
-                 pa.array([set_number(s) if len(s) else None for s in sets], pa.int64())],
-                names=["doc_id", "text_hash", "n_shingles", "digest", "number"])
+                 pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "number", "bits"])
 
     known = write_scratch(hashed.mapInArrow(
-        describe, "doc_id long, text_hash long, n_shingles long, digest string, number long"), "shingle-sets")
-    regions = write_scratch(starting_regions(texts, k, num, den), "starting-regions")
+        describe, "doc_id long, text_hash long, n_shingles long, digest string, number long, bits binary"), "shingle-sets")
+    regions = write_scratch(starting_regions(texts, k, num, den, known), "starting-regions")
     free_shuffles(regions)
     sets = known.where("n_shingles > 0").groupBy("digest", "number").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("row"))
