@@ -13,8 +13,9 @@ so if the shingles are dealt by hash into more than ``k`` parts, one is equal in
 both. Where such parts hold few shingles, at a low threshold, unrelated sets that
 share a passage would have equal ones too; there the shingles are dealt into
 ``(k + 1) / 2`` groups of three parts, one group differs in one part at most, and
-two of its parts are equal in both. Sets with equal parts are tied together, and
-the connected components are the starting regions. No link can cross them.
+two of its parts are equal in both. Sets with equal parts are tied together, unless
+their sizes or parity bitmaps show that they cannot link, and the connected
+components are the starting regions. No link can cross them.
 
 Links are kept as a spanning forest: documents that a pivot links are settled
 with each other and not compared again, so a group of near copies costs its size
@@ -117,8 +118,8 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndar
     be of empty parts; only sets with such a choice in more than ``spare`` groups
     need keys of empty parts, and they alone have them. Where k is 0 the whole set
     is the key. A set joins its own class and the next one, where a larger partner
-    may be. A set that leaves ``spare`` groups unused in neither way may lose the keys
-    of the rest of them; one that needs keys of empty parts (-1) may lose none.
+    may be. A set may lose its keys of as many groups as ``spare`` has beyond those with
+    empty choices; one that needs keys of empty parts may lose none (-1).
     """
     width = parts_of(num, den)
     sizes = np.array([len(s) for s in sets], np.int64)
