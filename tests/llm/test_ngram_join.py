@@ -221,3 +221,37 @@ def test_regions_that_cells_would_copy_are_left_whole(spark, monkeypatch):
     got = components(ngram_join.region_links(rows, 80, 100, pivots=4, most_rows=8)).collect()
     assert {(r["component"], r["id"]) for r in got if r["id"] != r["component"]} == {
         (f"d{4 * i:02}", f"d{40 + i:02}") for i in range(10)}
+
+
+def test_open_sets_are_tied_by_their_rarest_shingles_only(spark):
+    """Short texts with empty parts and texts around one common passage have no regions; near copies among them have."""
+    rows = [(i, " ".join(f"w{i}x{n}" for n in range(9 + i % 4))) for i in range(1200)]
+    rows += [(5000 + i, " ".join([f"all{n}" for n in range(i % 3, 150)] + [f"v{i}x{n}" for n in range(50)]))
+             for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.starting_regions(df, 5, 80, 100).collect() == []
+    near = [(7000 + i, text + " more") for i, text in rows[::9]]
+    near += [(8000 + i, "more " + text) for i, text in rows[-30:]]
+    df = spark.createDataFrame(rows + near, "doc_id long, text string")
+    assert result(ngram_join.ngram_groups(df, 5, 80, 100)) == brute(rows + near, 5, 80, 100)
+
+
+@pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (50, 100), (1, 3)])
+def test_linked_sets_share_a_key_of_first_shingles(num, den):
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 3, 4, 5, 9, 10, 19, 20, 21, 50, 200, 1000):
+        for _ in range(40):
+            pool = rng.permutation(4 * size + 8)  # a shingle's number is its place in the order of all
+            a = pool[:size]
+            b = a[rng.integers(0, size * (den - num) // den + 1):]
+            more = rng.integers(0, (len(b) * den - num * size) // num + 1)
+            b = np.concatenate([b, pool[size:size + more]])
+            both = len(np.intersect1d(a, b))
+            if den * both < num * (len(a) + len(b) - both):
+                continue
+            sizes = np.array([len(a), len(b)])
+            run = np.repeat([0, 1], sizes)
+            place = np.concatenate([np.arange(len(x)) for x in (a, b)])
+            keys, sets = ngram_join.first_keys(sizes, run, place, np.concatenate([np.sort(a), np.sort(b)]).astype(np.uint64),
+                                               num, den)
+            assert set(keys[sets == 0]) & set(keys[sets == 1]), (size, len(a), len(b))

@@ -15,7 +15,10 @@ share a passage would have equal ones too; there the shingles are dealt into
 ``(k + 1) / 2`` groups of three parts, one group differs in one part at most, and
 two of its parts are equal in both. Sets with equal parts are tied together, unless
 their sizes or parity bitmaps show that they cannot link, and the connected
-components are the starting regions. No link can cross them.
+components are the starting regions. No link can cross them. Parts that too many
+sets share, or that are empty, tie nothing; the sets that so may have lost a partner
+(it must be one of them too) are compared by their rarest shingles: of two linked sets
+the first shingle in common, in one order of all, is among the first of each.
 
 Links are kept as a spanning forest: documents that a pivot links are settled
 with each other and not compared again, so a group of near copies costs its size
@@ -52,6 +55,8 @@ PART_SHINGLES = 8
 KEY_SETS = 16
 #: Pairs that a task holds to drop those it has seen.
 PAIRS_HELD = 1 << 20
+#: Shingles of open sets that a task holds to make keys of.
+SHINGLES_HELD = 1 << 18
 #: Bits of a set's parities, as powers of two.
 MIN_BITS, MAX_BITS = 6, 12
 
@@ -106,7 +111,8 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     return _keys_and_slack(sets, num, den)[:2]
 
 
-def _keys_and_slack(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys_and_slack(sets: list[np.ndarray], num: int, den: int,
+                    empties: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, the row of each key, and how many keys a row may lose and still share one with all it is linked with.
 
     Within a class of sizes up to u, sets at the threshold differ in at most
@@ -120,6 +126,8 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndar
     is the key. A set joins its own class and the next one, where a larger partner
     may be. A set may lose its keys of as many groups as ``spare`` has beyond those with
     empty choices; one that needs keys of empty parts may lose none (-1).
+    Without ``empties`` there are no keys of empty parts: a set of -1 may share no
+    key with a partner that is also of -1.
     """
     width = parts_of(num, den)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -158,7 +166,9 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndar
         left[exact, 0] = sums[exact].sum(axis=1)
         empty[exact, 0], empty[exact, 1:] = False, True
         odd = np.bincount(owner[empty.any(axis=1) & ~exact], minlength=len(sets))
-        wanted = ~empty | ((odd > spare[level])[owner] & ~exact)[:, None]
+        wanted = ~empty
+        if empties:
+            wanted |= ((odd > spare[level])[owner] & ~exact)[:, None]
         keys.append(mix64(left + salt[:, None])[wanted])
         rows.append(np.broadcast_to(owner[:, None], wanted.shape)[wanted])
         slack.append(np.where(odd > spare[level], -1, spare[level] - odd))
@@ -223,13 +233,25 @@ def _distinct(pairs: np.ndarray) -> np.ndarray:
     return pairs[:, fresh]
 
 
-def _sketched(batches, k: int):
-    for batch in bounded(batches, 0):
-        sets = [s for s in shingle_sets(batch.column(0), k) if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in sets], pa.int64()),
-                                          pa.array([len(s) for s in sets], pa.int64()),
-                                          pa.array([parity_bits(s) for s in sets], pa.binary())],
-                                         names=["number", "n_shingles", "bits"])
+def _with_hash(docs: DataFrame) -> DataFrame:
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("text_hash", text_hash())
+
+
+def _describe(hashed: DataFrame, k: int) -> DataFrame:
+    """Size, names and parity bits of the shingle set of every row."""
+    def describe(batches):
+        for batch in bounded(batches, 1):
+            sets = shingle_sets(batch.column(1), k)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.string()),
+                 pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "number", "bits"])
+
+    return write_scratch(hashed.mapInArrow(
+        describe, "doc_id long, text_hash long, n_shingles long, digest string, number long, bits binary"), "shingle-sets")
 
 
 def _ties(a: np.ndarray, b: np.ndarray, n) -> pa.RecordBatch:
@@ -245,92 +267,201 @@ def _counted(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return _ties(a[first], b[first], np.diff(np.append(first, len(a))))
 
 
-def starting_regions(docs: DataFrame, k: int, num: int, den: int, sketches: DataFrame | None = None) -> DataFrame:
+def _dealt(names: np.ndarray, keys: np.ndarray, rows: np.ndarray, slack: np.ndarray | None = None) -> pa.RecordBatch:
+    """A batch's keys as rows to be dealt by key: ``(key, a, b)``.
+
+    ``b`` is null for a key's set, -1 for a key that is common in this batch already, below
+    -1 a set's slack, else the hub of a set. Such a key leaves the batch as ties to the
+    batch's hub and one row, so no task sees all sets of a key that a third of all share.
+    """
+    ids = names[rows]
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    first, many, run = _runs(keys)
+    common = many > KEY_SETS
+    inside = common[run]
+    low = ids[first]
+    code = np.full(len(ids), -1, np.int64)
+    code[inside] = _hub(low)[run[inside]]
+    placed = [np.where(inside, mix64(ids.view(np.uint64)).view(np.int64), keys), keys[first[common]]]
+    every, codes = [ids, low[common]], [code, np.full(int(common.sum()), -1, np.int64)]
+    known = [inside, np.ones(int(common.sum()), bool)]
+    if slack is not None:
+        placed.append(mix64(names.view(np.uint64)).view(np.int64))
+        every.append(names)
+        codes.append(-3 - slack)
+        known.append(np.ones(len(names), bool))
+    placed, every, codes, known = (np.concatenate(x) for x in (placed, every, codes, known))
+    order = np.argsort(every, kind="stable")  # rows of one set side by side take less room
+    return pa.RecordBatch.from_arrays(
+        [pa.array(placed[order]), pa.array(every[order]), pa.array(codes[order], mask=~known[order])],
+        names=["key", "a", "b"])
+
+
+def _tied(batches):
+    """Ties ``(a, b, n)`` of keys that arrive sorted.
+
+    The sets of a key that at most ``KEY_SETS`` have are taken as pairs (n: 0). A key of
+    more is common: its sets are tied to its hub, a node that is no set, n times (-1: the
+    tie of a batch's hub). A set's slack comes with -2.
+    """
+    key, a, plain = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    pairs: list = []
+    for batch in batches:
+        place, name = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        code = np.asarray(batch.column(2).fill_null(-1))
+        if (code < -1).any():
+            yield _ties(name[code < -1], -3 - code[code < -1], -2)
+        if (code >= 0).any():
+            yield _counted(name[code >= 0], code[code >= 0])
+        here = code == -1
+        # the run that the batch before ended in goes on
+        key, a = np.append(key, place[here]), np.append(a, name[here])
+        plain = np.append(plain, ~np.asarray(batch.column(2).is_valid())[here])
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (plain[1:] != plain[:-1])
+        key, a, plain = key[fresh], a[fresh], plain[fresh]
+        first, many, run = _runs(key)
+        if not len(first):
+            continue
+        sets = np.bincount(run[plain], minlength=len(first))
+        common = (sets > KEY_SETS) | (sets < many)
+        hub = _hub(a[first])[run]
+        yield _counted(a[common[run] & plain], hub[common[run] & plain])
+        yield _ties(_hub(a[~plain]), hub[~plain], -1)
+        whole = (run < len(first) - 1) & ~common[run]
+        start, size, _ = _runs(key[whole])
+        pairs.append(_pairs(a[whole], start, size))
+        if sum(p.shape[1] for p in pairs) > PAIRS_HELD:
+            pairs = [_distinct(np.concatenate(pairs, axis=1))]
+            if pairs[0].shape[1] > PAIRS_HELD // 2:
+                yield _ties(*pairs.pop(), 0)
+        rest = first[-1:] if common[-1] else slice(first[-1], None)
+        key, a, plain = key[rest], a[rest], plain[rest] & (not common[-1])
+    pairs.append(_pairs(a, np.array([0]), np.array([int(plain.sum())])))
+    yield _ties(*_distinct(np.concatenate(pairs, axis=1)), 0)
+
+
+def _all_tied(keys: DataFrame, name: str) -> DataFrame:
+    return write_scratch(keys.repartition("key").sortWithinPartitions("key", "a")
+                         .mapInArrow(_tied, "a long, b long, n int"), name)
+
+
+def first_keys(sizes: np.ndarray, run: np.ndarray, place: np.ndarray, shingles: np.ndarray, num: int, den: int):
+    """Keys of the first shingles of every set, and the set of each key; linked sets have one in common.
+
+    ``shingles`` are those of set ``run``, ``place`` says where each stands in the set by
+    one order of all shingles. Two sets of sizes a and b at the threshold share at least
+    ``num (a + b) / (num + den)`` shingles, so the first of these has no more than the others
+    of its set before it. A set meets its own size class and the ones beside it, each
+    with the shingles that the smallest partner there leaves open.
+    """
+    bounds = size_classes(int(sizes.max()) + 1, num, den)
+    bounds = np.append(bounds, max(bounds[-1] + 1, bounds[-1] * den // num))
+    lows = np.concatenate([[1], bounds[:-1] + 1])
+    own = np.searchsorted(bounds, sizes)
+    keys, sets = [], []
+    for step in (-1, 0, 1):
+        other = np.maximum(own + step, 0)
+        least = np.maximum(lows[other], -(-sizes * num // den))
+        can = (own + step >= 0) & (least <= bounds[other]) & (least * num <= sizes * den)
+        shared = -(-(num * (sizes + least)) // (num + den))
+        taken = place < np.where(can, sizes - shared + 1, 0)[run]
+        salt = mix64((own + other).astype(np.uint64))
+        keys.append(mix64(shingles[taken] + salt[run[taken]]))
+        sets.append(run[taken])
+    return np.concatenate(keys).view(np.int64), np.concatenate(sets)
+
+
+def _by_rarest(batches, num: int, den: int):
+    """Keys of sets by their rarest shingles; their shingles that other sets have too come by ``number``, the rarest first."""
+    held: list = []
+
+    def solve(number, size, shingle):
+        fresh = np.ones(len(number), bool)  # rows that repeat an id with its text
+        fresh[1:] = (number[1:] != number[:-1]) | (shingle[1:] != shingle[:-1])
+        number, size, shingle = number[fresh], size[fresh], shingle[fresh]
+        first, many, run = _runs(number)
+        # shingles of no other set come before
+        place = np.arange(len(number)) - first[run] + (size[first] - many)[run]
+        return _dealt(number[first], *first_keys(size[first], run, place, shingle.view(np.uint64), num, den))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([np.asarray(batch.column(c)) for c in ("number", "size", "shingle")])
+        if sum(len(x[0]) for x in held) > SHINGLES_HELD:
+            number, size, shingle = (np.concatenate(x) for x in zip(*held))
+            done = int(np.argmax(number == number[-1]))  # the last set may go on
+            if done:
+                yield solve(number[:done], size[:done], shingle[:done])
+            held = [[number[done:], size[done:], shingle[done:]]]
+    if held:
+        yield solve(*(np.concatenate(x) for x in zip(*held)))
+
+
+def _open_ties(hashed: DataFrame, known: DataFrame, names: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Ties, as of :func:`_tied`, that join every two linked ones of the sets of ``names(number)``."""
+    rows = known.where("n_shingles > 0").groupBy("number").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("row"))
+    wanted = write_scratch(rows.join(names, "number").select(
+        "number", F.col("row.doc_id").alias("id"), F.col("row.text_hash").alias("hash")), "open-sets")
+    # one plan at every size: the open sets grow with the corpus and are never broadcast
+    fetched = hashed.join(wanted.hint("merge"), (F.col("text_hash") == F.col("hash"))
+                          & F.col("doc_id").eqNullSafe(F.col("id"))).select("number", "text")
+
+    def spread(batches):
+        last = None
+        for batch in bounded(batches, 1):
+            numbers = batch.column(0).to_pylist()
+            # rows that repeat an id with its text come one after the other
+            keep = [i for i, x in enumerate(numbers) if x != (numbers[i - 1] if i else last)]
+            last = numbers[-1] if numbers else last
+            sets = shingle_sets(batch.column(1).take(pa.array(keep, pa.int64())), k)
+            many = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array([numbers[i] for i in keep], np.int64), many)),
+                 pa.array(np.repeat(many, many)),
+                 pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))],
+                names=["number", "size", "shingle"])
+
+    shingles = write_scratch(fetched.mapInArrow(spread, "number long, size long, shingle long"), "open-shingles")
+    free_shuffles(shingles)
+    often = shingles.groupBy(F.col("shingle").alias("of")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    ranked = shingles.join(often, F.col("shingle") == F.col("of")).select("number", "size", "shingle", "times")
+    keys = (ranked.repartition("number").sortWithinPartitions("number", "times", "shingle")
+            .mapInArrow(lambda batches: _by_rarest(batches, num, den), "key long, a long, b long"))
+    return _all_tied(keys, "tied-open-sets")
+
+
+def starting_regions(docs: DataFrame, k: int, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
     """``(id, component)`` of the sets, by :func:`set_number`, that may be linked with another one.
 
-    Keys arrive sorted. The sets of a key that at most ``KEY_SETS`` have are taken
-    as pairs, and the pairs that :func:`may_link` leaves are ties. A key of more
-    sets is common: those of its sets that have too many common keys to be sure of
-    another shared one are tied to the key's hub, a node that is no set; the others
-    need no tie there. A key that is common in a batch already leaves it as ties to
-    the batch's hub and one row, so no task sees all sets of a key that a third of
-    all documents share.
+    Pairs of sets that share a key of at most ``KEY_SETS`` sets, and that :func:`may_link`
+    leaves, are ties. Sets that have too many common keys, or choices of empty parts, to be
+    sure of another shared key are open: only two open sets can be linked without such a
+    pair, and these get the ties of :func:`_open_ties`, where keys are of their rarest
+    shingles, so that passages which many sets share tie nothing but sets made of them.
     """
     def parts(batches):
         for batch in bounded(batches, 0):
             sets = {set_number(s): s for s in shingle_sets(batch.column(0), k) if len(s)}
-            if not sets:
-                continue
-            names = np.array(list(sets), np.int64)
-            keys, rows, slack = _keys_and_slack(list(sets.values()), num, den)
-            ids = names[rows]
-            order = np.lexsort((ids, keys))
-            keys, ids = keys[order], ids[order]
-            first, many, run = _runs(keys)
-            common = many > KEY_SETS
-            inside = common[run]
-            low = ids[first]
-            # b: null for a key's set, -1 for a key that is common, below -1 a set's slack, else the hub of a set
-            code = np.full(len(ids), -1, np.int64)
-            code[inside] = _hub(low)[run[inside]]
-            placed = np.where(inside, mix64(ids.view(np.uint64)).view(np.int64), keys)
-            own = mix64(names.view(np.uint64)).view(np.int64)
-            known = np.concatenate([inside, np.ones(int(common.sum()) + len(names), bool)])
-            placed = np.concatenate([placed, keys[first[common]], own])
-            every = np.concatenate([ids, low[common], names])
-            code = np.concatenate([code, np.full(int(common.sum()), -1, np.int64), -3 - slack])
-            order = np.argsort(every, kind="stable")  # rows of one set side by side take less room
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(placed[order]), pa.array(every[order]), pa.array(code[order], mask=~known[order])],
-                names=["key", "a", "b"])
-
-    def ties(batches):
-        key, a, plain = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        pairs: list = []
-        for batch in batches:
-            place, name = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            code = np.asarray(batch.column(2).fill_null(-1))
-            if (code < -1).any():
-                yield _ties(name[code < -1], -3 - code[code < -1], -2)
-            if (code >= 0).any():
-                yield _counted(name[code >= 0], code[code >= 0])
-            here = code == -1
-            # the run that the batch before ended in goes on
-            key, a = np.append(key, place[here]), np.append(a, name[here])
-            plain = np.append(plain, ~np.asarray(batch.column(2).is_valid())[here])
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (plain[1:] != plain[:-1])
-            key, a, plain = key[fresh], a[fresh], plain[fresh]
-            first, many, run = _runs(key)
-            if not len(first):
-                continue
-            sets = np.bincount(run[plain], minlength=len(first))
-            common = (sets > KEY_SETS) | (sets < many)
-            hub = _hub(a[first])[run]
-            yield _counted(a[common[run] & plain], hub[common[run] & plain])
-            yield _ties(_hub(a[~plain]), hub[~plain], -1)
-            whole = (run < len(first) - 1) & ~common[run]
-            start, size, _ = _runs(key[whole])
-            pairs.append(_pairs(a[whole], start, size))
-            if sum(p.shape[1] for p in pairs) > PAIRS_HELD:
-                pairs = [_distinct(np.concatenate(pairs, axis=1))]
-                if pairs[0].shape[1] > PAIRS_HELD // 2:
-                    yield _ties(*pairs.pop(), 0)
-            rest = first[-1:] if common[-1] else slice(first[-1], None)
-            key, a, plain = key[rest], a[rest], plain[rest] & (not common[-1])
-        pairs.append(_pairs(a, np.array([0]), np.array([int(plain.sum())])))
-        yield _ties(*_distinct(np.concatenate(pairs, axis=1)), 0)
-
-    found = write_scratch(docs.select("text").mapInArrow(parts, "key long, a long, b long")
-                          .repartition("key").sortWithinPartitions("key", "a").mapInArrow(ties, "a long, b long, n int"),
-                          "tied-sets")
+            if sets:
+                keys, rows, slack = _keys_and_slack(list(sets.values()), num, den, empties=False)
+                yield _dealt(np.array(list(sets), np.int64), keys, rows, slack)
+
+    hashed = _with_hash(docs)
+    if known is None:
+        known = _describe(hashed, k)
+    found = _all_tied(hashed.select("text").mapInArrow(parts, "key long, a long, b long"), "tied-sets")
     free_shuffles(found)
-    if sketches is None:
-        sketches = docs.select("text").mapInArrow(
-            lambda batches: _sketched(batches, k), "number long, n_shingles long, bits binary")
-    sketches = sketches.where("n_shingles > 0").groupBy("number").agg(
+    sure = F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)) > F.min(F.when(F.col("n") == -2, F.col("b")))
+    lost = found.where("n > 0 OR n = -2").groupBy(F.col("a").alias("number")).agg(sure.alias("open"))
+    more = _open_ties(hashed, known, lost.where("open").select("number"), k, num, den)
+    free_shuffles(more)
+    sketches = known.where("n_shingles > 0").groupBy("number").agg(
         F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
-    pairs = found.where("n = 0").select("a", "b").distinct()
+    pairs = found.where("n = 0").select("a", "b").union(more.where("n = 0").select("a", "b")).distinct()
     for side in ("a", "b"):
         pairs = pairs.join(sketches.select(F.col("number").alias(side), F.col("n").alias(f"n_{side}"),
                                            F.col("bits").alias(f"bits_{side}")).hint("merge"), side)
@@ -341,12 +472,7 @@ def starting_regions(docs: DataFrame, k: int, num: int, den: int, sketches: Data
             good = may_link(batch.column("bits_a"), batch.column("bits_b"), n_a, n_b, num, den)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
-    sure = F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)) > F.min(F.when(F.col("n") == -2, F.col("b")))
-    hubs = found.where("n > 0 OR n = -2").groupBy("a").agg(
-        sure.alias("open"), F.collect_set(F.when(F.col("n") > 0, F.col("b"))).alias("hubs"))
-    edges = (pairs.mapInArrow(check, "a long, b long")
-             .union(hubs.where("open").select("a", F.explode("hubs").alias("b")))
-             .union(found.where("n = -1").select("a", "b")))
+    edges = pairs.mapInArrow(check, "a long, b long").union(more.where("n > 0 OR n = -1").select("a", "b"))
     return components(edges, "regions")
 
 
@@ -636,22 +762,9 @@ def ngram_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, piv
     linked rows only, whatever their ids, and null for rows without shingles.
     """
     require(docs, "doc_id", "text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hashed = texts.withColumn("text_hash", text_hash())
-
-    def describe(batches):
-        for batch in bounded(batches, 1):
-            sets = shingle_sets(batch.column(1), k)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.string()),
-                 pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "text_hash", "n_shingles", "digest", "number", "bits"])
-
-    known = write_scratch(hashed.mapInArrow(
-        describe, "doc_id long, text_hash long, n_shingles long, digest string, number long, bits binary"), "shingle-sets")
-    regions = write_scratch(starting_regions(texts, k, num, den, known), "starting-regions")
+    hashed = _with_hash(docs)
+    known = _describe(hashed, k)
+    regions = write_scratch(starting_regions(docs, k, num, den, known), "starting-regions")
     free_shuffles(regions)
     sets = known.where("n_shingles > 0").groupBy("digest", "number").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("row"))
