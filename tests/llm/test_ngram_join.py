@@ -255,3 +255,31 @@ def test_linked_sets_share_a_key_of_first_shingles(num, den):
             keys, sets = ngram_join.first_keys(sizes, run, place, np.concatenate([np.sort(a), np.sort(b)]).astype(np.uint64),
                                                num, den)
             assert set(keys[sets == 0]) & set(keys[sets == 1]), (size, len(a), len(b))
+
+
+def test_halves_of_the_keys_are_all_keys():
+    """Keys are dealt in two halves, each with about half of them and its own slack; no set is without one of them."""
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 2, 4, 5, 7, 9, 30, 100, 300, 1000)] * 20
+    for num in (50, 80, 90):
+        for empties in (True, False):
+            keys, rows, slack = ngram_join._keys_and_slack(sets, num, 100, empties)
+            parts = [ngram_join._keys_and_slack(sets, num, 100, empties, half) for half in (0, 1)]
+            both = [np.concatenate([p[i] for p in parts]) for i in (0, 1)]
+            assert sorted(zip(*both)) == sorted(zip(keys, rows))
+            assert (np.minimum(parts[0][2], parts[1][2]) == slack).all()
+
+
+def test_sets_that_go_on_in_the_next_batch_keep_their_keys(monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = sorted((n, times, shingle, 27) for n in range(30)
+                  for times, shingle in zip(rng.integers(2, 9, 25).tolist(), rng.permutation(60)[:25].tolist()))
+    rows += rows[-3:]  # rows that repeat an id with its text
+    rows.sort()
+    table = pa.RecordBatch.from_pydict({"number": [r[0] for r in rows], "size": [r[3] for r in rows],
+                                        "shingle": [r[2] for r in rows]})
+    keys = lambda batches: sorted((r["key"], r["a"]) for b in ngram_join._by_rarest(batches, 80, 100, 99)
+                                  for r in b.to_pylist())
+    whole = keys([table])
+    monkeypatch.setattr(ngram_join, "SHINGLES_HELD", 10)
+    assert whole and keys([table.slice(i, 7) for i in range(0, len(rows), 7)] + [table.slice(0, 0)]) == whole

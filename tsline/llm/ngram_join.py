@@ -111,8 +111,8 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     return _keys_and_slack(sets, num, den)[:2]
 
 
-def _keys_and_slack(sets: list[np.ndarray], num: int, den: int,
-                    empties: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys_and_slack(sets: list[np.ndarray], num: int, den: int, empties: bool = True,
+                    half: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, the row of each key, and how many keys a row may lose and still share one with all it is linked with.
 
     Within a class of sizes up to u, sets at the threshold differ in at most
@@ -127,7 +127,8 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int,
     may be. A set may lose its keys of as many groups as ``spare`` has beyond those with
     empty choices; one that needs keys of empty parts may lose none (-1).
     Without ``empties`` there are no keys of empty parts: a set of -1 may share no
-    key with a partner that is also of -1.
+    key with a partner that is also of -1. ``half`` asks for the keys and slack of the even (0)
+    or odd (1) classes only, one of each set's two.
     """
     width = parts_of(num, den)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -144,8 +145,7 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int,
     place = flat >> np.uint64(32)  # rows are sorted by hash, so their parts come in order
     value = mix64(flat + np.uint64(0x51ED270B))
     keys, rows, slack = [], [], []
-    for step in (0, 1):
-        level = own + step
+    for level in (own, own + 1) if half is None else (own + ((own + half) & 1),):
         many = np.where(sizes > 0, groups[level], 0)
         base = np.concatenate([[0], np.cumsum(many)])
         owner = np.repeat(np.arange(len(sets)), many)
@@ -172,7 +172,7 @@ def _keys_and_slack(sets: list[np.ndarray], num: int, den: int,
         keys.append(mix64(left + salt[:, None])[wanted])
         rows.append(np.broadcast_to(owner[:, None], wanted.shape)[wanted])
         slack.append(np.where(odd > spare[level], -1, spare[level] - odd))
-    return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.minimum(*slack)
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.min(slack, axis=0)
 
 
 def parity_bits(found: np.ndarray) -> bytes:
@@ -267,8 +267,9 @@ def _counted(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return _ties(a[first], b[first], np.diff(np.append(first, len(a))))
 
 
-def _dealt(names: np.ndarray, keys: np.ndarray, rows: np.ndarray, slack: np.ndarray | None = None) -> pa.RecordBatch:
-    """A batch's keys as rows to be dealt by key: ``(key, a, b)``.
+def _dealt(names: np.ndarray, keys: np.ndarray, rows: np.ndarray, most: int,
+           slack: np.ndarray | None = None) -> pa.RecordBatch:
+    """A batch's keys as rows to be dealt by key: ``(key, a, b)``; a key of more than ``most`` sets is common.
 
     ``b`` is null for a key's set, -1 for a key that is common in this batch already, below
     -1 a set's slack, else the hub of a set. Such a key leaves the batch as ties to the
@@ -278,7 +279,7 @@ def _dealt(names: np.ndarray, keys: np.ndarray, rows: np.ndarray, slack: np.ndar
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     first, many, run = _runs(keys)
-    common = many > KEY_SETS
+    common = many > most
     inside = common[run]
     low = ids[first]
     code = np.full(len(ids), -1, np.int64)
@@ -298,10 +299,10 @@ def _dealt(names: np.ndarray, keys: np.ndarray, rows: np.ndarray, slack: np.ndar
         names=["key", "a", "b"])
 
 
-def _tied(batches):
+def _tied(batches, most: int):
     """Ties ``(a, b, n)`` of keys that arrive sorted.
 
-    The sets of a key that at most ``KEY_SETS`` have are taken as pairs (n: 0). A key of
+    The sets of a key that at most ``most`` have are taken as pairs (n: 0). A key of
     more is common: its sets are tied to its hub, a node that is no set, n times (-1: the
     tie of a batch's hub). A set's slack comes with -2.
     """
@@ -325,7 +326,7 @@ def _tied(batches):
         if not len(first):
             continue
         sets = np.bincount(run[plain], minlength=len(first))
-        common = (sets > KEY_SETS) | (sets < many)
+        common = (sets > most) | (sets < many)
         hub = _hub(a[first])[run]
         yield _counted(a[common[run] & plain], hub[common[run] & plain])
         yield _ties(_hub(a[~plain]), hub[~plain], -1)
@@ -343,8 +344,9 @@ def _tied(batches):
 
 
 def _all_tied(keys: DataFrame, name: str) -> DataFrame:
-    return write_scratch(keys.repartition("key").sortWithinPartitions("key", "a")
-                         .mapInArrow(_tied, "a long, b long, n int"), name)
+    most = KEY_SETS
+    return write_scratch(keys.repartition("key").sortWithinPartitions("key", "a").mapInArrow(
+        lambda batches: _tied(batches, most), "a long, b long, n int"), name)
 
 
 def first_keys(sizes: np.ndarray, run: np.ndarray, place: np.ndarray, shingles: np.ndarray, num: int, den: int):
@@ -373,7 +375,7 @@ def first_keys(sizes: np.ndarray, run: np.ndarray, place: np.ndarray, shingles:
     return np.concatenate(keys).view(np.int64), np.concatenate(sets)
 
 
-def _by_rarest(batches, num: int, den: int):
+def _by_rarest(batches, num: int, den: int, most: int):
     """Keys of sets by their rarest shingles; their shingles that other sets have too come by ``number``, the rarest first."""
     held: list = []
 
@@ -384,7 +386,7 @@ def _by_rarest(batches, num: int, den: int):
         first, many, run = _runs(number)
         # shingles of no other set come before
         place = np.arange(len(number)) - first[run] + (size[first] - many)[run]
-        return _dealt(number[first], *first_keys(size[first], run, place, shingle.view(np.uint64), num, den))
+        return _dealt(number[first], *first_keys(size[first], run, place, shingle.view(np.uint64), num, den), most)
 
     for batch in batches:
         if not batch.num_rows:
@@ -429,8 +431,9 @@ def _open_ties(hashed: DataFrame, known: DataFrame, names: DataFrame, k: int, nu
     free_shuffles(shingles)
     often = shingles.groupBy(F.col("shingle").alias("of")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ranked = shingles.join(often, F.col("shingle") == F.col("of")).select("number", "size", "shingle", "times")
+    most = KEY_SETS
     keys = (ranked.repartition("number").sortWithinPartitions("number", "times", "shingle")
-            .mapInArrow(lambda batches: _by_rarest(batches, num, den), "key long, a long, b long"))
+            .mapInArrow(lambda batches: _by_rarest(batches, num, den, most), "key long, a long, b long"))
     return _all_tied(keys, "tied-open-sets")
 
 
@@ -443,18 +446,26 @@ def starting_regions(docs: DataFrame, k: int, num: int, den: int, known: DataFra
     pair, and these get the ties of :func:`_open_ties`, where keys are of their rarest
     shingles, so that passages which many sets share tie nothing but sets made of them.
     """
-    def parts(batches):
-        for batch in bounded(batches, 0):
-            sets = {set_number(s): s for s in shingle_sets(batch.column(0), k) if len(s)}
-            if sets:
-                keys, rows, slack = _keys_and_slack(list(sets.values()), num, den, empties=False)
-                yield _dealt(np.array(list(sets), np.int64), keys, rows, slack)
+    most = KEY_SETS
+
+    def parts(half):
+        def each(batches):
+            for batch in bounded(batches, 0):
+                sets = {set_number(s): s for s in shingle_sets(batch.column(0), k) if len(s)}
+                if sets:
+                    keys, rows, slack = _keys_and_slack(list(sets.values()), num, den, empties=False, half=half)
+                    yield _dealt(np.array(list(sets), np.int64), keys, rows, most, slack)
+        return each
 
     hashed = _with_hash(docs)
     if known is None:
         known = _describe(hashed, k)
-    found = _all_tied(hashed.select("text").mapInArrow(parts, "key long, a long, b long"), "tied-sets")
-    free_shuffles(found)
+    # one half of the keys after the other: their rows take more disk than all else, and are freed between
+    halves = []
+    for half in (0, 1):
+        halves.append(_all_tied(hashed.select("text").mapInArrow(parts(half), "key long, a long, b long"), "tied-sets"))
+        free_shuffles(halves[-1])
+    found = halves[0].union(halves[1])
     sure = F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)) > F.min(F.when(F.col("n") == -2, F.col("b")))
     lost = found.where("n > 0 OR n = -2").groupBy(F.col("a").alias("number")).agg(sure.alias("open"))
     more = _open_ties(hashed, known, lost.where("open").select("number"), k, num, den)
